@@ -16,7 +16,7 @@ def tagged_number(raw: Column, scale: Column, sign: Column) -> Column:
 
     Anything that is not a plain number gives null, as does a scale that is not an integer.
     """
-    text = F.regexp_replace(F.trim(raw), "[, ]", "")
+    text = F.translate(raw, ", ", "")
     number = F.when(text.isin("", "-"), None).otherwise(text.try_cast("double"))
     shift = F.when(scale.isNull() | (F.trim(scale) == ""), F.lit(0)).otherwise(
         scale.try_cast("int"))
@@ -48,10 +48,10 @@ def printed_number(text: Column) -> Column:
     Commas and full stops are both taken as thousand separators.
     """
     s = F.trim(text)
-    bare = F.regexp_replace(s, r"[() £$]", "")
-    digits = F.regexp_replace(bare, "[,.]", "")
+    bare = F.translate(s, "() £$", "")
+    digits = F.translate(bare, ",.", "")
     whole = F.when(digits.rlike("^-?[0-9]+$"), digits.try_cast("bigint"))
-    fraction = F.regexp_replace(bare, ",", "").try_cast("double")
+    fraction = F.translate(bare, ",", "").try_cast("double")
     value = F.coalesce(whole, fraction.try_cast("bigint"))
     return F.when(bare.isin(DASHES + ["", "."]), F.lit(0).cast("bigint")).otherwise(
         F.when(s.startswith("("), -value).otherwise(value))

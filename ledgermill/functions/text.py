@@ -17,7 +17,7 @@ def year_of(text: Column) -> Column:
 
 def local_name(name: Column) -> Column:
     """Part after the last colon of a qualified tag name."""
-    return F.element_at(F.split(name, ":"), -1)
+    return F.substring_index(name, ":", -1)
 
 
 def prefix_of(name: Column) -> Column:

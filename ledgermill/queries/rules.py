@@ -106,6 +106,11 @@ for sfx in ("", "_s"):
         prev = f"metric{i}{sfx}"
     view(f"computed{sfx}", f"SELECT * FROM {prev}", prev)
 
+def _half_up(x):
+    """Four places, ties away from zero on the printed decimal, as Spark rounds."""
+    return f"cast(round(cast(cast({x} AS varchar) AS decimal(38, 18)), 4) AS double)"
+
+
 FLIPPED = " UNION ALL ".join(
     [f"SELECT company_number, year, '{f}' AS field, {f} AS original FROM rows_s WHERE {f} > 0"
      for f in NEG]
@@ -178,7 +183,7 @@ def r5(spark, d):
 
 @query("r6_display_columns", sql(
     "SELECT company_number, year, revenue, "
-    + ", ".join(f"round({f}, 4) AS {f}" for f in schemas.DERIVED_FIELDS)
+    + ", ".join(f"{_half_up(f)} AS {f}" for f in schemas.DERIVED_FIELDS)
     + ", cast(employees AS int) AS employees FROM computed QUALIFY year = max(year) OVER "
       "(PARTITION BY company_number)", "computed"))
 def r6(spark, d):
@@ -192,9 +197,10 @@ _CAGR = """
     FROM {t} c"""
 
 
-def _cagr_sql(table, value, years):
+def _cagr_sql(table, value, years, places=6):
+    _rounded, _places = ("round(", f", {places})") if places else ("", "")
     return (f"SELECT c.company_number, c.year, CASE WHEN c.{value} > 0 THEN "
-            f"round(pow(c.{value} / b.{value}, 1.0 / (c.year - b.year)) - 1, 6) END AS cagr "
+            f"{_rounded}pow(c.{value} / b.{value}, 1.0 / (c.year - b.year)) - 1{_places} END AS cagr "
             f"FROM {table} c LEFT JOIN {table} b ON b.company_number = c.company_number AND "
             f"b.year = (SELECT max(x.year) FROM {table} x WHERE x.company_number = "
             f"c.company_number AND x.{value} > 0 AND x.year <= c.year - {years})")
@@ -322,8 +328,8 @@ def e4(spark, d):
 
 
 @query("e5_backfill_cagr", sql(f"""
-    SELECT company_number, round(cagr, 4) AS revenue_cagr_3y
-    FROM ({_cagr_sql('history', 'value', 3)}) QUALIFY year = max(year) OVER
+    SELECT company_number, {_half_up('cagr')} AS revenue_cagr_3y
+    FROM ({_cagr_sql('history', 'value', 3, None)}) QUALIFY year = max(year) OVER
       (PARTITION BY company_number)""", "history"))
 def e5(spark, d):
     return growth.backfill_cagr(bridge.history(spark, d))
