@@ -266,3 +266,193 @@ def companies(spark: SparkSession, d: str) -> DataFrame:
 
 def tagged_value(raw: str = "raw", scale: str = "scale", sign: str = "sign"):
     return numbers.tagged_number(F.col(raw), F.col(scale), F.col(sign))
+
+
+# --- positioned tokens ----------------------------------------------------
+# Page headings, row labels and phrases cycled over the words of each document, so that
+# prose pages also carry statements, contents pages, notes and sign-offs.
+HEADINGS = [
+    "STRATEGIC REPORT", "INCOME STATEMENT", "BALANCE SHEET", "CASH FLOW STATEMENT",
+    "NOTES TO THE FINANCIAL STATEMENTS", "INDEPENDENT AUDITOR'S REPORT",
+    "DIRECTORS' REPORT", "STATEMENT OF DIRECTORS' RESPONSIBILITIES", "Accounting policies",
+    "Going concern", "EXAMPLE TRADING LIMITED 01234567", "BALANCE SHEET CONTINUED",
+]
+ROW_LABELS = [
+    "Turnover", "Cost of sales", "Gross profit", "Administrative expenses", "Other",
+    "Operating profit", "Tangible assets", "Debtors", "Cash at bank", "Creditors",
+    "Called up share capital", "Net cash from operating activities", "Tax paid",
+    "Cash and cash equivalents at beginning", "Depreciation charge for the year", "Staff costs",
+    "Directors", "Production staff", "Total assets", "Borrowings", "Trade and other payables",
+    "3. Accounting policies",
+]
+PHRASES = [
+    "", "in our opinion", "approved by the board of directors on", "section 444(4)", "FRS 102",
+    "key audit matters", "pages 3 to 9", "year ended 31 March 2021", "small companies regime",
+    "international financial reporting standards", "property, plant and equipment",
+    "total equity", "average number of employees", "£'000", "",
+]
+TOKENS_PER_PAGE = 200
+
+
+def token_columns(duck: bool) -> dict[str, str]:
+    """Layout of word ``i`` (zero based) of document ``doc_id`` on its page."""
+    # A page holds 20 lines of 10 columns; every fourth line sits close under the one above.
+    line = "cast(floor((i % 200) / 10) as int)"
+    col = "cast(i % 10 as int)"
+    page = "cast(floor(i / 200) as int)"
+    heading = pick(HEADINGS, f"cast((doc_id + {page} * 5) % {len(HEADINGS)} as int)", duck)
+    contents = f"(doc_id % 4 = 0 and {page} = 1)"
+    title = pick(HEADINGS[:10], f"cast((doc_id + {line}) % 10 as int)", duck)
+    label = pick(ROW_LABELS, f"cast((doc_id * 3 + {page} * 7 + {line}) % {len(ROW_LABELS)} as int)",
+                 duck)
+    phrase = pick(PHRASES, f"cast((doc_id + {page} * 2 + {line}) % {len(PHRASES)} as int)", duck)
+    whole = f"length(word) * 1000 + i % 977 + {col}"
+    commas = f"format('{{:,}}', {whole})" if duck else f"format_number({whole}, 0)"
+    number = (f"case cast((i + doc_id) % 7 as int) when 0 then concat('(', {commas}) when 1 then "
+              f"replace({commas}, ',', '.') when 2 then '-' else {commas} end")
+    year = f"cast(2015 + doc_id % 9 - case when {col} = 9 then 1 else 0 end as string)"
+    text = (
+        f"case when {line} = 0 and {col} = 0 then case when {contents} then 'CONTENTS' "
+        f"else {heading} end "
+        f"when {contents} and {col} = 0 then {title} "
+        f"when {contents} and {col} = 9 then cast(1 + i % 5 as string) "
+        f"when {line} = 0 and doc_id % 3 = 0 then upper(replace(word, 'ß', 'ss')) "
+        f"when {line} = 1 and {col} in (7, 9) then {year} "
+        f"when {col} = 0 then concat({label}, ' ', word) "
+        f"when {col} = 2 and {line} = 10 then concat({phrase}, ' ', word) "
+        f"when {col} in (7, 9) and {line} % 4 <> 2 then {number} "
+        f"when {col} = 5 and doc_id % 2 = 0 then cast(1 + i % 29 as string) "
+        f"else word end")
+    y = (f"cast(20 + 38 * {line} - case when {line} % 4 = 3 then 21 else 0 end "
+         f"+ ({col} % 3) * 2 as double)")
+    x = f"cast(30 + 50 * {col} as double)"
+    return {
+        "doc_id": "doc_id", "page": f"{page} + 1", "i": "cast(i as bigint)",
+        "x0": x, "y0": y, "x1": f"{x} + 40", "y1": f"{y} + 10", "text": text,
+        "conf": "cast(0.4 + (i % 60) / 100.0 as double)",
+        "page_width": "cast(595 as double)", "page_height": "cast(842 as double)",
+    }
+
+
+def tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Every word of every document as a positioned token."""
+    words = table(spark, d, "documents").select(
+        "doc_id", F.posexplode(F.split("text", r"[ \t\n\r]+")).alias("i", "word"))
+    return words.select(*[F.expr(e).alias(n) for n, e in token_columns(False).items()])
+
+
+# --- body text with statutory headings ------------------------------------
+BODY_HEADINGS = [
+    "Strategic Report", "Some news", "Report of the Directors", "Section 172(1)",
+    "Principal risks and uncertainties", "Viability statement", "Going concern",
+    "Statement of Directors' Responsibilities", "Independent Auditor's Report",
+    "Principal activities", "Basis of preparation", "Critical accounting judgements", "Other",
+]
+
+
+def body_expr(duck: bool) -> str:
+    """Document text with a heading before every line."""
+    n = len(BODY_HEADINGS)
+    if duck:
+        heads = sql_list(BODY_HEADINGS, True)
+        return ("array_to_string(list_transform(string_split(text, chr(10)), lambda l, k: "
+                f"list_extract({heads}, cast((doc_id + (k - 1) * 3) % {n} as int) + 1) "
+                "|| chr(10) || l), chr(10))")
+    heads = sql_list(BODY_HEADINGS, False)
+    return (f"array_join(transform(split(text, '\\n'), (l, k) -> concat(element_at({heads}, "
+            f"cast((doc_id + k * 3) % {n} as int) + 1), '\\n', l)), '\\n')")
+
+
+def bodies(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select(
+        F.col("doc_id").cast("string").alias("filing_id"),
+        F.expr(body_expr(False)).alias("body_text"))
+
+
+# --- tagged markup --------------------------------------------------------
+# One small tagged document per order: three contexts, up to six facts, flags, narrative.
+def markup_expr() -> str:
+    """Tagged document of an order row (Spark side only; the comparison reads the columns)."""
+    year = "cast(year(o_orderdate) as string)"
+    prior = "cast(year(o_orderdate) - 1 as string)"
+    key = "cast(o_orderkey as string)"
+    pence = "cast(round(o_totalprice * 100) as bigint)"
+    q = "'\"'"
+
+    def fact(name, ctx, raw, attrs=""):
+        return (f"concat('<td><ix:nonFraction name=\"{name}\" contextRef=\"{ctx}\" "
+                f"unitRef=\"GBP\"{attrs}>', {raw}, '</ix:nonFraction></td>')")
+
+    def note(name, value):
+        return (f"concat('<p><ix:nonNumeric name=\"{name}\" contextRef=\"cur\">', {value}, "
+                "'</ix:nonNumeric></p>')")
+
+    context = ("concat('<xbrli:context id=\"{id}\"><xbrli:entity><xbrli:identifier>', " + key
+               + ", '</xbrli:identifier>{seg}</xbrli:entity><xbrli:period>', {period}, "
+                 "'</xbrli:period></xbrli:context>')")
+    duration = (f"concat('<xbrli:startDate>', {year}, '-01-01</xbrli:startDate><xbrli:endDate>', "
+                f"{year}, '-12-31</xbrli:endDate>')")
+    instant = f"concat('<xbrli:instant>', {prior}, '-12-31</xbrli:instant>')"
+    segment = ("<xbrli:segment><xbrldi:explicitMember dimension=\"core:D\">core:SegmentMember"
+               "</xbrldi:explicitMember></xbrli:segment>")
+    parts = [
+        "'<html xmlns:core=\"http://xbrl.frc.org.uk/fr/2023-01-01/core\"><head><title>t</title>"
+        "<style>p{margin:0}</style></head><body><ix:header><ix:references>'",
+        f"case when o_orderkey % 10 = 0 then '' else concat('<link:schemaRef xlink:href=', {q}, "
+        f"'http://xbrl.frc.org.uk/FRS-102/', cast(2018 + o_orderkey % 6 as string), "
+        f"'-01-01/FRS-102.xsd', {q}, '/>') end",
+        "'</ix:references><ix:resources>'",
+        context.format(id="cur", seg="", period=duration),
+        context.format(id="prv", seg="", period=instant),
+        context.format(id="dim", seg=segment, period=duration),
+        "'</ix:resources></ix:header><h1>Annual report</h1><table><tr>'",
+        fact("core:TurnoverRevenue", "cur", f"format_number({pence}, 0)"),
+        fact("core:TurnoverRevenue", "prv", "format_number(o_custkey, 0)", ' scale="3"'),
+        fact("core:TurnoverRevenue", "dim", "'77'"),
+        fact("core:Turnover", "cur", "'9'"),
+        fact("core:TaxOnProfit", "cur", "format_number(o_custkey + 1, 0)", ' sign="-"'),
+        fact("core:CashBankOnHand", "cur", "case when o_orderkey % 4 = 0 then '-' else " + key
+             + " end", ' decimals="0"'),
+        fact("core:OtherUnmappedLine", "cur", "'1'"),
+        "'</tr></table>'",
+        note("bus:EntityDormantTruefalse", "case when o_orderkey % 9 = 0 then 'true' else '' end"),
+        "case when o_orderkey % 2 = 0 then "
+        + note("direp:StatementThatAccountsHaveBeenPreparedInAccordanceWithProvisions"
+               "SmallCompaniesRegime", "'small'") + " else '' end",
+        "case when o_orderkey % 6 = 0 then "
+        + note("direp:StatementThatMembersHaveNotRequiredCompanyToObtainAnAudit", "'no audit'")
+        + " else '' end",
+        "case when o_orderkey % 5 = 0 then "
+        + note("bus:ReportIncludesStrategicReportTruefalse", "'true'") + " else '' end",
+        "case when o_orderkey % 7 = 0 then "
+        + note("core:FinancialStatementsArePreparedOnGoing-concernBasisTruefalse", "'true'")
+        + " else '' end",
+        "case when o_orderkey % 8 = 0 then "
+        + note("direp:EntityHasTakenExemptionUnderCompaniesActInNotPublishingItsOwn"
+               "ProfitLossAccountTruefalse", "'true'") + " else '' end",
+        "case when o_orderkey % 4 = 1 then "
+        + note("bus:AccountsStatusAuditedOrUnaudited", "'audited'") + " else '' end",
+        note("bus:DescriptionPrincipalActivities", f"concat('Trading in lot ', {key})"),
+        "'<div><ix:nonNumeric name=\"core:RevenueRecognitionPolicy\" contextRef=\"cur\">Outer '",
+        f"concat('<ix:nonNumeric name=\"core:ProvisionsPolicy\" contextRef=\"cur\">inner ', {key},"
+        " '</ix:nonNumeric>')",
+        "' tail</ix:nonNumeric></div>'",
+        note("aurep:BasisForOpinionAuditorsOnEntity", "'basis &amp; grounds'"),
+        note("aurep:OpinionAuditorsOnEntity", "'true and fair'"),
+        note("core:SomethingElse", "'x'"),
+        f"concat('<h2>Strategic report</h2><p>Plan ', {key}, '</p><h2>Going concern</h2>"
+        "<p>We go on.</p>')",
+        "'</body></html>'",
+    ]
+    return "concat(" + ", ".join(parts) + ")"
+
+
+def markup(spark: SparkSession, d: str) -> DataFrame:
+    """(company_number, filing_id, filing_date, recency, content): one document per order."""
+    o = table(spark, d, "orders")
+    date = F.col("o_orderdate").cast("date")
+    return o.select(
+        F.col("o_custkey").cast("string").alias("company_number"),
+        F.col("o_orderkey").cast("string").alias("filing_id"),
+        date.alias("filing_date"), facts_ops.recency(date, F.col("o_orderkey")).alias("recency"),
+        F.expr(markup_expr()).alias("content"))
