@@ -74,9 +74,9 @@ def page_text(tokens: DataFrame) -> DataFrame:
     t = with_centres(tokens)
     order = ["y", "x", "text"]
 
-    def band(frac):
+    def band(frac, by=order):
         item = F.when(F.col("y") <= F.col("page_height") * frac,
-                      F.struct(*order, F.col("text").alias("_t")))
+                      F.struct(*by, F.col("text").alias("_t")))
         return F.array_join(F.transform(F.sort_array(F.collect_list(item)),
                                         lambda e: e["_t"]), " ")
 
@@ -89,7 +89,7 @@ def page_text(tokens: DataFrame) -> DataFrame:
     n25, caps25 = band_words(0.25)
     return t.groupBy(*PAGE).agg(
         joined_text(order).alias("text"), F.coalesce(F.avg("conf"), F.lit(1.0)).alias("quality"),
-        band(0.05).alias("top05"), band(0.15).alias("top15"), band(0.25).alias("top25"),
+        band(0.05).alias("top05"), band(0.05, ["x", "y", "text"]).alias("header"), band(0.15).alias("top15"), band(0.25).alias("top25"), band(0.30).alias("top30"),
         n25.alias("n25"), caps25.alias("caps25"))
 
 
@@ -179,16 +179,31 @@ def year_columns(tokens: DataFrame, pages: DataFrame) -> DataFrame:
                       F.get("ys", F.lit(1)).alias("prior_year"))
 
 
-def with_dialect(pages: DataFrame) -> DataFrame:
-    """(doc_id, dialect): a phrase counts once per document wherever it occurs.
+def phrase_flags(pages: DataFrame, phrases: dict[str, str]) -> DataFrame:
+    """One row per document: does each (lower-case) phrase occur anywhere in its text?
 
-    Per-page phrase flags are OR-ed per document, so no document text is assembled.
+    Phrases are tested per page and OR-ed, so no document text is assembled.  A phrase may
+    run over a page end, so the joint of every two pages is tested as well.
     """
+    reach = max(len(p) for p in phrases.values())
     low = F.lower("text")
-    flags = {f"i{k}": low.contains(p) for k, p in enumerate(lookups.IFRS_SIGNALS)} | {
-        f"u{k}": low.contains(p) for k, p in enumerate(lookups.UKGAAP_SIGNALS)}
-    docs = pages.groupBy("doc_id").agg(*[F.max(c.cast("int")).alias(n) for n, c in flags.items()])
-    total = {s: sum((F.col(n) for n in flags if n[0] == s), F.lit(0)) for s in "iu"}
+    inside = pages.select(*PAGE, F.substring(low, 1, reach).alias("head"),
+                          F.right(low, F.lit(reach)).alias("tail"),
+                          *[low.contains(p).alias(n) for n, p in phrases.items()])
+    following = F.lead("head").over(W.partitionBy("doc_id").orderBy("page"))
+    joint = F.concat_ws(" ", "tail", "following")
+    return inside.withColumn("following", following).groupBy("doc_id").agg(
+        F.max("page").alias("last_page"),
+        *[F.bool_or(F.col(n) | joint.contains(p)).alias(n) for n, p in phrases.items()])
+
+
+def with_dialect(pages: DataFrame) -> DataFrame:
+    """(doc_id, dialect): more international than local phrases means ifrs."""
+    phrases = {f"i{k}": p for k, p in enumerate(lookups.IFRS_SIGNALS)} | {
+        f"u{k}": p for k, p in enumerate(lookups.UKGAAP_SIGNALS)}
+    docs = phrase_flags(pages, phrases)
+    total = {s: sum((F.col(n).cast("int") for n in phrases if n[0] == s), F.lit(0))
+             for s in "iu"}
     return docs.select("doc_id", F.when(total["i"] > total["u"], "ifrs").otherwise(
         "uk_gaap").alias("dialect"))
 

@@ -79,11 +79,13 @@ view("docyears", """
       FROM tok t JOIN (SELECT DISTINCT doc_id, page FROM stpages WHERE statement <> 'notes') s
       ON t.doc_id = s.doc_id AND t.page = s.page
       WHERE regexp_full_match(trim(text), '20[0-9]{2}')) GROUP BY 1""", "tok", "stpages")
+view("joined", "SELECT doc_id, string_agg(text, ' ' ORDER BY page) AS text, max(page) AS last "
+     "FROM pg GROUP BY 1", "pg")
 _ESC = [p.replace("'", "''") for p in lookups.UKGAAP_SIGNALS]
 view("dialects", "SELECT doc_id, CASE WHEN "
      + " + ".join(f"max(contains(lower(text), '{p}')::int)" for p in lookups.IFRS_SIGNALS) + " > "
      + " + ".join(f"max(contains(lower(text), '{p}')::int)" for p in _ESC)
-     + " THEN 'ifrs' ELSE 'uk_gaap' END AS dialect FROM pg GROUP BY 1", "pg")
+     + " THEN 'ifrs' ELSE 'uk_gaap' END AS dialect FROM joined GROUP BY 1", "joined")
 view("notecol", """
     SELECT doc_id, page, avg(x) AS note_x FROM tok WHERE is_num AND v BETWEEN 1 AND 30
       AND x > page_width * 0.35 AND x < page_width * 0.55 GROUP BY 1, 2
@@ -97,7 +99,7 @@ view("ctok", """
      "tok", "stpages", "notecol", "docyears")
 view("xclus", """
     SELECT doc_id, page, k, avg(x) AS cx, max(page_width) AS w FROM (
-      SELECT *, sum(new) OVER (PARTITION BY doc_id, page ORDER BY x ROWS UNBOUNDED PRECEDING) AS k
+      SELECT *, sum(new) OVER (PARTITION BY doc_id, page ORDER BY x) AS k
       FROM (SELECT *, CASE WHEN x - lag(x) OVER (PARTITION BY doc_id, page ORDER BY x) > 60
               THEN 1 ELSE 0 END AS new
             FROM ctok WHERE is_num AND abs(v) > 50 AND NOT coalesce(is_year, false)
@@ -215,7 +217,7 @@ def h21(spark, d):
 
 @query("e7_column_clusters", sql("""
     SELECT doc_id, page, count(DISTINCT k)::bigint AS clusters, count(*) AS n FROM (
-      SELECT *, sum(new) OVER (PARTITION BY doc_id, page ORDER BY x ROWS UNBOUNDED PRECEDING) AS k
+      SELECT *, sum(new) OVER (PARTITION BY doc_id, page ORDER BY x) AS k
       FROM (SELECT *, CASE WHEN x - lag(x) OVER (PARTITION BY doc_id, page ORDER BY x) > 60
               THEN 1 ELSE 0 END AS new FROM tok WHERE is_num)) GROUP BY 1, 2""", "tok"))
 def e7(spark, d):
@@ -227,7 +229,7 @@ def e7(spark, d):
 def _rows_sql(gap):
     return sql(f"""
     SELECT doc_id, page, row, count(*) AS n, min(y) AS top FROM (
-      SELECT *, sum(new) OVER (PARTITION BY doc_id, page ORDER BY y ROWS UNBOUNDED PRECEDING)
+      SELECT *, sum(new) OVER (PARTITION BY doc_id, page ORDER BY y)
         AS row FROM (SELECT *, CASE WHEN y - lag(y) OVER (PARTITION BY doc_id, page ORDER BY y)
         > {gap} THEN 1 ELSE 0 END AS new FROM tok)) GROUP BY 1, 2, 3""", "tok")
 
