@@ -76,16 +76,20 @@ def tag_layer(narrative: DataFrame) -> DataFrame:
 def match_offsets(body: Column, pattern: str) -> Column:
     """Array of zero-based offsets of every match, from the lengths of the pieces around."""
     regex = "(?i)" + pattern
-    matches = F.regexp_extract_all(body, F.lit(regex), F.lit(0))
-    pieces = F.split(body, regex, -1)
+    # Lengths of piece and match side by side; both arrays are evaluated once.
+    steps = F.zip_with(
+        F.split(body, regex, -1), F.regexp_extract_all(body, F.lit(regex), F.lit(0)),
+        lambda p, m: F.struct(F.length(p).alias("p"), F.length(m).alias("m")))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("found"))
 
-    def step(acc, m):
-        begin = acc["at"] + F.length(F.get(pieces, F.size(acc["found"])))
-        return F.struct((begin + F.length(m)).alias("at"),
-                        F.concat(acc["found"], F.array(begin)).alias("found"))
+    def step(acc, s):
+        begin = acc["at"] + s["p"]
+        return F.struct(
+            (begin + F.coalesce(s["m"], F.lit(0))).alias("at"),
+            F.when(s["m"].isNull(), acc["found"]).otherwise(
+                F.concat(acc["found"], F.array(begin))).alias("found"))
 
-    return F.aggregate(matches, start, step)["found"]
+    return F.aggregate(steps, start, step)["found"]
 
 
 def _labelled(offsets: Column, rank: int, section: str) -> Column:
@@ -117,7 +121,8 @@ def text_layer(bodies: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """(filing_id, section_id, start, end, text): slices between headings.
 
     ``found(filing_id, section_id)`` are sections settled by tags; they neither match nor
-    cut.  A section takes its first non-empty slice.  One left join, then row-local arrays.
+    cut.  A section takes its first non-empty slice.  After the left join everything is
+    row-local; the one-element explodes keep Spark from re-evaluating the arrays per use.
     """
     if found is not None:
         settled = found.groupBy("filing_id").agg(F.collect_set("section_id").alias("settled"))
@@ -125,16 +130,22 @@ def text_layer(bodies: DataFrame, found: DataFrame | None = None) -> DataFrame:
             "settled", F.coalesce("settled", F.array().cast("array<string>")))
     else:
         bodies = bodies.withColumn("settled", F.array().cast("array<string>"))
-    b = bodies.withColumn("hits", anchor_hits(F.col("body_text"), F.col("settled")))
-    after = F.coalesce(F.get("hits", F.col("k") + 1)["offset"], F.length("body_text"))
-    rows = b.select("filing_id", "body_text", "hits",
-                    F.posexplode("hits").alias("k", "h")).select(
-        "filing_id", "h.section_id", F.col("h.offset").alias("start"), after.alias("end"),
-        F.trim(F.substring(F.col("body_text"), F.col("h.offset") + 1,
-                           after - F.col("h.offset")), F.lit(" \t\n\r")).alias("text"))
-    return rows.where("text <> ''").groupBy("filing_id", "section_id").agg(
-        F.min(F.struct("start", "end", "text")).alias("s")).select(
-        "filing_id", "section_id", "s.*")
+    hits = bodies.select("filing_id", "body_text", F.explode(F.array(
+        anchor_hits(F.col("body_text"), F.col("settled")))).alias("hits"))
+    body, marks = F.col("body_text"), F.col("hits")
+
+    def piece(h, k):
+        end = F.coalesce(F.get(marks, k + 1)["offset"], F.length(body))
+        cut = F.substring(body, h["offset"] + 1, end - h["offset"])
+        return F.struct(h["section_id"].alias("section_id"), h["offset"].alias("start"),
+                        end.alias("end"), F.trim(cut, F.lit(" \t\n\r")).alias("text"))
+
+    pieces = hits.select("filing_id", F.explode(F.array(F.filter(
+        F.transform(marks, piece), lambda p: p["text"] != ""))).alias("ps"))
+    ids = F.array(*[F.lit(s) for s in lookups.SECTION_IDS])
+    firsts = F.transform(ids, lambda i: F.get(
+        F.filter("ps", lambda p: p["section_id"] == i), F.lit(0)))
+    return pieces.select("filing_id", F.inline(F.filter(firsts, lambda p: p.isNotNull())))
 
 
 def expected_section(section: Column, size: Column, mode: Column, audited: Column) -> Column:

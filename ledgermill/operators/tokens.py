@@ -90,7 +90,9 @@ def page_text(tokens: DataFrame) -> DataFrame:
     return t.groupBy(*PAGE).agg(
         joined_text(order).alias("text"), F.coalesce(F.avg("conf"), F.lit(1.0)).alias("quality"),
         band(0.05).alias("top05"), band(0.05, ["x", "y", "text"]).alias("header"), band(0.15).alias("top15"), band(0.25).alias("top25"), band(0.30).alias("top30"),
-        n25.alias("n25"), caps25.alias("caps25"))
+        n25.alias("n25"), caps25.alias("caps25"),
+        F.collect_set(F.when(F.trim("text").rlike("^20[0-9]{2}$"),
+                             F.trim("text").cast("int"))).alias("year_tokens"))
 
 
 def with_band_flags(pages: DataFrame) -> DataFrame:
@@ -105,32 +107,58 @@ BALANCE_TITLES = ["BALANCE SHEET", "STATEMENT OF FINANCIAL POSITION"]
 CASH_TITLES = ["CASH FLOW STATEMENT", "STATEMENT OF CASH FLOWS", "CASH FLOWS"]
 
 
-def page_roles(pages: DataFrame) -> DataFrame:
-    """(doc_id, filleted, income_page, balance_page, cashflow_page, notes_pages).
+def phrase_flags(pages: DataFrame, phrases: dict[str, str], extra: list[Column] = ()) -> DataFrame:
+    """One row per document: does each (lower-case) phrase occur anywhere in its text?
+
+    Phrases are tested per page and OR-ed, so no document text is assembled.  A phrase may
+    run over a page end, so the joint of every two pages is tested as well.  ``extra``
+    aggregates over the pages ride along in the same pass.
+    """
+    reach = max(len(p) for p in phrases.values())
+    low = F.lower("text")
+    kept = [c for c in pages.columns if c not in PAGE and c in ("filleted", "candidate")]
+    inside = pages.select(*PAGE, *kept, F.substring(low, 1, reach).alias("head"),
+                          F.right(low, F.lit(reach)).alias("tail"),
+                          *[low.contains(p).alias(n) for n, p in phrases.items()])
+    following = F.lead("head").over(W.partitionBy("doc_id").orderBy("page"))
+    joint = F.concat_ws(" ", "tail", "following")
+    return inside.withColumn("following", following).groupBy("doc_id").agg(
+        F.max("page").alias("last_page"), *extra,
+        *[F.bool_or(F.col(n) | joint.contains(p)).alias(n) for n, p in phrases.items()])
+
+
+DIALECT_PHRASES = {f"i{k}": p for k, p in enumerate(lookups.IFRS_SIGNALS)} | {
+    f"u{k}": p for k, p in enumerate(lookups.UKGAAP_SIGNALS)}
+
+
+def documents(pages: DataFrame) -> DataFrame:
+    """One row per document: filleted, statement pages, notes pages, years and dialect.
 
     The first page in page order takes each statement role, and a page takes one role only.
-    The four title tests are reduced to one code per page, and pages that can take a role
-    are few, so one small ordered fold per document settles the roles.
+    The title tests are reduced to one small struct per titled page, so a single pass over
+    the pages and one ordered fold per document settle everything.
     """
-    up = F.upper("text")
-    top = F.upper("top15")
+    up, top = F.upper("text"), F.upper("top15")
     not_continued = ~top.contains("CONTINUED")
     filleted = (up.contains("OPTED NOT TO DELIVER") & up.contains("PROFIT AND LOSS")) | (
         up.contains("SECTION 444(4)"))
+    titled = F.struct(
+        F.col("page"),
+        (text.contains_any(top, INCOME_TITLES)
+         & ~up.contains("OPTED NOT TO DELIVER")).alias("inc"),
+        (text.contains_any(top, BALANCE_TITLES) & not_continued).alias("bal"),
+        (text.contains_any(top, CASH_TITLES) & not_continued).alias("cf"),
+        (top.contains("NOTES TO THE") & top.contains("FINANCIAL STATEMENTS")).alias("nt"),
+        F.col("year_tokens").alias("years"))
     flagged = with_band_flags(pages).select(
-        *PAGE, filleted.alias("f"),
-        F.when(~F.col("is_contents"), F.struct(
-            F.col("page"),
-            (text.contains_any(top, INCOME_TITLES)
-             & ~up.contains("OPTED NOT TO DELIVER")).alias("inc"),
-            (text.contains_any(top, BALANCE_TITLES) & not_continued).alias("bal"),
-            (text.contains_any(top, CASH_TITLES) & not_continued).alias("cf"),
-            (top.contains("NOTES TO THE") & top.contains("FINANCIAL STATEMENTS")).alias("nt"),
-        )).alias("c"))
-    candidate = F.when(F.col("c.inc") | F.col("c.bal") | F.col("c.cf") | F.col("c.nt"),
-                       F.col("c"))
-    docs = flagged.groupBy("doc_id").agg(
-        F.bool_or("f").alias("filleted"), F.sort_array(F.collect_list(candidate)).alias("cs"))
+        *PAGE, "text", filleted.alias("filleted"),
+        F.when(~F.col("is_contents"), titled).alias("c"))
+    small = flagged.select(*PAGE, "text", "filleted", F.when(
+        F.col("c.inc") | F.col("c.bal") | F.col("c.cf") | F.col("c.nt"), F.col("c")).alias(
+        "candidate"))
+    docs = phrase_flags(small, DIALECT_PHRASES, [
+        F.bool_or("filleted").alias("filleted"),
+        F.sort_array(F.collect_list("candidate")).alias("cs")])
     start = F.struct(*[F.lit(None).cast("int").alias(n) for n in ("i", "b", "c")])
 
     def step(acc, p):
@@ -144,17 +172,44 @@ def page_roles(pages: DataFrame) -> DataFrame:
 
     folded = docs.withColumn("r", F.aggregate("cs", start, step))
     taken = F.array(F.col("r.i"), F.col("r.b"), F.col("r.c"))
-    notes = F.transform(
-        F.filter("cs", lambda p: p["nt"] & ~F.exists(taken, lambda t: t.eqNullSafe(p["page"]))),
-        lambda p: p["page"])
+
+    def is_taken(p):
+        return F.exists(taken, lambda t: t.eqNullSafe(p["page"]))
+
+    notes = F.transform(F.filter("cs", lambda p: p["nt"] & ~is_taken(p)), lambda p: p["page"])
+    years = F.sort_array(F.array_distinct(F.flatten(F.transform(
+        F.filter("cs", is_taken), lambda p: p["years"]))), False)
+    score = {s: sum((F.col(n).cast("int") for n in DIALECT_PHRASES if n[0] == s), F.lit(0))
+             for s in "iu"}
     return folded.select(
         "doc_id", "filleted", F.col("r.i").alias("income_page"),
         F.col("r.b").alias("balance_page"), F.col("r.c").alias("cashflow_page"),
-        notes.alias("notes_pages"))
+        notes.alias("notes_pages"), F.get(years, F.lit(0)).alias("current_year"),
+        F.get(years, F.lit(1)).alias("prior_year"),
+        F.when(score["i"] > score["u"], "ifrs").otherwise("uk_gaap").alias("dialect"))
 
 
-def statement_pages(roles: DataFrame) -> DataFrame:
-    """(doc_id, statement, page): long form of the roles; income is skipped when filleted."""
+def page_roles(pages: DataFrame) -> DataFrame:
+    """(doc_id, filleted, income_page, balance_page, cashflow_page, notes_pages)."""
+    return documents(pages).drop("current_year", "prior_year", "dialect")
+
+
+def year_columns(pages: DataFrame) -> DataFrame:
+    """(doc_id, current_year, prior_year): the two latest year tokens of statement pages."""
+    return documents(pages).select("doc_id", "current_year", "prior_year").where(
+        "current_year is not null")
+
+
+def with_dialect(pages: DataFrame) -> DataFrame:
+    """(doc_id, dialect): more international than local phrases means ifrs."""
+    return documents(pages).select("doc_id", "dialect")
+
+
+def statement_pages(docs: DataFrame) -> DataFrame:
+    """One row per statement or notes page with its document's years and dialect.
+
+    A page has one role, so the result is unique by page.  Income is absent when filleted.
+    """
     def one(name, col):
         return F.struct(F.lit(name).alias("statement"), F.col(col).alias("page"))
 
@@ -162,117 +217,92 @@ def statement_pages(roles: DataFrame) -> DataFrame:
                     one("cash_flow_statement", "cashflow_page"))
     notes = F.transform("notes_pages", lambda p: F.struct(
         F.lit("notes").alias("statement"), p.alias("page")))
-    return roles.select("doc_id", F.inline(F.concat(fixed, notes))).where("page is not null")
-
+    held = [c for c in ("current_year", "prior_year", "dialect") if c in docs.columns]
+    return docs.select("doc_id", *held, F.inline(F.concat(fixed, notes))).where(
+        "page is not null")
 
-def year_columns(tokens: DataFrame, pages: DataFrame) -> DataFrame:
-    """(doc_id, current_year, prior_year) from year tokens on the statement pages.
 
-    ``pages`` is the long role table.  Distinct years are few; the document's tokens are not.
-    """
-    fixed = pages.where("statement <> 'notes'").select(*PAGE)
-    year = F.trim("text")
-    years = tokens.where(year.rlike("^20[0-9]{2}$")).join(fixed, PAGE, "left_semi").select(
-        "doc_id", year.cast("int").alias("year")).distinct()
-    got = years.groupBy("doc_id").agg(F.sort_array(F.collect_list("year"), False).alias("ys"))
-    return got.select("doc_id", F.get("ys", F.lit(0)).alias("current_year"),
-                      F.get("ys", F.lit(1)).alias("prior_year"))
+# --- printed tables -------------------------------------------------------
+def _over_page() -> W:
+    return W.partitionBy(*PAGE)
 
 
-def phrase_flags(pages: DataFrame, phrases: dict[str, str]) -> DataFrame:
-    """One row per document: does each (lower-case) phrase occur anywhere in its text?
+def with_note_column(t: DataFrame) -> DataFrame:
+    """Add v, is_num and note_x: centre of the page's column of small integers, if any.
 
-    Phrases are tested per page and OR-ed, so no document text is assembled.  A phrase may
-    run over a page end, so the joint of every two pages is tested as well.
+    ``t`` has centres.  Window aggregates over the page, so tokens are not joined to
+    themselves and one shuffle by page serves all table steps.
     """
-    reach = max(len(p) for p in phrases.values())
-    low = F.lower("text")
-    inside = pages.select(*PAGE, F.substring(low, 1, reach).alias("head"),
-                          F.right(low, F.lit(reach)).alias("tail"),
-                          *[low.contains(p).alias(n) for n, p in phrases.items()])
-    following = F.lead("head").over(W.partitionBy("doc_id").orderBy("page"))
-    joint = F.concat_ws(" ", "tail", "following")
-    return inside.withColumn("following", following).groupBy("doc_id").agg(
-        F.max("page").alias("last_page"),
-        *[F.bool_or(F.col(n) | joint.contains(p)).alias(n) for n, p in phrases.items()])
-
-
-def with_dialect(pages: DataFrame) -> DataFrame:
-    """(doc_id, dialect): more international than local phrases means ifrs."""
-    phrases = {f"i{k}": p for k, p in enumerate(lookups.IFRS_SIGNALS)} | {
-        f"u{k}": p for k, p in enumerate(lookups.UKGAAP_SIGNALS)}
-    docs = phrase_flags(pages, phrases)
-    total = {s: sum((F.col(n).cast("int") for n in phrases if n[0] == s), F.lit(0))
-             for s in "iu"}
-    return docs.select("doc_id", F.when(total["i"] > total["u"], "ifrs").otherwise(
-        "uk_gaap").alias("dialect"))
+    lo, hi = NOTE_ZONE
+    t = t.withColumns({"v": numbers.printed_number(F.col("text")),
+                       "is_num": numbers.is_number_text(F.col("text"))})
+    zone = (F.col("x") > F.col("page_width") * lo) & (F.col("x") < F.col("page_width") * hi)
+    nx = F.when(F.col("is_num") & F.col("v").between(1, 30) & zone, F.col("x"))
+    w = _over_page()
+    return t.withColumns({"_n": F.count(nx).over(w), "_lo": F.min(nx).over(w),
+                          "_hi": F.max(nx).over(w), "_avg": F.avg(nx).over(w)}).withColumn(
+        "note_x", F.when((F.col("_n") >= 2) & (F.col("_hi") - F.col("_lo") < 30),
+                         F.col("_avg"))).drop("_n", "_lo", "_hi", "_avg")
 
 
-# --- printed tables -------------------------------------------------------
 def note_column(tokens: DataFrame) -> DataFrame:
-    """(doc_id, page, note_x): centre of a column of small integers, where there is one."""
-    t = with_centres(tokens)
-    v = numbers.printed_number(F.col("text"))
-    lo, hi = NOTE_ZONE
-    zone = (F.col("x") > F.col("page_width") * lo) & (F.col("x") < F.col("page_width") * hi)
-    found = t.where(numbers.is_number_text(F.col("text")) & v.between(1, 30) & zone)
-    return found.groupBy(*PAGE).agg(
-        F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"),
-        F.avg("x").alias("note_x")).where("n >= 2 and hi - lo < 30").select(*PAGE, "note_x")
+    """(doc_id, page, note_x) of the pages that have a notes column."""
+    return with_note_column(with_centres(tokens)).groupBy(*PAGE).agg(
+        F.max("note_x").alias("note_x")).where("note_x is not null")
 
 
-def value_columns(tokens: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys.., c1, c2): centres of the current and prior value columns of a table page.
+def with_value_columns(t: DataFrame) -> DataFrame:
+    """Add c1 and c2, the centres of the current and prior value columns of the page.
 
-    ``tokens`` carries note_x and the document's two years.  With more than two clusters
-    the left half is averaged into the current column and the right half into the prior one.
+    ``t`` carries note_x and the document's two years.  With more than two clusters the
+    left half is averaged into the current column and the right half into the prior one.
+    Pages without values drop out.
     """
-    v = numbers.printed_number(F.col("text"))
     near_note = F.coalesce(F.abs(F.col("x") - F.col("note_x")) < NOTE_REACH, F.lit(False))
-    is_year = F.coalesce((v == F.col("current_year")) | (v == F.col("prior_year")), F.lit(False))
-    nums = tokens.where(
-        numbers.is_number_text(F.col("text")) & (F.abs(v) > 50) & ~is_year
-        & (F.col("x") > F.col("page_width") * LABEL_EDGE) & ~near_note)
-    clusters = islands(nums, keys, "x", COLUMN_GAP, "k").groupBy(*keys, "k").agg(
-        F.avg("x").alias("cx"), F.max("page_width").alias("w"))
-    pages = clusters.groupBy(*keys).agg(F.sort_array(F.collect_list("cx")).alias("cs"),
-                                        F.max("w").alias("w"))
+    is_year = F.coalesce((F.col("v") == F.col("current_year"))
+                         | (F.col("v") == F.col("prior_year")), F.lit(False))
+    t = t.withColumns({"near_note": near_note, "is_year": is_year})
+    is_val = F.coalesce(F.col("is_num") & (F.abs(F.col("v")) > 50) & ~is_year & ~near_note
+                        & (F.col("x") > F.col("page_width") * LABEL_EDGE), F.lit(False))
+    t = islands(t.withColumn("is_val", is_val), [*PAGE, "is_val"], "x", COLUMN_GAP, "k")
+    cx = F.avg("x").over(W.partitionBy(*PAGE, "is_val", "k"))
+    t = t.withColumn("cx", F.when(F.col("is_val"), cx))
+    t = t.withColumn("cs", F.sort_array(F.collect_set("cx").over(_over_page()))).where(
+        F.size("cs") > 0)
     n = F.size("cs")
     half = F.floor(n / 2).cast("int")
 
     def mean(a, count):
         return F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / count
 
-    return pages.select(
-        *keys,
-        F.when(n <= 2, F.get("cs", F.lit(0))).otherwise(
-            mean(F.slice("cs", F.lit(1), half), half)).alias("c1"),
-        F.when(n == 1, F.col("w") * 0.85).when(n == 2, F.get("cs", F.lit(1))).otherwise(
-            mean(F.slice("cs", half + 1, n - half), n - half)).alias("c2"))
+    return t.withColumns({
+        "c1": F.when(n <= 2, F.get("cs", F.lit(0))).otherwise(
+            mean(F.slice("cs", F.lit(1), half), half)),
+        "c2": F.when(n == 1, F.col("page_width") * 0.85).when(n == 2, F.get("cs", F.lit(1)))
+        .otherwise(mean(F.slice("cs", half + 1, n - half), n - half)),
+    }).drop("is_val", "k", "cx", "cs")
 
 
-def table_rows(tokens: DataFrame, pages: DataFrame, years: DataFrame) -> DataFrame:
-    """Rows of the statement pages: label text, last number per value column, nil marks.
+def table_rows(tokens: DataFrame, pages: DataFrame) -> DataFrame:
+    """Rows of the statement pages: label text, last number per value column.
 
-    ``pages(doc_id, statement, page)`` picks the pages first (left semi), so the costly
-    branch reads only them.  One row per (doc, page, row number).
+    ``pages`` (see statement_pages) picks the pages first, so the costly branch reads only
+    them.  One row per (doc, page, row number) with the page's statement and dialect.
     """
-    chosen = pages.select(*PAGE).distinct().join(years, "doc_id", "left")
-    t = with_centres(tokens.join(chosen, PAGE))
-    t = t.join(note_column(t), PAGE, "left")
-    t = t.join(value_columns(t, PAGE), PAGE)
+    held = ["statement", "dialect"]
+    t = with_centres(tokens.join(pages, PAGE)).select(
+        *PAGE, *held, "current_year", "prior_year", "x", "y", "text", "page_width")
+    t = with_value_columns(with_note_column(t))
     t = islands(t, PAGE, "y", ROW_GAP, "row", ["x", "text"])
     middle = (F.col("c1") + F.col("c2")) / 2
-    v = numbers.printed_number(F.col("text"))
-    is_num = numbers.is_number_text(F.col("text"))
-    is_year = F.coalesce((v == F.col("current_year")) | (v == F.col("prior_year")), F.lit(False))
-    near_note = F.coalesce(F.abs(F.col("x") - F.col("note_x")) < NOTE_REACH, F.lit(False))
     zone = (F.when(F.col("x") < F.col("page_width") * LABEL_EDGE, "label")
-            .when(near_note, "note").when(F.col("x") < middle, "c1").otherwise("c2"))
-    t = t.withColumns({"zone": zone, "v": F.when(is_num & ~is_year, v), "is_num": is_num})
+            .when(F.col("near_note"), "note").when(F.col("x") < middle, "c1").otherwise("c2"))
+    t = t.withColumns({"zone": zone,
+                       "v": F.when(F.col("is_num") & ~F.col("is_year"), F.col("v"))})
     pos = F.struct("y", "x", "text")
     label = F.when(F.col("zone") == "label", F.struct("x", "y", F.col("text").alias("_t")))
     return t.groupBy(*PAGE, "row").agg(
+        *[F.first(c).alias(c) for c in held],
         F.lower(F.trim(F.array_join(F.transform(
             F.sort_array(F.collect_list(label)), lambda e: e["_t"]), " "))).alias("label"),
         F.count_if(F.col("is_num") & F.col("zone").isin("c1", "c2")).alias("n_numbers"),
@@ -287,7 +317,7 @@ def carried_labels(rows: DataFrame) -> DataFrame:
     nil line (0, 0) when it names a field and the next row names another; otherwise its
     text is carried down to the next row with numbers.
     """
-    order = W.partitionBy(*PAGE, "statement").orderBy("row")
+    order = W.partitionBy(*PAGE).orderBy("row")
     has_numbers = F.col("n_numbers") > 0
     label_only = (F.col("label") != "") & ~has_numbers
     nil = label_only & F.col("own_field").isNotNull() & F.coalesce(
@@ -300,7 +330,7 @@ def carried_labels(rows: DataFrame) -> DataFrame:
     closes = (F.col("kind") != "carry").cast("int")
     r = r.withColumn("island", F.coalesce(F.sum(closes).over(
         order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    in_island = W.partitionBy(*PAGE, "statement", "island").orderBy("row")
+    in_island = W.partitionBy(*PAGE, "island").orderBy("row")
     carried = F.array_join(F.collect_list(F.when(F.col("label") != "", F.col("label"))).over(
         in_island.rowsBetween(W.unboundedPreceding, 0)), " ")
     return r.withColumn("full_label", F.when(F.col("kind") == "nil", F.col("label")).otherwise(
@@ -335,6 +365,12 @@ def named_fields(label: Column) -> Column:
     return branch
 
 
+def with_named_fields(rows: DataFrame) -> DataFrame:
+    """Add the fields a row's own label names, and the first of them."""
+    return rows.withColumn("named_fields", named_fields(F.col("label"))).withColumn(
+        "own_field", F.get("named_fields", F.lit(0)))
+
+
 def match_labels(rows: DataFrame) -> DataFrame:
     """Label theta join as a broadcast: first list pattern contained in ``full_label``."""
     table = F.broadcast(lookups.label_table(rows.sparkSession))
@@ -344,15 +380,12 @@ def match_labels(rows: DataFrame) -> DataFrame:
         F.min_by("printed_field", "rule_order").alias("printed_field"))
 
 
-def printed_facts(tokens: DataFrame, pages: DataFrame, years: DataFrame,
-                  dialects: DataFrame) -> DataFrame:
-    """(doc_id, statement, printed_field, current, prior): figures of the statement pages.
+def printed_facts(tokens: DataFrame, pages: DataFrame) -> DataFrame:
+    """(doc_id, statement, printed_field, years, current, prior) of the statement pages.
 
     The last matching row of a statement wins, and a later notes page wins over an earlier.
     """
-    rows = table_rows(tokens, pages, years).join(pages, PAGE).join(dialects, "doc_id")
-    rows = rows.withColumn("named_fields", named_fields(F.col("label"))).withColumn(
-        "own_field", F.get("named_fields", F.lit(0)))
+    rows = with_named_fields(table_rows(tokens, pages))
     carried = carried_labels(rows).where(F.col("kind").isin("nil", "value"))
     matched = carried.withColumns({
         "printed_field": F.get(named_fields(F.col("full_label")), F.lit(0)),
@@ -362,21 +395,28 @@ def printed_facts(tokens: DataFrame, pages: DataFrame, years: DataFrame,
              & (F.col("current").isNotNull() | F.col("prior").isNotNull()))
     place = F.col("page").cast("bigint") * 1000000 + F.col("row")
     return matched.groupBy("doc_id", "statement", "printed_field").agg(
+        F.first("dialect").alias("dialect"),
         F.max_by(F.struct("current", "prior"), place).alias("v")).select(
-        "doc_id", "statement", "printed_field", "v.*")
+        "doc_id", "statement", "printed_field", "dialect", "v.*")
 
 
-def canonical_facts(facts: DataFrame, years: DataFrame) -> DataFrame:
+def by_year(facts: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, statement, printed_field, year, value): one row per figure and year."""
+    years = docs.select("doc_id", "current_year", "prior_year")
+    return facts.join(years, "doc_id").select(
+        "doc_id", "statement", "printed_field", F.inline(F.array(
+            F.struct(F.col("current_year").alias("year"), F.col("current").alias("value")),
+            F.struct(F.col("prior_year").alias("year"), F.col("prior").alias("value"))))).where(
+        "value is not null and year is not null")
+
+
+def canonical_facts(facts: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc_id, year, statement, field, value): printed figures under canonical names.
 
     Depreciation and amortisation in notes are lifted where no cash-flow line gives them.
     """
     spark = facts.sparkSession
-    long = facts.join(years, "doc_id").select(
-        "doc_id", "statement", "printed_field", F.inline(F.array(
-            F.struct(F.col("current_year").alias("year"), F.col("current").alias("value")),
-            F.struct(F.col("prior_year").alias("year"), F.col("prior").alias("value"))))).where(
-        "value is not null and year is not null")
+    long = by_year(facts, docs)
     named = long.join(F.broadcast(lookups.printed_fields(spark)), ["statement", "printed_field"])
     notes = long.where((F.col("statement") == "notes") & F.col("printed_field").isin(
         "depreciation", "amortisation")).withColumn("field", F.col("printed_field"))
@@ -424,7 +464,7 @@ def employee_page(pages: DataFrame, roles: DataFrame, tokens: DataFrame) -> Data
     return found.groupBy("doc_id").agg(F.min("page").alias("page"))
 
 
-def headcount(tokens: DataFrame, staff_pages: DataFrame, years: DataFrame) -> DataFrame:
+def headcount(tokens: DataFrame, staff_pages: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc_id, current, prior): average employees from the staff note.
 
     A labelled total (or an unlabelled number row under the categories) wins; otherwise the
@@ -445,7 +485,8 @@ def headcount(tokens: DataFrame, staff_pages: DataFrame, years: DataFrame) -> Da
     ends = t.groupBy(*PAGE).agg(F.min(F.when(stop, F.col("y"))).alias("stop"))
     t = t.join(ends, PAGE).where(F.col("y").between(
         F.col("start"), F.coalesce("stop", F.col("start") + 300)))
-    t = anchored_rows(t, PAGE, "y", ROW_GAP, "row").join(years, "doc_id", "left")
+    t = anchored_rows(t, PAGE, "y", ROW_GAP, "row").join(
+        docs.select("doc_id", "current_year", "prior_year"), "doc_id", "left")
     v = numbers.printed_number(F.col("text"))
     is_num = numbers.is_number_text(F.col("text"))
     is_year = F.coalesce((v == F.col("current_year")) | (v == F.col("prior_year")), F.lit(False))

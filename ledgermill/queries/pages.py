@@ -177,12 +177,15 @@ def _pages(spark, d):
     return ops.page_text(bridge.tokens(spark, d))
 
 
-def _facts(spark, d):
+def _prepared(spark, d):
     t = bridge.tokens(spark, d)
-    pg = ops.page_text(t)
-    roles = ops.statement_pages(ops.page_roles(pg))
-    years = ops.year_columns(t, roles)
-    return ops.printed_facts(t, roles, years, ops.with_dialect(pg)), years
+    docs = ops.documents(ops.page_text(t))
+    return t, docs, ops.statement_pages(docs)
+
+
+def _facts(spark, d):
+    t, docs, roles = _prepared(spark, d)
+    return ops.printed_facts(t, roles), docs
 
 
 @query("h3_h4_printed_numbers", sql("""
@@ -278,8 +281,7 @@ def s9(spark, d):
 
 @query("d28_year_columns", sql("SELECT * FROM docyears", "docyears"))
 def d28(spark, d):
-    t = bridge.tokens(spark, d)
-    return ops.year_columns(t, ops.statement_pages(ops.page_roles(ops.page_text(t))))
+    return ops.year_columns(_pages(spark, d))
 
 
 @query("d27_dialect", sql("SELECT * FROM dialects", "dialects"))
@@ -293,28 +295,18 @@ def s10(spark, d):
     return ops.note_column(bridge.tokens(spark, d)).withColumn("note_x", F.round("note_x", 6))
 
 
-def _prepared(spark, d):
-    t = bridge.tokens(spark, d)
-    pg = ops.page_text(t)
-    roles = ops.statement_pages(ops.page_roles(pg))
-    return t, pg, roles, ops.year_columns(t, roles)
-
-
 @query("s11_table_rows", sql("""
     SELECT doc_id, page, row, label, n_numbers, v1, v2 FROM trows""", "trows"))
 def s11(spark, d):
-    t, _, roles, years = _prepared(spark, d)
-    return ops.table_rows(t, roles, years)
+    t, _, roles = _prepared(spark, d)
+    return ops.table_rows(t, roles).drop("statement", "dialect")
 
 
 @query("e10_e11_carried_labels", sql("""
     SELECT doc_id, page, statement, row, kind, full_label FROM crows""", "crows"))
 def e10(spark, d):
-    t, pg, roles, years = _prepared(spark, d)
-    rows = ops.table_rows(t, roles, years).join(roles, ops.PAGE).join(
-        ops.with_dialect(pg), "doc_id")
-    rows = rows.withColumn("named_fields", ops.named_fields(F.col("label"))).withColumn(
-        "own_field", F.get("named_fields", F.lit(0)))
+    t, _, roles = _prepared(spark, d)
+    rows = ops.with_named_fields(ops.table_rows(t, roles))
     return ops.carried_labels(rows).select("doc_id", "page", "statement", "row", "kind",
                                            "full_label")
 
@@ -323,15 +315,14 @@ def e10(spark, d):
     SELECT doc_id, page, statement, row, own AS printed_field FROM lrows WHERE own IS NOT NULL""",
                                   "lrows"))
 def c9(spark, d):
-    t, pg, roles, years = _prepared(spark, d)
-    rows = ops.table_rows(t, roles, years).join(roles, ops.PAGE).join(
-        ops.with_dialect(pg), "doc_id").withColumn("full_label", F.col("label"))
+    t, _, roles = _prepared(spark, d)
+    rows = ops.table_rows(t, roles).withColumn("full_label", F.col("label"))
     return ops.match_labels(rows).select("doc_id", "page", "statement", "row", "printed_field")
 
 
 @query("s12_printed_facts", sql("SELECT * FROM pfacts", "pfacts"))
 def s12(spark, d):
-    return _facts(spark, d)[0]
+    return _facts(spark, d)[0].drop("dialect")
 
 
 _MAP = ([("income_statement", k, v) for k, v in lookups.PRINTED_INCOME.items()]
@@ -356,8 +347,7 @@ view("pcanon", """
 
 @query("c20_r12_canonical_printed_facts", sql("SELECT * FROM pcanon", "pcanon"))
 def r12(spark, d):
-    facts, years = _facts(spark, d)
-    return ops.canonical_facts(facts, years)
+    return ops.canonical_facts(*_facts(spark, d))
 
 
 _WIDE = ["turnover", "revenue", "cost_of_sales", "gross_profit", "operating_cash_flow",
@@ -380,12 +370,8 @@ _WIDE = ["turnover", "revenue", "cost_of_sales", "gross_profit", "operating_cash
     f"max(value) FILTER (printed_field = '{f}') AS {f}" for f in _WIDE)
     + " FROM plong WHERE statement <> 'notes' GROUP BY 1, 2))", "plong"))
 def r10(spark, d):
-    facts, years = _facts(spark, d)
-    long = facts.where("statement <> 'notes'").join(years, "doc_id").select(
-        "doc_id", "printed_field", F.inline(F.array(
-            F.struct(F.col("current_year").alias("year"), F.col("current").alias("value")),
-            F.struct(F.col("prior_year").alias("year"), F.col("prior").alias("value"))))).where(
-        "year is not null and value is not null")
+    facts, docs = _facts(spark, d)
+    long = ops.by_year(facts.where("statement <> 'notes'"), docs)
     wide = long.groupBy("doc_id", "year").pivot("printed_field", _WIDE).agg(F.max("value"))
     return rules.printed_checks(wide)
 
@@ -394,9 +380,8 @@ def r10(spark, d):
 def s13(spark, d):
     t = bridge.tokens(spark, d)
     pg = ops.page_text(t)
-    roles = ops.page_roles(pg)
-    years = ops.year_columns(t, ops.statement_pages(roles))
-    return ops.headcount(t, ops.employee_page(pg, roles, t), years)
+    docs = ops.documents(pg)
+    return ops.headcount(t, ops.employee_page(pg, docs, t), docs)
 
 
 view("p2", f"""
@@ -451,8 +436,8 @@ def d40(spark, d):
         AND contains(r.label, l.pattern) WHERE r.n_numbers > 0 GROUP BY 1, 2) GROUP BY 1""",
                                      "trows", "stpages", "labels_"))
 def d42(spark, d):
-    t, _, roles, years = _prepared(spark, d)
-    rows = ops.table_rows(t, roles, years).where("n_numbers > 0").join(roles, ops.PAGE)
+    t, _, roles = _prepared(spark, d)
+    rows = ops.table_rows(t, roles).where("n_numbers > 0").drop("dialect")
     table = F.broadcast(lookups.label_table(spark))
     hit = rows.join(table, "statement").where(F.col("label").contains(F.col("pattern")))
     n = hit.groupBy("doc_id", "dialect", "page", "row").agg(F.lit(1).alias("one")).groupBy(

@@ -597,7 +597,7 @@ def d39(spark, d):
 
 
 @query("s25_tagged_over_printed", sql("""
-    SELECT doc_id::varchar AS company_number, section_id,
+    SELECT doc_id::varchar AS company_number, s.section_id,
       CASE WHEN h.filing_id IS NOT NULL OR status <> 'found' THEN 'tagged' ELSE 'printed' END
         AS source,
       CASE WHEN h.filing_id IS NOT NULL THEN 'found' ELSE status END AS status

@@ -27,8 +27,8 @@ ENTITIES = [("&nbsp;", " "), ("&pound;", "£"), ("&lt;", "<"), ("&gt;", ">"), ("
 def attribute(element: Column, name: str) -> Column:
     """Attribute of the opening tag, null when absent."""
     opening = F.substring_index(element, ">", 1)
-    found = F.regexp_extract(opening, rf"(?i)\s{name}\s*=\s*[\"']([^\"']*)[\"']", 1)
-    return F.when(opening.rlike(rf"(?i)\s{name}\s*="), found)
+    return F.get(F.regexp_extract_all(
+        opening, F.lit(rf"(?i)\s{name}\s*=\s*[\"']([^\"']*)[\"']"), F.lit(1)), F.lit(0))
 
 
 def decode(value: Column) -> Column:
@@ -88,14 +88,16 @@ def facts(documents: DataFrame) -> DataFrame:
     def fact(element: Column, i: Column) -> Column:
         ref = attribute(element, "contextref")
         ctx = F.try_element_at(F.filter("_ctx", lambda c: c["ctx_id"] == ref), F.lit(-1))
-        return F.struct(
+        # A one-element transform binds the context, so it is looked up once per fact.
+        return F.get(F.transform(F.array(ctx), lambda c: F.struct(
             i.cast("bigint").alias("ord"), attribute(element, "name").alias("name"),
-            ref.alias("ctx_id"), ctx["year"].alias("year"),
-            ctx["dimensional"].alias("dimensional"), ctx["members"].alias("members"),
+            ref.alias("ctx_id"), c["year"].alias("year"),
+            c["dimensional"].alias("dimensional"), c["members"].alias("members"),
             attribute(element, "unitref").alias("unit"),
             attribute(element, "scale").alias("scale"),
             attribute(element, "decimals").alias("decimals"),
-            attribute(element, "sign").alias("sign"), strip_tags(element, "").alias("raw"))
+            attribute(element, "sign").alias("sign"), strip_tags(element, "").alias("raw"))),
+            F.lit(0))
 
     elements = F.regexp_extract_all("content", F.lit(FACT), F.lit(0))
     return held.select(*keys, F.inline(F.transform(elements, fact))).where("year is not null")
