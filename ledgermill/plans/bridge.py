@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions import numbers
 from ledgermill.operators import facts as facts_ops
+from ledgermill.sources.tables import spread
 
 # (tag, canonical field or None): cycled over line items as fact names.
 BRIDGE_TAGS = [
@@ -124,7 +125,7 @@ def fact_columns(company: str, duck: bool) -> dict[str, str]:
 
 def fact_rows(spark: SparkSession, d: str, company: str = "l_suppkey") -> DataFrame:
     """Unparsed tagged facts; ``company`` picks the dense or sparse grouping."""
-    joined = table(spark, d, "lineitem").join(
+    joined = spread(table(spark, d, "lineitem"), "l_orderkey").join(
         table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(*[F.expr(e).alias(n) for n, e in fact_columns(company, False).items()])
 
@@ -259,7 +260,7 @@ PATCH_COLUMN = ("case when event_id % 13 = 0 then null else concat('{\"filing_fo
 
 
 def companies(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").select(
+    return spread(table(spark, d, "events"), "event_id").select(
         *[F.expr(e).alias(n) for n, e in COMPANY_COLUMNS.items()],
         F.expr(PATCH_COLUMN).alias("patch"))
 
@@ -282,7 +283,7 @@ ROW_LABELS = [
     "Operating profit", "Tangible assets", "Debtors", "Cash at bank", "Creditors",
     "Called up share capital", "Net cash from operating activities", "Tax paid",
     "Cash and cash equivalents at beginning", "Depreciation charge for the year", "Staff costs",
-    "Directors", "Production staff", "Total assets", "Borrowings", "Trade and other payables",
+    "Directors", "Production staff", "Average number", "Total assets", "Borrowings", "Trade and other payables",
     "3. Accounting policies",
 ]
 PHRASES = [
@@ -300,7 +301,10 @@ def token_columns(duck: bool) -> dict[str, str]:
     line = "cast(floor((i % 200) / 10) as int)"
     col = "cast(i % 10 as int)"
     page = "cast(floor(i / 200) as int)"
-    heading = pick(HEADINGS, f"cast((doc_id + {page} * 5) % {len(HEADINGS)} as int)", duck)
+    # One document in five repeats a heading over four pages, alone in the top band.
+    repeats = "doc_id % 5 = 1"
+    heading = pick(HEADINGS, f"cast((doc_id + case when {repeats} then cast(floor({page} / 4) as "
+                             f"int) else {page} * 5 end) % {len(HEADINGS)} as int)", duck)
     contents = f"(doc_id % 4 = 0 and {page} = 1)"
     title = pick(HEADINGS[:10], f"cast((doc_id + {line}) % 10 as int)", duck)
     label = pick(ROW_LABELS, f"cast((doc_id * 3 + {page} * 7 + {line}) % {len(ROW_LABELS)} as int)",
@@ -324,7 +328,8 @@ def token_columns(duck: bool) -> dict[str, str]:
         f"when {col} = 5 and doc_id % 2 = 0 then cast(1 + i % 29 as string) "
         f"else word end")
     y = (f"cast(20 + 38 * {line} - case when {line} % 4 = 3 then 21 else 0 end "
-         f"+ ({col} % 3) * 2 as double)")
+         f"+ ({col} % 3) * 2 + case when {repeats} and {line} = 0 and {col} > 0 then 30 else 0 end "
+         "as double)")
     x = f"cast(30 + 50 * {col} as double)"
     return {
         "doc_id": "doc_id", "page": f"{page} + 1", "i": "cast(i as bigint)",
@@ -336,7 +341,7 @@ def token_columns(duck: bool) -> dict[str, str]:
 
 def tokens(spark: SparkSession, d: str) -> DataFrame:
     """Every word of every document as a positioned token."""
-    words = table(spark, d, "documents").select(
+    words = spread(table(spark, d, "documents"), "doc_id").select(
         "doc_id", F.posexplode(F.split("text", r"[ \t\n\r]+")).alias("i", "word"))
     return words.select(*[F.expr(e).alias(n) for n, e in token_columns(False).items()])
 
@@ -364,7 +369,7 @@ def body_expr(duck: bool) -> str:
 
 
 def bodies(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select(
+    return spread(table(spark, d, "documents"), "doc_id").select(
         F.col("doc_id").cast("string").alias("filing_id"),
         F.expr(body_expr(False)).alias("body_text"))
 
@@ -449,7 +454,7 @@ def markup_expr() -> str:
 
 def markup(spark: SparkSession, d: str) -> DataFrame:
     """(company_number, filing_id, filing_date, recency, content): one document per order."""
-    o = table(spark, d, "orders")
+    o = spread(table(spark, d, "orders"), "o_orderkey")
     date = F.col("o_orderdate").cast("date")
     return o.select(
         F.col("o_custkey").cast("string").alias("company_number"),

@@ -19,6 +19,16 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or tempfile.mkdtemp(prefix="ledgermill-")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread an input that arrives in too few splits for costly row work.
+
+    A single small file is one task, whatever the cluster.  Inputs that already have a split
+    per core are returned as they are, so large tables are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def select_where(table: DataFrame, columns: list[str], limit: int | None = None,
                  **equal) -> DataFrame:
     """Projection, equality filters and an optional limit; all pushed to the scan."""
