@@ -74,7 +74,7 @@ def _candidates(df: DataFrame, signal: str, end: Column | None = None) -> DataFr
 def printed_contents(tokens: DataFrame, pages: DataFrame) -> DataFrame:
     """Locator: rows of a contents page (title left of the rightmost page number)."""
     last = pages.groupBy("doc_id").agg(F.max("page").alias("last"))
-    lead_pages = pages.withColumn("nth", F.row_number().over(
+    lead_pages = pages.select("doc_id", "page", "top25").withColumn("nth", F.row_number().over(
         W.partitionBy("doc_id").orderBy("page"))).where("nth <= 4")
     toc = tok.with_band_flags(lead_pages).where("is_contents").select("doc_id", "page").join(
         last, "doc_id")
@@ -100,23 +100,22 @@ def printed_contents(tokens: DataFrame, pages: DataFrame) -> DataFrame:
                         F.lit(None).cast("int").alias("end_page"), F.lit("toc").alias("signal"))
 
 
-def confirmed_auditor(pages: DataFrame) -> DataFrame:
-    """Pages with body wording of an audit report on them or on the next page."""
+def heading_anchors(pages: DataFrame) -> DataFrame:
+    """Locator: heading phrases in the top quarter; a long band must be mostly capitals.
+
+    An audit-report heading counts only with report wording on its page or the next one.
+    Texts are reduced to flags before the window over a document's pages.
+    """
+    small = pages.select(
+        "doc_id", "page",
+        text.contains_any(F.lower("text"), lookups.AUDITOR_BODY_PHRASES).alias("body"),
+        F.when((F.col("n25") <= 40) | (F.col("caps25") / F.col("n25") >= 0.5),
+               text.all_anchors(F.col("top25"))).alias("anchors"))
     order = W.partitionBy("doc_id").orderBy("page")
-    body = text.contains_any(F.lower("text"), lookups.AUDITOR_BODY_PHRASES)
-    flagged = pages.withColumn("body", body)
     adjacent = F.lead("page").over(order) == F.col("page") + 1
-    return flagged.withColumn("confirmed", F.col("body") | F.coalesce(
-        adjacent & F.lead("body").over(order), F.lit(False)))
-
-
-def heading_anchors(pages: DataFrame) -> DataFrame:
-    """Locator: heading phrases in the top quarter; a long band must be mostly capitals."""
-    light = pages.select("doc_id", "page", "text", "top25", "n25", "caps25")
-    kept = confirmed_auditor(light).where(
-        (F.col("n25") <= 40) | (F.col("caps25") / F.col("n25") >= 0.5))
-    hits = kept.select("doc_id", "page", "confirmed",
-                       F.explode(text.all_anchors(F.col("top25"))).alias("section_id")).where(
+    confirmed = F.col("body") | F.coalesce(adjacent & F.lead("body").over(order), F.lit(False))
+    hits = small.withColumn("confirmed", confirmed).select(
+        "doc_id", "page", "confirmed", F.explode("anchors").alias("section_id")).where(
         (F.col("section_id") != "auditor_report") | F.col("confirmed"))
     return _candidates(hits, "hard_anchor")
 

@@ -468,3 +468,10 @@ def overview(spark, d):
     rows = computed(spark, d).select("company_number", "year", "revenue", "ebitda_margin")
     grown = growth.with_yoy(rows, {"revenue": "revenue_yoy"})
     return growth.current_rows(grown)
+
+
+@query("e17_ordered_output", sql("""
+    SELECT company_number, year, value FROM history ORDER BY value DESC, company_number, year
+    LIMIT 50""", "history"))
+def e17(spark, d):
+    return bridge.history(spark, d).orderBy(F.desc("value"), "company_number", "year").limit(50)
