@@ -39,24 +39,24 @@ def islands(df: DataFrame, keys: list[str], position: str, gap: float, out: str,
 
 def anchored_rows(df: DataFrame, keys: list[str], position: str, gap: float,
                   out: str) -> DataFrame:
-    """Number clusters measured from the first member: a fold over the sorted page.
+    """Number clusters measured from their first member.
 
-    Each distinct position is one element, so the array is bounded by the page height.
+    A fold over the distinct positions of a page finds where rows begin (bounded by the page
+    height); a member's number is how many rows begin at or above it.
     """
-    sorted_ = F.sort_array(F.collect_set(position))
-    start = F.struct(F.lit(None).cast("double").alias("first"), F.lit(-1).alias("n"),
-                     F.array().cast("array<struct<p:double,n:int>>").alias("rows"))
+    others = [c for c in df.columns if c not in keys]
 
-    def step(acc, p):
-        fresh = acc["first"].isNull() | (p - acc["first"] > gap)
-        n = F.when(fresh, acc["n"] + 1).otherwise(acc["n"])
-        return F.struct(F.when(fresh, p).otherwise(acc["first"]).alias("first"), n.alias("n"),
-                        F.concat(acc["rows"], F.array(F.struct(p.alias("p"), n.alias("n")))).alias(
-                            "rows"))
+    def step(starts, p):
+        return F.when((F.size(starts) == 0) | (p - F.element_at(starts, -1) > gap),
+                      F.concat(starts, F.array(p))).otherwise(starts)
 
-    rows = df.groupBy(*keys).agg(F.aggregate(sorted_, start, step)["rows"].alias("r"))
-    numbered = rows.select(*keys, F.inline("r")).withColumnsRenamed({"p": position, "n": out})
-    return df.join(numbered, [*keys, position])
+    pages = df.groupBy(*keys).agg(
+        F.collect_list(F.struct(*others)).alias("_items"),
+        F.sort_array(F.collect_set(position)).alias("_ys"))
+    starts = pages.select(*keys, "_items", F.aggregate(
+        "_ys", F.array().cast("array<double>"), step).alias("_starts"))
+    return starts.select(*keys, "_starts", F.inline("_items")).withColumn(
+        out, F.size(F.filter("_starts", lambda a: a <= F.col(position))) - 1).drop("_starts")
 
 
 def joined_text(order: list[str], value: str = "text", sep: str = " ") -> Column:
@@ -470,23 +470,22 @@ def headcount(tokens: DataFrame, staff_pages: DataFrame, docs: DataFrame) -> Dat
     A labelled total (or an unlabelled number row under the categories) wins; otherwise the
     category rows are summed.
     """
-    t = with_centres(tokens.join(staff_pages, PAGE, "left_semi")).withColumn(
-        "low", F.lower(F.trim("text")))
+    chosen = staff_pages.join(docs.select("doc_id", "current_year", "prior_year"), "doc_id", "left")
+    t = with_centres(tokens.join(chosen, PAGE)).select(
+        *PAGE, "x", "y", "text", "page_width", "current_year", "prior_year",
+        F.lower(F.trim("text")).alias("low"))
     left = F.col("x") < F.col("page_width") * 0.35
     head = left & (F.col("low").isin("staff", "employees") | F.col("low").contains("staff costs"))
-    start = t.where(head).groupBy(*PAGE).agg(F.min("y").alias("start"))
-    t = t.join(start, PAGE)
+    w = _over_page()
+    t = t.withColumn("start", F.min(F.when(head, F.col("y"))).over(w)).where("start is not null")
     begin = F.col("low").isin("no.", "no", "average", "number") & (F.col("y") >= F.col("start"))
+    t = t.withColumn("begin", F.min(F.when(begin, F.col("y"))).over(w))
     stops = ["aggregate", "payroll", "wages", "salaries", "incurred", "costs", "remuneration",
              "auditor"]
-    marks = t.groupBy(*PAGE).agg(F.min(F.when(begin, F.col("y"))).alias("begin"))
-    t = t.join(marks, PAGE)
     stop = left & text.contains_any(F.col("low"), stops) & (F.col("y") > F.col("begin"))
-    ends = t.groupBy(*PAGE).agg(F.min(F.when(stop, F.col("y"))).alias("stop"))
-    t = t.join(ends, PAGE).where(F.col("y").between(
-        F.col("start"), F.coalesce("stop", F.col("start") + 300)))
-    t = anchored_rows(t, PAGE, "y", ROW_GAP, "row").join(
-        docs.select("doc_id", "current_year", "prior_year"), "doc_id", "left")
+    t = t.withColumn("stop", F.min(F.when(stop, F.col("y"))).over(w)).where(
+        F.col("y").between(F.col("start"), F.coalesce("stop", F.col("start") + 300)))
+    t = anchored_rows(t, PAGE, "y", ROW_GAP, "row")
     v = numbers.printed_number(F.col("text"))
     is_num = numbers.is_number_text(F.col("text"))
     is_year = F.coalesce((v == F.col("current_year")) | (v == F.col("prior_year")), F.lit(False))

@@ -376,7 +376,61 @@ def r10(spark, d):
     return rules.printed_checks(wide)
 
 
-@query("d30_s13_headcount")
+_LOW = "lower(trim(text))"
+_STAFF = _any("lower(p.text)", ["staff costs", "average number of persons",
+                                "average number of employees", "average headcount"])
+_STOPS = _any("low", ["aggregate", "payroll", "wages", "salaries", "incurred", "costs",
+                      "remuneration", "auditor"])
+view("emp", f"""
+    SELECT n.doc_id, min(n.page) AS page FROM notepages n JOIN pg p USING (doc_id, page)
+    LEFT JOIN (SELECT DISTINCT doc_id, page, true AS hit FROM tok WHERE x < page_width * 0.35
+      AND {_LOW} = 'employees') h USING (doc_id, page)
+    WHERE ({_STAFF} AND {_any('lower(p.text)', ['no.', 'average number'])})
+      OR (hit AND contains(lower(p.text), 'employees')) GROUP BY 1""", "notepages", "pg", "tok")
+view("hc", f"""
+    SELECT t.doc_id, x, y, {_LOW} AS low, is_num, v, x < page_width * 0.35 AS lft,
+      x < page_width * 0.5 AS lab, coalesce(v = current_year OR v = prior_year, false) AS is_year
+    FROM tok t JOIN emp USING (doc_id, page) LEFT JOIN docyears USING (doc_id)""",
+     "tok", "emp", "docyears")
+view("hc1", """
+    SELECT hc.*, s FROM hc JOIN (SELECT doc_id, min(y) AS s FROM hc WHERE lft AND
+      (low IN ('staff', 'employees') OR contains(low, 'staff costs')) GROUP BY 1) USING (doc_id)""",
+     "hc")
+view("hc2", """
+    SELECT hc1.*, b FROM hc1 LEFT JOIN (SELECT doc_id, min(y) AS b FROM hc1 WHERE y >= s AND
+      low IN ('no.', 'no', 'average', 'number') GROUP BY 1) USING (doc_id)""", "hc1")
+view("hc3", f"""
+    SELECT hc2.* FROM hc2 LEFT JOIN (SELECT doc_id, min(y) AS e FROM hc2 WHERE lft AND y > b AND
+      {_STOPS} GROUP BY 1) USING (doc_id) WHERE y BETWEEN s AND coalesce(e, s + 300)""", "hc2")
+view("hc4", f"""
+    SELECT doc_id, row, list(v ORDER BY x, y, v) FILTER (is_num AND NOT is_year AND v > 0 AND
+        v < 100000) AS vs,
+      trim(coalesce(string_agg(low, ' ' ORDER BY x, y, low) FILTER (NOT is_num AND lab), ''))
+        AS label
+    FROM hc3 JOIN (
+      WITH RECURSIVE ys AS (SELECT DISTINCT doc_id, y, dense_rank() OVER (PARTITION BY doc_id
+          ORDER BY y) AS k FROM hc3),
+      f AS (SELECT doc_id, y, k, y AS anchor, 0 AS row FROM ys WHERE k = 1 UNION ALL
+        SELECT ys.doc_id, ys.y, ys.k, CASE WHEN ys.y - f.anchor > 20 THEN ys.y ELSE f.anchor END,
+          f.row + CASE WHEN ys.y - f.anchor > 20 THEN 1 ELSE 0 END
+        FROM f JOIN ys ON ys.doc_id = f.doc_id AND ys.k = f.k + 1)
+      SELECT doc_id, y, row FROM f) r USING (doc_id, y) GROUP BY 1, 2""", "hc3")
+_TOT = " ".join(f"WHEN contains(label, '{p}') THEN {str(t).lower()}"
+                for p, t in lookups.HEADCOUNT_LABELS)
+view("hc5", f"""
+    SELECT *, CASE WHEN own IS NULL AND label = '' AND coalesce(sum(CASE WHEN own = false THEN 1
+        ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND
+        1 PRECEDING), 0) > 0 THEN true ELSE own END AS is_total
+    FROM (SELECT *, CASE {_TOT} END AS own FROM hc4 WHERE len(vs) > 0)""", "hc4")
+
+
+@query("d30_s13_headcount", sql("""
+    SELECT * FROM (SELECT doc_id,
+      CASE WHEN bool_or(is_total) THEN arg_min(vs, row) FILTER (is_total)[1]
+        ELSE nullif(sum(vs[1]) FILTER (is_total = false), 0) END::bigint AS current,
+      CASE WHEN bool_or(is_total) THEN arg_min(vs, row) FILTER (is_total)[2]
+        ELSE nullif(sum(vs[2]) FILTER (is_total = false), 0) END::bigint AS prior
+      FROM hc5 GROUP BY 1) WHERE current IS NOT NULL OR prior IS NOT NULL""", "hc5"))
 def s13(spark, d):
     t = bridge.tokens(spark, d)
     pg = ops.page_text(t)
