@@ -287,11 +287,12 @@ def table_rows(tokens: DataFrame, pages: DataFrame) -> DataFrame:
     """Rows of the statement pages: label text, last number per value column.
 
     ``pages`` (see statement_pages) picks the pages first, so the costly branch reads only
-    them.  One row per (doc, page, row number) with the page's statement and dialect.
+    them.  One row per (doc, page, row number) with the page's statement,
+    dialect and years.
     """
-    held = ["statement", "dialect"]
+    held = ["statement", "dialect", "current_year", "prior_year"]
     t = with_centres(tokens.join(pages, PAGE)).select(
-        *PAGE, *held, "current_year", "prior_year", "x", "y", "text", "page_width")
+        *PAGE, *held, "x", "y", "text", "page_width")
     t = with_value_columns(with_note_column(t))
     t = islands(t, PAGE, "y", ROW_GAP, "row", ["x", "text"])
     middle = (F.col("c1") + F.col("c2")) / 2
@@ -381,7 +382,7 @@ def match_labels(rows: DataFrame) -> DataFrame:
 
 
 def printed_facts(tokens: DataFrame, pages: DataFrame) -> DataFrame:
-    """(doc_id, statement, printed_field, years, current, prior) of the statement pages.
+    """(doc_id, statement, printed_field, dialect, years, current, prior) of statement pages.
 
     The last matching row of a statement wins, and a later notes page wins over an earlier.
     """
@@ -395,28 +396,27 @@ def printed_facts(tokens: DataFrame, pages: DataFrame) -> DataFrame:
              & (F.col("current").isNotNull() | F.col("prior").isNotNull()))
     place = F.col("page").cast("bigint") * 1000000 + F.col("row")
     return matched.groupBy("doc_id", "statement", "printed_field").agg(
-        F.first("dialect").alias("dialect"),
+        *[F.first(c).alias(c) for c in ("dialect", "current_year", "prior_year")],
         F.max_by(F.struct("current", "prior"), place).alias("v")).select(
-        "doc_id", "statement", "printed_field", "dialect", "v.*")
+        "doc_id", "statement", "printed_field", "dialect", "current_year", "prior_year", "v.*")
 
 
-def by_year(facts: DataFrame, docs: DataFrame) -> DataFrame:
+def by_year(facts: DataFrame) -> DataFrame:
     """(doc_id, statement, printed_field, year, value): one row per figure and year."""
-    years = docs.select("doc_id", "current_year", "prior_year")
-    return facts.join(years, "doc_id").select(
+    return facts.select(
         "doc_id", "statement", "printed_field", F.inline(F.array(
             F.struct(F.col("current_year").alias("year"), F.col("current").alias("value")),
             F.struct(F.col("prior_year").alias("year"), F.col("prior").alias("value"))))).where(
         "value is not null and year is not null")
 
 
-def canonical_facts(facts: DataFrame, docs: DataFrame) -> DataFrame:
+def canonical_facts(facts: DataFrame) -> DataFrame:
     """(doc_id, year, statement, field, value): printed figures under canonical names.
 
     Depreciation and amortisation in notes are lifted where no cash-flow line gives them.
     """
     spark = facts.sparkSession
-    long = by_year(facts, docs)
+    long = by_year(facts)
     named = long.join(F.broadcast(lookups.printed_fields(spark)), ["statement", "printed_field"])
     notes = long.where((F.col("statement") == "notes") & F.col("printed_field").isin(
         "depreciation", "amortisation")).withColumn("field", F.col("printed_field"))

@@ -184,8 +184,8 @@ def _prepared(spark, d):
 
 
 def _facts(spark, d):
-    t, docs, roles = _prepared(spark, d)
-    return ops.printed_facts(t, roles), docs
+    t, _, roles = _prepared(spark, d)
+    return ops.printed_facts(t, roles)
 
 
 @query("h3_h4_printed_numbers", sql("""
@@ -299,7 +299,8 @@ def s10(spark, d):
     SELECT doc_id, page, row, label, n_numbers, v1, v2 FROM trows""", "trows"))
 def s11(spark, d):
     t, _, roles = _prepared(spark, d)
-    return ops.table_rows(t, roles).drop("statement", "dialect")
+    return ops.table_rows(t, roles).drop("statement", "dialect", "current_year",
+                                         "prior_year")
 
 
 @query("e10_e11_carried_labels", sql("""
@@ -322,7 +323,7 @@ def c9(spark, d):
 
 @query("s12_printed_facts", sql("SELECT * FROM pfacts", "pfacts"))
 def s12(spark, d):
-    return _facts(spark, d)[0].drop("dialect")
+    return _facts(spark, d).drop("dialect", "current_year", "prior_year")
 
 
 _MAP = ([("income_statement", k, v) for k, v in lookups.PRINTED_INCOME.items()]
@@ -347,7 +348,7 @@ view("pcanon", """
 
 @query("c20_r12_canonical_printed_facts", sql("SELECT * FROM pcanon", "pcanon"))
 def r12(spark, d):
-    return ops.canonical_facts(*_facts(spark, d))
+    return ops.canonical_facts(_facts(spark, d))
 
 
 _WIDE = ["turnover", "revenue", "cost_of_sales", "gross_profit", "operating_cash_flow",
@@ -370,8 +371,7 @@ _WIDE = ["turnover", "revenue", "cost_of_sales", "gross_profit", "operating_cash
     f"max(value) FILTER (printed_field = '{f}') AS {f}" for f in _WIDE)
     + " FROM plong WHERE statement <> 'notes' GROUP BY 1, 2))", "plong"))
 def r10(spark, d):
-    facts, docs = _facts(spark, d)
-    long = ops.by_year(facts.where("statement <> 'notes'"), docs)
+    long = ops.by_year(_facts(spark, d).where("statement <> 'notes'"))
     wide = long.groupBy("doc_id", "year").pivot("printed_field", _WIDE).agg(F.max("value"))
     return rules.printed_checks(wide)
 
