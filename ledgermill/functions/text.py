@@ -50,18 +50,6 @@ def contains_any(text: Column, phrases: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [text.contains(p) for p in phrases])
 
 
-def count_phrases(text: Column, phrases: list[str]) -> Column:
-    """How many of the phrases occur in the text."""
-    return reduce(lambda a, b: a + b, [text.contains(p).cast("int") for p in phrases])
-
-
-def dialect(text: Column) -> Column:
-    """Reporting dialect of a document from its lower-cased text."""
-    return F.when(
-        count_phrases(text, lookups.IFRS_SIGNALS) > count_phrases(text, lookups.UKGAAP_SIGNALS),
-        F.lit("ifrs")).otherwise(F.lit("uk_gaap"))
-
-
 def currency_scale(text: Column) -> Column:
     """Units a statement declares; recorded only, never applied."""
     lowered = F.lower(text)

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.functions import numbers
 from ledgermill.operators import facts as facts_ops
 from ledgermill.sources.tables import spread
 
@@ -265,10 +264,6 @@ def companies(spark: SparkSession, d: str) -> DataFrame:
         F.expr(PATCH_COLUMN).alias("patch"))
 
 
-def tagged_value(raw: str = "raw", scale: str = "scale", sign: str = "sign"):
-    return numbers.tagged_number(F.col(raw), F.col(scale), F.col(sign))
-
-
 # --- positioned tokens ----------------------------------------------------
 # Page headings, row labels and phrases cycled over the words of each document, so that
 # prose pages also carry statements, contents pages, notes and sign-offs.

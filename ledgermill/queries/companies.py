@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgermill import lookups, schemas
-from ledgermill.functions import sic, text
+from ledgermill import lookups
+from ledgermill.functions import sic
 from ledgermill.operators import json_ops, sectors
 from ledgermill.plans import bridge
 from ledgermill.queries.base import query, sql, view
@@ -93,14 +93,22 @@ def a7(spark, d):
                             ["NATION_1", "NATION_7", "NATION_24"]).select("n_nationkey", "n_name")
 
 
-@query("a16_column_introspection", """
-    SELECT 1 AS ordinal, 'o_orderkey' AS name, 'bigint' AS type UNION ALL
-    SELECT 2, 'o_custkey', 'bigint' UNION ALL SELECT 3, 'o_orderstatus', 'string' UNION ALL
-    SELECT 4, 'o_totalprice', 'double' UNION ALL SELECT 6, 'o_orderpriority', 'string'""")
+_INTRO = [(1, "o_orderkey", "bigint"), (2, "o_custkey", "bigint"), (3, "o_orderstatus", "string"),
+          (4, "o_totalprice", "double"), (6, "o_orderpriority", "string")]
+
+
+@query("a16_column_introspection", " UNION ALL ".join(
+    f"SELECT {p} AS ordinal, '{n}' AS name, '{t}' AS type, count({n}) AS filled FROM orders"
+    for p, n, t in _INTRO))
 def a16(spark, d):
-    rows = [(p, n, t) for p, n, t, _ in tables.describe_columns(
-        bridge.table(spark, d, "orders")) if n != "o_orderdate"]
-    return lookups.small_table(spark, rows, "ordinal int, name string, type string")
+    o = bridge.table(spark, d, "orders").drop("o_orderdate")
+    shape = tables.describe_columns(bridge.table(spark, d, "orders"))
+    facts = F.create_map(*[x for p, n, t, _ in shape for x in (
+        F.lit(n), F.struct(F.lit(p).alias("ordinal"), F.lit(t).alias("type")))])
+    counts = o.agg(*[F.count(c).alias(c) for c in o.columns]).unpivot(
+        [], o.columns, "name", "filled")
+    return counts.select(facts[F.col("name")]["ordinal"].alias("ordinal"), "name",
+                         facts[F.col("name")]["type"].alias("type"), "filled")
 
 
 @query("b1_category_filter", sql(f"SELECT \"CompanyNumber\" AS company_number FROM register "
@@ -565,16 +573,25 @@ def a24(spark, d):
                         F.get_json_object("j", "$.profile.segment").alias("segment"))
 
 
-@query("g3_schema_difference", """
-    SELECT 'extra' AS side, unnest(['c_acctbal', 'c_custkey', 'c_mktsegment', 'c_name',
-      'c_nationkey']) AS name UNION ALL
-    SELECT 'missing', unnest(['s_acctbal', 's_name', 's_nationkey', 's_suppkey'])""")
+_WANTED = ["pipeline", "filing_format", "last_accounts_date", "employees"]
+
+
+@query("g3_schema_difference", sql(f"""
+    SELECT side, name, count(*) AS n FROM (
+      SELECT 'extra' AS side, unnest(list_filter(json_keys(metadata), lambda k:
+        NOT list_contains({_WANTED}, k))) AS name FROM companies WHERE metadata IS NOT NULL
+      UNION ALL SELECT 'missing', unnest(list_filter({_WANTED}, lambda k:
+        NOT list_contains(json_keys(metadata), k))) FROM companies WHERE metadata IS NOT NULL)
+    GROUP BY 1, 2""", "companies"))
 def g3(spark, d):
-    have = F.array(*[F.lit(c) for c in bridge.table(spark, d, "customer").columns])
-    want = F.array(*[F.lit(c) for c in bridge.table(spark, d, "supplier").columns])
-    sides = F.array(F.struct(F.lit("extra").alias("side"), F.array_except(have, want).alias("n")),
-                    F.struct(F.lit("missing").alias("side"), F.array_except(want, have).alias("n")))
-    return spark.range(1).select(F.inline(sides)).select("side", F.explode("n").alias("name"))
+    """Keys of the stored objects against the expected keys, both ways."""
+    have = F.json_object_keys("metadata")
+    want = F.array(*[F.lit(k) for k in _WANTED])
+    sides = F.array(F.struct(F.lit("extra").alias("side"), F.array_except(have, want).alias("k")),
+                    F.struct(F.lit("missing").alias("side"), F.array_except(want, have).alias("k")))
+    return bridge.companies(spark, d).where("metadata is not null").select(
+        F.inline(sides)).select("side", F.explode("k").alias("name")).groupBy(
+        "side", "name").agg(F.count("*").alias("n"))
 
 
 @query("c12_remaining_keys", """

@@ -254,7 +254,8 @@ def d18(spark, d):
     pairs = rows.groupBy("name", "filing_id").agg(F.lit(1).alias("one"))
     per_tag = pairs.groupBy("name").agg(F.count("*").alias("filings"))
     total = rows.select("filing_id").distinct().agg(F.count("*").alias("total"))
-    return per_tag.crossJoin(F.broadcast(total)).select(
+    one = F.lit(1).alias("one")
+    return per_tag.select("*", one).join(F.broadcast(total.select("*", one)), "one").select(
         "name", "filings", (F.col("filings") / F.col("total")).alias("share"))
 
 

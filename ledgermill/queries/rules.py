@@ -191,12 +191,6 @@ def r6(spark, d):
         computed(spark, d).drop("sign_audit", "gap_audit", "failed")))
 
 
-_CAGR = """
-    SELECT c.company_number, c.year, (SELECT max(b.year) FROM {t} b WHERE
-      b.company_number = c.company_number AND b.{v} > 0 AND b.year <= c.year - {n}) AS base_year
-    FROM {t} c"""
-
-
 def _cagr_sql(table, value, years, places=6):
     _rounded, _places = ("round(", f", {places})") if places else ("", "")
     return (f"SELECT c.company_number, c.year, CASE WHEN c.{value} > 0 THEN "

@@ -12,7 +12,7 @@ from ledgermill.operators import sections as sec
 from ledgermill.operators import tokens as tok
 from ledgermill.plans import bridge, filing_merge
 from ledgermill.queries.base import query, sql, view
-from ledgermill.queries.pages import ANY_ANCHOR, _any, anchor_sql
+from ledgermill.queries.pages import _any, anchor_sql
 from ledgermill.sources import markup
 
 # --- markup (expected rows come straight from the order columns) ------------
