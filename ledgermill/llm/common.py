@@ -57,13 +57,13 @@ def lower_ascii(text: Column) -> Column:
 LOWER_BYTES = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def slices(texts: list, size: int = 1 << 21):
+def slices(lengths, size: int = 1 << 21):
     """(start, end) ranges of a batch that hold about `size` characters, one text at least."""
     start = total = 0
-    for i, text in enumerate(texts):
-        total += len(text or "") + 64
+    for i, n in enumerate(lengths):
+        total += int(n) + 64
         if total >= size:
             yield start, i + 1
             start, total = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(lengths):
+        yield start, len(lengths)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from ledgermill.llm import exact
+from ledgermill.llm import bpe, exact, transducer
 
 QUERIES = {
+    "op4_byte_bpe": bpe.query,
+    "op8_token_counts": transducer.query,
     "op9_exact_dedup": exact.query,
 }
 
