@@ -36,8 +36,10 @@ from pyspark.sql import types as T
 
 from ledgermill.llm.common import slices
 
-#: States kept by a worker: 48 MB of tables at 512 symbols.
-STATES = 20_000
+#: States kept by a worker; at 128 different symbols their tables take 80 MB.
+STATES = 120_000
+#: Largest number of tokens below a trie node for which those that fit are listed in the state.
+LISTED = 48
 #: Symbols of a chunk.
 CHUNK = 256
 LAST = 256  # added to a byte that ends a word
@@ -83,6 +85,11 @@ class Transducer:
         self.single = {s[0]: i for i, s in self.symbols.items() if len(s) == 1}
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b])
                        for rank, (a, b) in enumerate(map(tuple, model["merges"]))}
+        self.parts: dict[int, tuple[int, int, int]] = {}
+        for (a, b), (rank, whole) in self.merges.items():
+            if whole in self.parts:
+                rank, a, b = self._last_merge(whole)
+            self.parts[whole] = (rank, a, b)
         self.child: dict[tuple[int, int], int] = {}
         self.token_at, self.inner = [-1], [True]
         for i, body in self.symbols.items():
@@ -96,38 +103,87 @@ class Transducer:
                 node = nxt
             if body:
                 self.token_at[node] = i
+        self.below: list[tuple | None] = [()] * len(self.token_at)
+        parent = {c: n for (n, _), c in self.child.items()}
+        for node in range(len(self.token_at) - 1, -1, -1):  # children come after their parent
+            own, up = self.below[node], parent.get(node)
+            if self.token_at[node] >= 0 and own is not None:
+                whole = (*own, self.token_at[node])
+            else:
+                whole = own
+            if up is not None:
+                sofar = self.below[up]
+                joint = None if sofar is None or whole is None else (*sofar, *whole)
+                self.below[up] = joint if joint is None or len(joint) <= LISTED else None
         self.fit: dict[tuple, bool] = {}
         self.forget()
 
     def forget(self):
         self.states: list[tuple] = []
         self.number: dict[tuple, int] = {}
-        self.next = np.full((1024, 2 * LAST), -1, np.int32)
-        self.emit = np.zeros((1024, 2 * LAST), np.int8)
+        self.column = np.zeros(2 * LAST, np.int32)  # 0: a symbol not met so far
+        self.columns = 1
+        self.next = np.full((1024, 32), -1, np.int32)
+        self.emit = np.zeros((1024, 32), np.int8)
         self._state(((0, -1, 0),))
 
     # Compilation
 
-    def plain(self, symbols) -> list[int]:
-        """Merge by rank, leftmost first; for pairs of tokens, so short."""
-        ids = [self.single[s] for s in symbols]
+    def plain(self, symbols, once: list[int] | None = None) -> list[int]:
+        """Merge by rank, leftmost first; for single tokens, so short.  One merge of `once` only."""
+        ids = list(once) if once else [self.single[s] for s in symbols]
         while len(ids) > 1:
             found = [(self.merges[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in self.merges]
             if not found:
                 break
             (_, merged), i = min(found, key=lambda x: (x[0][0], x[1]))
             ids[i:i + 2] = [merged]
+            if once:
+                break
         return ids
 
+    def _last_merge(self, token: int) -> tuple[int, int, int]:
+        """The merge that completes a token which several merges could."""
+        ids = [self.single[s] for s in self.symbols[token]]
+        while len(ids) > 2:
+            shorter = self.plain(self.symbols[token], once=ids)
+            if len(shorter) == len(ids):
+                break
+            ids = shorter
+        return (self.merges[tuple(ids)][0], *ids) if len(ids) == 2 else (-1, token, token)
+
     def fits(self, before: int, token: int) -> bool:
+        """Whether `token` can follow `before`: no merge over the border comes first.
+
+        Time is the rank of merges.  Going back in time, both sides fall apart merge by merge; a
+        pair that meets at the border would merge if its rank is below that of the merge that takes
+        up its left part, and not above that of the one that takes up its right part.
+        """
         key = (before, token)
-        if key not in self.fit:
-            if len(self.fit) > 500_000:
-                self.fit.clear()
-            head = () if before < 0 else self.symbols[before]
-            want = [token] if before < 0 else [before, token]
-            self.fit[key] = self.plain(head + self.symbols[token]) == want
-        return self.fit[key]
+        known = self.fit.get(key)
+        if known is not None:
+            return known
+        if len(self.fit) > 1_000_000:
+            self.fit.clear()
+        if before < 0:
+            answer = self.plain(self.symbols[token]) == [token]
+        else:
+            a, b, end_a, end_b, answer = before, token, 1 << 40, 1 << 40, None
+            while answer is None:
+                rank = self.merges.get((a, b), (1 << 41,))[0]
+                if rank < end_a and rank <= end_b:
+                    answer = False
+                    break
+                rank_a, _, right = self.parts.get(a, (-1, 0, 0))
+                rank_b, left, _ = self.parts.get(b, (-1, 0, 0))
+                if rank_a < 0 and rank_b < 0:
+                    answer = True
+                elif rank_a > rank_b:
+                    end_a, a = rank_a, right
+                else:
+                    end_b, b = rank_b, left
+        self.fit[key] = answer
+        return answer
 
     def _state(self, key: tuple) -> int:
         n = self.number.get(key)
@@ -135,10 +191,35 @@ class Transducer:
             n = self.number[key] = len(self.states)
             self.states.append(key)
             if n == len(self.next):
-                self.next = np.concatenate([self.next, np.full_like(self.next, -1)])
-                self.emit = np.concatenate([self.emit, np.zeros_like(self.emit)])
+                self._grow(n // 2, 0)
         return n
 
+    def _grow(self, rows: int, columns: int):
+        self.next = np.pad(self.next, ((0, rows), (0, columns)), constant_values=-1)
+        self.emit = np.pad(self.emit, ((0, rows), (0, columns)))
+
+    def _columns(self, symbols: np.ndarray) -> np.ndarray:
+        new = np.flatnonzero((np.bincount(symbols, minlength=2 * LAST) > 0) & (self.column == 0))
+        self.column[new] = self.columns + np.arange(len(new))
+        self.columns += len(new)
+        if self.columns > self.next.shape[1]:
+            self._grow(0, self.columns + 15 - self.next.shape[1])
+        return self.column[symbols]
+
+    def _entry(self, node: int, before, rel: int):
+        """What a place in the trie needs for the future; None if no token below it can follow.
+
+        Before few tokens only which of them fit counts, so last tokens that agree on these share
+        a state.
+        """
+        below = self.below[node]
+        if below is not None:
+            before = tuple(t for t in below if (
+                t in before if isinstance(before, tuple) else self.fits(before, t)))
+            if not before:
+                return None
+        return node, before, rel
+
     def compile(self, state: int, symbol: int):
         """Add the transition of `state` on `symbol`."""
         won, reach = None, []
@@ -147,32 +228,35 @@ class Transducer:
             if node is None:
                 continue
             token = self.token_at[node]
-            if won is None and token >= 0 and self.fits(before, token):
+            if won is None and token >= 0 and (
+                    token in before if isinstance(before, tuple) else self.fits(before, token)):
                 won = (token, rel + 1)
-            if self.inner[node]:
-                reach.append((node, before, rel))
+            if self.inner[node] and symbol < LAST:
+                reach.append(self._entry(node, before, rel))
         token, change = won
         key = ((0, -1, 0),) if symbol >= LAST else (
-            *((n, b, r - change) for n, b, r in reach), (0, token, 0))
-        target = self._state(key)
-        self.next[state, symbol], self.emit[state, symbol] = target, change
+            *((e[0], e[1], e[2] - change) for e in reach if e), (0, token, 0))
+        target, column = self._state(key), self.column[symbol]
+        self.next[state, column], self.emit[state, column] = target, change
 
     # Running
 
-    def steps(self, symbols: np.ndarray, start: np.ndarray, size: np.ndarray, entry: np.ndarray,
-              out: np.ndarray) -> np.ndarray:
+    def steps(self, symbols: np.ndarray, columns: np.ndarray, start: np.ndarray, size: np.ndarray,
+              entry: np.ndarray, out: np.ndarray) -> np.ndarray:
         """Run chunks from their entry states; emissions go to `out` by place; returns exit states."""
         order = np.argsort(-size, kind="stable")
         start, size, state = start[order], size[order], entry[order]
         live = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), side="left")
         for k, n in enumerate(live):
-            s, sym = state[:n], symbols[start[:n] + k]
-            to = self.next[s, sym]
-            if (to < 0).any():
-                for a, b in np.unique(np.stack([s, sym])[:, to < 0], axis=1).T:
-                    self.compile(int(a), int(b))
-                to = self.next[s, sym]
-            out[start[:n] + k] = self.emit[s, sym]
+            at = start[:n] + k
+            s, col = state[:n], columns[at]
+            to = self.next[s, col]
+            if to.min() < 0:
+                miss = to < 0
+                for pair in np.unique(s[miss] * np.int64(2 * LAST) + symbols[at[miss]]).tolist():
+                    self.compile(*divmod(pair, 2 * LAST))
+                to = self.next[s, col]
+            out[at] = self.emit[s, col]
             state[:n] = to
         exits = np.empty_like(state)
         exits[order] = state
@@ -186,20 +270,21 @@ class Transducer:
             return out
         if len(self.states) > STATES:
             self.forget()
+        columns = self._columns(symbols)
         ends = np.flatnonzero(symbols >= LAST) + 1
         marks = np.arange(CHUNK, n, CHUNK)
         near = np.append(ends, n + CHUNK)[np.searchsorted(ends, marks)]
         cuts = np.unique(np.concatenate([[0], np.where(near < marks + CHUNK, near, marks), [n]]))
         start, size = cuts[:-1], np.diff(cuts)
         entry = np.zeros(len(start), np.int32)
-        exits = self.steps(symbols, start, size, entry, out)
+        exits = self.steps(symbols, columns, start, size, entry, out)
         while True:
             come = np.concatenate([[0], exits[:-1]]).astype(np.int32)
             redo = np.flatnonzero(come != entry)
             if not len(redo):
                 return out
             entry[redo] = come[redo]
-            exits[redo] = self.steps(symbols, start[redo], size[redo], entry[redo], out)
+            exits[redo] = self.steps(symbols, columns, start[redo], size[redo], entry[redo], out)
 
     def count(self, texts: list[str | None]) -> np.ndarray:
         """Tokens of each text."""
