@@ -44,8 +44,30 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+#: Bits of a set of bitmaps: 2 MB, the bound of what is broadcast.
+BITS = 1 << 24
+
+
+def bitmaps(keys: DataFrame) -> DataFrame:
+    """The set of the long column `key`, modulo BITS, as at most BITS / 32768 rows of 4 KB.
+
+    A filter of fixed size in front of an exact step: it lets through every member and, by chance,
+    some others, all of them once the set is far larger than BITS.
+    """
+    slot = F.pmod(F.col("key"), F.lit(BITS)) + 1
+    return (keys.groupBy(F.bitmap_bucket_number(slot).alias("bits_bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits_map")))
+
+
+def passing(df: DataFrame, key: Column, maps: DataFrame, flag: str) -> DataFrame:
+    """Add `flag`: whether the bit of `key` is set."""
+    slot = F.pmod(key, F.lit(BITS)) + 1
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("bits_map", (at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    bit = byte.cast("int").bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
+    return (df.withColumn("bits_bucket", F.bitmap_bucket_number(slot))
+            .join(F.broadcast(maps), "bits_bucket", "left")
+            .withColumn(flag, F.coalesce(bit, F.lit(False))).drop("bits_bucket", "bits_map"))
 
 
 def lower_ascii(text: Column) -> Column:

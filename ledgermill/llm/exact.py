@@ -18,10 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import SPACES, settle
+from ledgermill.llm.common import SPACES, bitmaps, passing, settle
 
-#: Bits of a round's bitmaps: 2 MB, the bound of what is broadcast.
-BITS = 1 << 24
 #: Characters of the normalised text that the second round hashes.
 PREFIX = 64
 
@@ -30,24 +28,6 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), SPACES, "")
 
 
-def _bitmaps(keys: DataFrame) -> DataFrame:
-    """The set of `x9_key` modulo BITS as at most BITS / 32768 rows of 4 KB."""
-    slot = F.pmod(F.col("x9_key"), F.lit(BITS)) + 1
-    return (keys.groupBy(F.bitmap_bucket_number(slot).alias("x9_bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("x9_bits")))
-
-
-def _passing(df: DataFrame, key: Column, maps: DataFrame, flag: str) -> DataFrame:
-    """Add `flag`: whether the bit of `key` is set."""
-    slot = F.pmod(key, F.lit(BITS)) + 1
-    at = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring("x9_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10)
-    bit = F.shiftright(byte.cast("int"), 0).bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
-    return (df.withColumn("x9_bucket", F.bitmap_bucket_number(slot))
-            .join(F.broadcast(maps), "x9_bucket", "left")
-            .withColumn(flag, F.coalesce(bit, F.lit(False))).drop("x9_bucket", "x9_bits"))
-
-
 def _with_candidates(docs: DataFrame, text: str) -> DataFrame:
     """Add x9_norm and x9_candidate: whether length and prefix occur more than once."""
     rows = docs.withColumn("x9_norm", normalised(F.col(text)))
@@ -55,12 +35,12 @@ def _with_candidates(docs: DataFrame, text: str) -> DataFrame:
     prefix = F.xxhash64(length, F.substring("x9_norm", 1, PREFIX))
     repeated = F.col("x9_n") > 1
 
-    lengths = rows.groupBy(length.alias("x9_key")).agg(F.count("*").alias("x9_n")).where(repeated)
-    lengths = settle(_bitmaps(lengths), "exact-lengths")
-    longs = _passing(rows.select("x9_norm"), length, lengths, "x9_len").where("x9_len")
-    prefixes = longs.groupBy(prefix.alias("x9_key")).agg(F.count("*").alias("x9_n")).where(repeated)
-    prefixes = settle(_bitmaps(prefixes), "exact-prefixes")
-    both = _passing(_passing(rows, length, lengths, "x9_len"), prefix, prefixes, "x9_pre")
+    lengths = rows.groupBy(length.alias("key")).agg(F.count("*").alias("x9_n")).where(repeated)
+    lengths = settle(bitmaps(lengths), "exact-lengths")
+    longs = passing(rows.select("x9_norm"), length, lengths, "x9_len").where("x9_len")
+    prefixes = longs.groupBy(prefix.alias("key")).agg(F.count("*").alias("x9_n")).where(repeated)
+    prefixes = settle(bitmaps(prefixes), "exact-prefixes")
+    both = passing(passing(rows, length, lengths, "x9_len"), prefix, prefixes, "x9_pre")
     return both.withColumn("x9_candidate", F.col("x9_len") & F.col("x9_pre")).drop("x9_len", "x9_pre")
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgermill.llm import bpe, exact, transducer
+from ledgermill.llm import bpe, exact, simhash, transducer
 
 QUERIES = {
+    "op2_simhash_near_dedup": simhash.query,
     "op4_byte_bpe": bpe.query,
     "op8_token_counts": transducer.query,
     "op9_exact_dedup": exact.query,
