@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgermill.llm import bpe, exact, kneser_ney, simhash, transducer
+from ledgermill.llm import bpe, exact, kneser_ney, language, simhash, transducer
 
 QUERIES = {
+    "op3_language_id": language.query,
     "op10_kneser_ney": kneser_ney.query,
     "op2_simhash_near_dedup": simhash.query,
     "op4_byte_bpe": bpe.query,
