@@ -42,6 +42,11 @@ UNKNOWN = "und"
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
+def blocks(lengths):
+    """Slices of a batch, of 512 texts at most as each takes a row of SIZE counts."""
+    return slices(np.maximum(lengths, 1 << 12))
+
+
 def counts(texts: list[str | None]) -> np.ndarray:
     """n-gram counts, a row for each text."""
     lowered = [(t or "").lower() for t in texts]
@@ -100,7 +105,7 @@ def _frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         total = np.zeros(SIZE + 1, np.int64)
         for batch in batches:
             column = batch.column(0)
-            for a, b in slices(pc.fill_null(pc.utf8_length(column), 0).to_numpy()):
+            for a, b in blocks(pc.fill_null(pc.utf8_length(column), 0).to_numpy()):
                 n = counts(column.slice(a, b - a).to_pylist())
                 total += np.append((n > 0).sum(0), len(n))
         yield pa.RecordBatch.from_arrays(
@@ -135,7 +140,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str =
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("key")
         got = [counts(part["text"].iloc[a:b].tolist())
-               for a, b in slices(part["text"].str.len().to_numpy())]
+               for a, b in blocks(part["text"].str.len().to_numpy())]
         size = np.concatenate([level(g) for g in got])
         x = np.concatenate([vectors(g, idf) for g in got])
         some = size > 0
@@ -166,7 +171,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text", keep: list[str] |
         langs, centres, floors = np.array(m["langs"], object), m["centres"], m["floors"]
         for batch in batches:
             column, rest = batch.column("x3_text"), batch.select(kept)
-            for a, b in slices(pc.fill_null(pc.utf8_length(column), 0).to_numpy()):
+            for a, b in blocks(pc.fill_null(pc.utf8_length(column), 0).to_numpy()):
                 n = counts(column.slice(a, b - a).to_pylist())
                 size = level(n)
                 if len(langs):

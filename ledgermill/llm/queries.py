@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgermill.llm import bpe, exact, kneser_ney, language, simhash, transducer
+from ledgermill.llm import bpe, exact, kneser_ney, language, mixing, simhash, transducer
 
 QUERIES = {
+    "op6_source_mixing": mixing.query,
     "op3_language_id": language.query,
     "op10_kneser_ney": kneser_ney.query,
     "op2_simhash_near_dedup": simhash.query,
@@ -14,5 +15,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op6_source_mixing": mixing.ORACLE,
     "op9_exact_dedup": exact.ORACLE,
 }
