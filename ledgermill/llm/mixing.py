@@ -95,67 +95,88 @@ def _place(seed: str, epoch: Column) -> Column:
     return F.conv(F.substring(digest, 1, _HEX), 16, 10).cast("long")
 
 
-def plan(docs: DataFrame, domain: Column, weights: Mapping[str, Mapping[str, float]],
-         budget: float, max_epochs: int, seed: str, id_col: str = "doc_id", text: str = "text",
-         language: str = "lang", source: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Narrow rows: mix_id, mix_hash, the leaf, tokens, the leaf's quota, and copies of the row."""
-    rows = docs.select(
-        *carry, F.col(id_col).alias("mix_id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("mix_hash"),
-        *(F.coalesce(c, F.lit("(none)")).alias(n) for n, c in zip(
-            LEVELS, (domain, F.col(language), F.col(source)))),
-        n_words(F.col(text)).alias("tokens"))
-    rows = settle(rows, "mix-tokens")
+def _keys(domain: Column, id_col: str, text: str, language: str, source: str) -> list[Column]:
+    return [F.col(id_col).alias("mix_id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("mix_hash"),
+            *(F.coalesce(c, F.lit("(none)")).alias(n) for n, c in zip(
+                LEVELS, (domain, F.col(language), F.col(source))))]
+
+
+def _ends(rows: DataFrame, weights, budget: float, max_epochs: int, seed: str) -> DataFrame:
+    """For each leaf its quota, whole epochs, prefix, the bin where that ends and the tokens before."""
     leaves = rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
-    quota = quotas(leaves, weights, F.lit(float(budget)), max_epochs)
-    ends = quota.select(*LEVELS, "quota", "epochs", "prefix")
-    width = 1 << (4 * _HEX)
-    placed = (rows.join(ends, list(LEVELS)).withColumn("place", _place(seed, F.col("epochs") + 1))
-              .withColumn("bin", F.floor(F.col("place") / (width // BINS))))
-    placed = settle(placed, "mix-places")
+    quota = quotas(leaves, weights, F.lit(float(budget)), max_epochs).drop("tokens")
+    placed = _placed(rows.join(quota, list(LEVELS)), seed)
     bins = placed.groupBy(*LEVELS, "bin").agg(
         F.sum("tokens").alias("in_bin"), F.first("prefix").alias("prefix"))
     before = W.partitionBy(*LEVELS).orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
     bins = bins.withColumn("before", F.coalesce(F.sum("in_bin").over(before), F.lit(0)))
     last = bins.where("before + in_bin > prefix").groupBy(*LEVELS).agg(
-        F.min_by(F.struct(F.col("bin").alias("end"), "before"), "bin").alias("last"))
-    last = settle(last.select(*LEVELS, "last.end", "last.before"), "mix-ends")
-    marked = placed.join(last, list(LEVELS), "left")
-    inside = F.when(F.col("end").isNull() | (F.col("bin") < F.col("end")), F.lit(1)).otherwise(F.lit(0))
-    sure = marked.where("end IS NULL OR bin <> end").withColumn("taken", inside)
+        F.min("bin").alias("end"), F.min_by("before", "bin").alias("before"))
+    return settle(quota.join(last, list(LEVELS), "left"), "mix-ends")
+
+
+def _placed(rows: DataFrame, seed: str) -> DataFrame:
+    return rows.withColumn("place", _place(seed, F.col("epochs") + 1)).withColumn(
+        "bin", F.floor(F.col("place") / ((1 << (4 * _HEX)) // BINS)))
+
+
+def _decided(rows: DataFrame, ends: DataFrame, seed: str) -> DataFrame:
+    """Add place and `copies`, null for the rows in the bin where their leaf's prefix ends."""
+    known = F.when(F.col("end").isNull() | (F.col("bin") < F.col("end")), F.col("epochs") + 1).when(
+        F.col("bin") > F.col("end"), F.col("epochs"))
+    return _placed(rows.join(ends, list(LEVELS)), seed).withColumn("copies", known.cast("long"))
+
+
+def _at_edge(decided: DataFrame) -> DataFrame:
+    """The rows in the last bins, summed one by one."""
     order = W.partitionBy(*LEVELS).orderBy("place", "mix_hash", "mix_id").rowsBetween(
         W.unboundedPreceding, W.currentRow)
-    edge = marked.where("bin = end").withColumn("taken", F.when(
-        F.col("before") + F.sum("tokens").over(order) <= F.col("prefix"), 1).otherwise(0))
-    out = sure.unionByName(edge)
-    return out.select(*carry, "mix_id", "mix_hash", *LEVELS, "tokens", "quota",
-                      (F.col("epochs") + F.col("taken")).cast("long").alias("copies"))
+    fits = F.col("before") + F.sum("tokens").over(order) <= F.col("prefix")
+    return decided.where("copies IS NULL").withColumn("copies", F.col("epochs") + fits.cast("long"))
+
+
+def plan(docs: DataFrame, domain: Column, weights: Mapping[str, Mapping[str, float]],
+         budget: float, max_epochs: int, seed: str, id_col: str = "doc_id", text: str = "text",
+         language: str = "lang", source: str = "source") -> DataFrame:
+    """Narrow rows: mix_id, mix_hash, the leaf, tokens, the leaf's quota, and copies of the row."""
+    rows = settle(docs.select(*_keys(domain, id_col, text, language, source),
+                              n_words(F.col(text)).alias("tokens")), "mix-tokens")
+    decided = _decided(rows, _ends(rows, weights, budget, max_epochs, seed), seed)
+    return decided.where("copies IS NOT NULL").unionByName(_at_edge(decided)).select(
+        "mix_id", "mix_hash", *LEVELS, "tokens", "quota", "copies")
 
 
 def mix(docs: DataFrame, domain: Column, weights: Mapping[str, Mapping[str, float]], budget: float,
         max_epochs: int, seed: str, id_col: str = "doc_id", text: str = "text",
         language: str = "lang", source: str = "source") -> DataFrame:
-    """The selected rows, all columns as they were, as many times as epochs take them."""
-    chosen = plan(docs, domain, weights, budget, max_epochs, seed, id_col, text, language, source)
-    counted = (chosen.groupBy("mix_id", "mix_hash", *LEVELS).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-               .where("copies > 0"))
+    """The selected rows, all columns as they were, as many times as epochs take them.
+
+    Outside the last bins a row's copies follow from its own hash and its leaf's figures, so texts
+    are not shuffled for them; the leaves' table is broadcast only where it is small.
+    """
+    keys = _keys(domain, id_col, text, language, source)
+    rows = settle(docs.select(*keys, n_words(F.col(text)).alias("tokens")), "mix-tokens")
+    ends = _ends(rows, weights, budget, max_epochs, seed)
+    edge = _at_edge(_decided(rows, ends, seed)).groupBy("mix_id", "mix_hash", *LEVELS).agg(
+        F.sum("copies").alias("e_copies"), F.count("*").alias("e_rows"))
+    edge = settle(edge.select(F.col("mix_id").alias("e_id"), F.col("mix_hash").alias("e_hash"),
+                              *[F.col(n).alias(f"e_{n}") for n in LEVELS], "e_copies", "e_rows"), "mix-edge")
     names = docs.columns
-    keyed = docs.select(
-        *[F.col(f"`{c}`").alias(f"mix_{i}") for i, c in enumerate(names)],
-        F.col(id_col).alias("d_id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("d_hash"),
-        *(F.coalesce(c, F.lit("(none)")).alias(f"d_{n}") for n, c in zip(
-            LEVELS, (domain, F.col(language), F.col(source)))))
-    on = F.col("d_id").eqNullSafe(F.col("mix_id")) & (F.col("d_hash") == F.col("mix_hash"))
+    full = docs.select(*[F.col(f"`{c}`").alias(f"mix_{i}") for i, c in enumerate(names)], *keys)
+    decided = _decided(full, ends, seed)
+    on = F.col("mix_id").eqNullSafe(F.col("e_id")) & (F.col("mix_hash") == F.col("e_hash"))
     for n in LEVELS:
-        on = on & (F.col(f"d_{n}") == F.col(n))
-    # equal rows share their copies: every row gets the whole part, the first ones one more
-    joined = keyed.join(counted, on)
-    turn = F.when(F.col("rows") == 1, F.lit(1)).otherwise(
-        F.row_number().over(W.partitionBy("d_hash", "d_id", *[f"d_{n}" for n in LEVELS])
-                            .orderBy("d_id")))
-    times = F.floor(F.col("copies") / F.col("rows")) + (turn <= F.col("copies") % F.col("rows")).cast("int")
-    return (joined.withColumn("times", times).where("times > 0")
-            .withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
-            .select(*[F.col(f"mix_{i}").alias(c) for i, c in enumerate(names)]))
+        on = on & (F.col(n) == F.col(f"e_{n}"))
+    # equal rows share their copies: each gets the whole part, the first ones one more
+    turn = F.row_number().over(W.partitionBy("mix_hash", "mix_id", *LEVELS).orderBy("place"))
+    last = decided.where("copies IS NULL").join(edge, on).withColumn("turn", turn).withColumn(
+        "copies", F.floor(F.col("e_copies") / F.col("e_rows"))
+        + (F.col("turn") <= F.col("e_copies") % F.col("e_rows")).cast("long"))
+    kept = [f"mix_{i}" for i in range(len(names))]
+    chosen = decided.where("copies > 0").select(*kept, "copies").unionByName(
+        last.where("copies > 0").select(*kept, "copies"))
+    return chosen.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
+        *[F.col(k).alias(c) for k, c in zip(kept, names)])
 
 
 #: Parameters of the query and of the pipeline: domains are made of the sources' numbers.
