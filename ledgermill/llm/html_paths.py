@@ -25,12 +25,13 @@ import threading
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.llm.common import settle, slices
+from ledgermill.llm.urls import host_of
 
 #: Paths of a page that get a vote, and ranked paths of a host that a page tries.
 VOTES, RANKED = 3, 8
@@ -244,12 +245,6 @@ def _deep(f, *args):
         return box[0]
 
 
-def host_of(url: Column) -> Column:
-    """What stands between :// and the next /, ? or #, A-Z in lower case; else ''."""
-    host = F.regexp_extract(url, r"^.*?://([^/?#]*)", 1)
-    return F.coalesce(F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(""))
-
-
 def host_paths(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     """(host, paths): for each host the RANKED paths with most votes of all its pages."""
     def run(batches):

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgermill.llm import bpe, exact, html_paths, kneser_ney, language, mixing, simhash, transducer
+from ledgermill.llm import bpe, exact, html_paths, kneser_ney, language, mixing, simhash, transducer, urls
 
 QUERIES = {
+    "op7_url_filters": urls.query,
     "op1_html_extraction": html_paths.query,
     "op6_source_mixing": mixing.query,
     "op3_language_id": language.query,
