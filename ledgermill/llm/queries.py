@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgermill.llm import bpe, exact, html_paths, kneser_ney, language, mixing, simhash, transducer, urls
+from ledgermill.llm import bpe, exact, html_paths, kneser_ney, language, mixing, quality, simhash, transducer, urls
 
 QUERIES = {
+    "op5_quality_rules": quality.query,
     "op7_url_filters": urls.query,
     "op1_html_extraction": html_paths.query,
     "op6_source_mixing": mixing.query,
