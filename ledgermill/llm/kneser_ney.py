@@ -293,10 +293,14 @@ def opened(meta: dict) -> Model:
 
 
 def discounts(n: list[int]) -> list[float]:
-    """The three discounts from how many counts are 1, 2, 3 and 4; within 0 and the count."""
-    y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
-    return [min(max(i + 1 - (i + 2) * y * n[i + 1] / n[i], 0.0), i + 1.0) if n[i] else (i + 1) / 2
-            for i in range(3)]
+    """The three discounts from how many counts are 1, 2, 3 and 4.
+
+    Half the count where the estimate is not between 0 and the count, as in very small tables:
+    unseen bigrams keep a share in any case.
+    """
+    y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.0
+    found = [i + 1 - (i + 2) * y * n[i + 1] / n[i] if n[i] else 0.0 for i in range(3)]
+    return [d if 0 < d < i + 1 else (i + 1) / 2 for i, d in enumerate(found)]
 
 
 # Training

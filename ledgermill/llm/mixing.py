@@ -58,7 +58,8 @@ def _fill(children: DataFrame, parent: list[str]) -> DataFrame:
     order = every.orderBy("full_at", *LEVELS[:len(parent) + 1])
     upto, later = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(0, W.unboundedFollowing)
     rows = rows.withColumn("rest", F.col("budget") - F.coalesce(F.sum("capacity").over(upto), F.lit(0.0)))
-    rows = rows.withColumn("per", F.greatest(F.col("rest"), F.lit(0.0)) / F.sum("w").over(later))
+    rows = rows.withColumn("per", F.try_divide(
+        F.greatest(F.col("rest"), F.lit(0.0)), F.sum("w").over(later)))
     open_ = (F.col("w") > 0) & (F.col("per") < F.col("full_at"))
     rows = rows.withColumn("level", F.max(F.when(open_, F.col("per"))).over(every))
     return rows.withColumn("quota", F.when(F.col("w") <= 0, F.lit(0.0)).otherwise(F.least(
