@@ -244,15 +244,29 @@ def tokenizer(path: str, pattern: str) -> Tokenizer:
     return Tokenizer(path, pattern)
 
 
-def _with_column(docs: DataFrame, keep: list[str] | None, name: str, kind: T.DataType):
-    kept = [c for c in (docs.columns if keep is None else keep) if c != name]
-    return kept, T.StructType([docs.schema[c] for c in kept] + [T.StructField(name, kind)])
+def _decoded(tok: Tokenizer, flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    data, offsets = tok.decode(flat, ends)
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(ends) - 1,
+        [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _source(docs: DataFrame, keep: list[str] | None, new: dict[str, T.DataType], column: str, own: str):
+    """(columns to keep, result's schema, the input with `column` under the name `own`)."""
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(k, t) for k, t in new.items()])
+    return kept, schema, docs.select(*[F.col(f"`{c}`") for c in kept], F.col(column).alias(own))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids",
-           keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` (all by default) and `ids`, the token ids of the whole text."""
-    kept, schema = _with_column(docs, keep, ids, T.ArrayType(T.IntegerType(), False))
+           decoded: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` (all by default) and `ids`, the token ids of the whole text.
+
+    With `decoded`, also a column of that name with the bytes that the ids decode to, so that a
+    round trip takes one pass and one worker for each task.
+    """
+    new = {ids: T.ArrayType(T.IntegerType(), False)} | ({decoded: T.BinaryType()} if decoded else {})
+    kept, schema, source = _source(docs, keep, new, text, "x4_text")
 
     def run(batches):
         tok = tokenizer(path, pattern)
@@ -260,17 +274,18 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
             column, rest = batch.column("x4_text"), batch.select(kept)
             for a, b in slices(pc.fill_null(pc.utf8_length(column), 0).to_numpy()):
                 flat, offsets = tok.encode(column.slice(a, b - a).to_pylist())
-                part = pa.ListArray.from_arrays(offsets.astype(np.int32), flat)
-                yield pa.RecordBatch.from_arrays([*rest.slice(a, b - a).columns, part], [*kept, ids])
+                made = [pa.ListArray.from_arrays(offsets.astype(np.int32), flat)]
+                if decoded:
+                    made.append(_decoded(tok, flat, offsets))
+                yield pa.RecordBatch.from_arrays([*rest.slice(a, b - a).columns, *made], [*kept, *new])
 
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("x4_text"))
     return source.mapInArrow(run, schema)
 
 
 def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded",
            keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` (all by default) and `out`, the bytes that the ids stand for."""
-    kept, schema = _with_column(docs, keep, out, T.BinaryType())
+    kept, schema, source = _source(docs, keep, {out: T.BinaryType()}, ids, "x4_ids")
 
     def run(batches):
         tok = tokenizer(path, pattern)
@@ -279,22 +294,15 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", out: str
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
             for a, b in slices(4 * sizes):
                 flat = lists.slice(a, b - a).flatten().to_numpy()
-                ends = np.concatenate([[0], np.cumsum(sizes[a:b])])
-                data, offsets = tok.decode(flat, ends)
-                part = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), b - a,
-                    [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
-                part = part.cast(pa.binary())
+                part = _decoded(tok, flat, np.concatenate([[0], np.cumsum(sizes[a:b])]))
                 yield pa.RecordBatch.from_arrays([*rest.slice(a, b - a).columns, part], [*kept, out])
 
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(ids).alias("x4_ids"))
     return source.mapInArrow(run, schema)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, carry: list[str]) -> DataFrame:
     """Encode, decode, and the digests of both sides."""
-    ids = encode(docs, path, pattern, keep=carry)
-    both = decode(ids, path, pattern)
+    both = encode(docs, path, pattern, decoded="decoded", keep=carry)
     return both.select(
         *carry, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

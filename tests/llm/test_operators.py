@@ -440,3 +440,11 @@ def test_kneser_ney(spark, docs, edge_dir, monkeypatch):
     assert [g[:5] for g in got] == [w[:5] for w in want]
     for g, w in zip(got, want):
         assert g[5:] == pytest.approx(w[5:], rel=1e-9)
+
+
+def test_bpe_decode_alone(spark, docs):
+    """Ids that come from elsewhere."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=["text"]).withColumn("x", bpe.F.lit(1))
+    for r in bpe.decode(ids, path, public_tokenizers.PATTERN).collect():
+        assert bytes(r.decoded).decode() == (r.text or "")
