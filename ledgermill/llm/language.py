@@ -43,8 +43,8 @@ _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np
 
 
 def blocks(lengths):
-    """Slices of a batch, of 512 texts at most as each takes a row of SIZE counts."""
-    return slices(np.maximum(lengths, 1 << 12))
+    """Slices of a batch, of 256 texts at most as each takes a row of SIZE counts."""
+    return slices(np.maximum(lengths, 1 << 13))
 
 
 def counts(texts: list[str | None]) -> np.ndarray:
