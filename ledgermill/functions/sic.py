@@ -54,10 +54,9 @@ def sector_of(code: Column) -> Column:
     """STRUCT<sector, sub_sector> of a code as an expression, usable inside array functions."""
     division = F.substring(code, 1, 2).cast("int")
     klass = F.substring(code, 1, 4).cast("int")
-    divisions = {d: su for su, ds in lookups.SIC_DIVISION_SECTORS.items() for d in ds}
     by_class = F.when(division.isin(lookups.SIC_CLASS_DIVISIONS),
                       _entry(lookups.SIC_CLASS_SECTORS, klass))
-    return F.when(~sic_excluded(code), F.coalesce(by_class, _entry(divisions, division)))
+    return F.when(~sic_excluded(code), F.coalesce(by_class, _entry(lookups.SIC_DIVISION_SECTORS, division)))
 
 
 def with_sector(df: DataFrame, code: str = "code") -> DataFrame:

@@ -25,39 +25,39 @@ FAMILY_NAMESPACES = [
 
 
 def recency(filing_date: Column, tiebreak: Column) -> Column:
-    """Orderable BIGINT: later filing date wins, then the larger tiebreak (below 2^40)."""
-    return F.shiftleft(F.unix_date(filing_date).cast("bigint"), 40) + F.pmod(
-        tiebreak.cast("bigint"), F.lit(1 << 40))
+    """Orderable DECIMAL(38,0): later filing date wins, then the larger tiebreak of any BIGINT."""
+    days = F.unix_date(filing_date).cast("decimal(10,0)")
+    return (days * F.lit("10000000000000000000").cast("decimal(20,0)") + tiebreak.cast("bigint")).cast("decimal(38,0)")
 
 
 def map_tags(facts: DataFrame, extra: dict[str, str] | None = None,
              how: str = "inner") -> DataFrame:
     """Attach the canonical ``field`` of each fact; unmapped facts drop out (or stay, ``left``)."""
     table = F.broadcast(lookups.tag_map(facts.sparkSession, extra))
-    keyed = facts.withColumn("tag_key", lookups.tag_key_col(text.local_name(F.col("name"))))
-    return keyed.join(table, "tag_key", how).drop("tag_key")
+    keyed = facts.withColumn("tag", text.local_name(F.col("name")))
+    return keyed.join(table, "tag", how).drop("tag")
 
 
 def unknown_tags(facts: DataFrame, extra: dict[str, str] | None = None) -> DataFrame:
     """Facts whose tag is in no lookup."""
     table = F.broadcast(lookups.tag_map(facts.sparkSession, extra))
-    keyed = facts.withColumn("tag_key", lookups.tag_key_col(text.local_name(F.col("name"))))
-    return keyed.join(table, "tag_key", "left_anti").drop("tag_key")
+    keyed = facts.withColumn("tag", text.local_name(F.col("name")))
+    return keyed.join(table, "tag", "left_anti").drop("tag")
 
 
 def map_tags_tiered(facts: DataFrame, tiers: DataFrame) -> DataFrame:
-    """Tiered lookup on ``tiers(family, tag_key, field)``: own family first, then ``_any``.
+    """Tiered lookup on ``tiers(family, tag, field)``: own family first, then ``_any``.
 
     ``facts`` carries ``family``; both lookups are broadcasts of the same small table.
     """
-    keyed = facts.withColumn("tag_key", lookups.tag_key_col(text.local_name(F.col("name"))))
-    own = F.broadcast(tiers.where("family <> '_any'").select("family", "tag_key", F.col("field").alias("_own")))
+    keyed = facts.withColumn("tag", text.local_name(F.col("name")))
+    own = F.broadcast(tiers.where("family <> '_any'").select("family", "tag", F.col("field").alias("_own")))
     shared = F.broadcast(tiers.where("family = '_any'").select(
-        "tag_key", F.col("field").alias("_any")))
-    return (keyed.join(own, ["family", "tag_key"], "left").join(shared, "tag_key", "left")
+        "tag", F.col("field").alias("_any")))
+    return (keyed.join(own, ["family", "tag"], "left").join(shared, "tag", "left")
             .withColumn("tier", F.when(F.col("_own").isNotNull(), F.lit("family"))
                         .when(F.col("_any").isNotNull(), F.lit("_any")))
-            .withColumn("field", F.coalesce("_own", "_any")).drop("_own", "_any", "tag_key"))
+            .withColumn("field", F.coalesce("_own", "_any")).drop("_own", "_any", "tag"))
 
 
 def family_of(uri: Column) -> Column:

@@ -74,9 +74,7 @@ def _candidates(df: DataFrame, signal: str, end: Column | None = None) -> DataFr
 def printed_contents(tokens: DataFrame, pages: DataFrame) -> DataFrame:
     """Locator: rows of a contents page (title left of the rightmost page number)."""
     last = pages.groupBy("doc_id").agg(F.max("page").alias("last"))
-    lead_pages = pages.select("doc_id", "page", "top25").withColumn("nth", F.row_number().over(
-        W.partitionBy("doc_id").orderBy("page"))).where("nth <= 4")
-    toc = tok.with_band_flags(lead_pages).where("is_contents").select("doc_id", "page").join(
+    toc = tok.with_band_flags(pages.select("doc_id", "page", "top25")).where("is_contents").select("doc_id", "page").join(
         last, "doc_id")
     t = tok.with_centres(tokens.join(toc, tok.PAGE))
     t = tok.islands(t, tok.PAGE, "y", tok.CONTENTS_ROW_GAP, "row", ["x", "text"])
@@ -93,8 +91,7 @@ def printed_contents(tokens: DataFrame, pages: DataFrame) -> DataFrame:
     title = F.trim(F.array_join(F.transform(F.filter(
         "items", lambda i: i["x"] < F.col("num.x") - 5), lambda i: i["text"]), " "))
     rows = rows.where("num is not null").withColumn("title", title)
-    words = F.size(F.filter(F.split("title", r"\s+"), lambda w: w != ""))
-    named = rows.where((F.length("title") >= 3) & (words <= 15)).withColumn(
+    named = rows.where(F.length("title") >= 3).withColumn(
         "section_id", text.first_anchor(F.col("title"))).where("section_id is not null")
     return named.select("doc_id", "section_id", F.col("num.n").alias("start_page"),
                         F.lit(None).cast("int").alias("end_page"), F.lit("toc").alias("signal"))
@@ -135,11 +132,10 @@ def running_headers(pages: DataFrame) -> DataFrame:
 
 
 def capital_first_lines(pages: DataFrame) -> DataFrame:
-    """Locator: an all-capitals first line of at most 15 words."""
+    """Locator: an all-capitals first line."""
     line = F.trim("top05")
-    words = F.size(F.filter(F.split(line, r"\s+"), lambda w: w != ""))
     caps = (F.upper(line) == line) & (F.lower(line) != line)
-    named = pages.where(caps & (words <= 15)).withColumn(
+    named = pages.where(caps).withColumn(
         "section_id", text.first_anchor(line)).where("section_id is not null")
     return _candidates(named, "all_caps_first_line")
 
@@ -152,7 +148,7 @@ def signoffs(pages: DataFrame) -> DataFrame:
 
 def numbered_notes(lines: DataFrame) -> DataFrame:
     """Locator: numbered note headings.  ``lines(doc_id, page, line)`` are printed lines."""
-    heading = F.regexp_extract("line", r"^\s*[0-9]+(?:\.[0-9]+)*[._\s]+([A-Z][^\n]{0,80})$", 1)
+    heading = F.regexp_extract("line", r"^\s*[0-9]+(?:\.[0-9]+)*[._\s]+([A-Z][^\n]*)$", 1)
     named = lines.withColumn("section_id", text.first_anchor(
         heading, ["accounting_policies", "critical_estimates", "going_concern_note"])).where(
         "section_id is not null")

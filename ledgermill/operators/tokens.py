@@ -484,12 +484,12 @@ def headcount(tokens: DataFrame, staff_pages: DataFrame, docs: DataFrame) -> Dat
              "auditor"]
     stop = left & text.contains_any(F.col("low"), stops) & (F.col("y") > F.col("begin"))
     t = t.withColumn("stop", F.min(F.when(stop, F.col("y"))).over(w)).where(
-        F.col("y").between(F.col("start"), F.coalesce("stop", F.col("start") + 300)))
+        F.col("y").between(F.col("start"), F.coalesce("stop", F.lit(float("inf")))))
     t = anchored_rows(t, PAGE, "y", ROW_GAP, "row")
     v = numbers.printed_number(F.col("text"))
     is_num = numbers.is_number_text(F.col("text"))
     is_year = F.coalesce((v == F.col("current_year")) | (v == F.col("prior_year")), F.lit(False))
-    number = F.when(is_num & ~is_year & (v > 0) & (v < 100000), F.struct("x", "y", v.alias("_v")))
+    number = F.when(is_num & ~is_year & (v > 0), F.struct("x", "y", v.alias("_v")))
     part = F.when(~is_num & (F.col("x") < F.col("page_width") * 0.5),
                   F.struct("x", "y", F.col("low").alias("_t")))
     rows = t.groupBy(*PAGE, "row").agg(

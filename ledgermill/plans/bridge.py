@@ -95,6 +95,8 @@ def fact_columns(company: str, duck: bool) -> dict[str, str]:
             "datediff(cast(l_shipdate as date), date '1992-01-01')")
     epoch = ("date_diff('day', date '1970-01-01', cast(o_orderdate as date))" if duck else
              "datediff(cast(o_orderdate as date), date '1970-01-01')")
+    wide = "hugeint" if duck else "decimal(38,0)"
+    wide_of = (lambda n: f"{n}::hugeint") if duck else (lambda n: f"cast({n} as decimal(20,0))")
     dim = "(l_returnflag = 'R' and l_linestatus = 'O')"
     one = (lambda v: f"['{v}']") if duck else (lambda v: f"array('{v}')")
     empty = "cast([] as varchar[])" if duck else "cast(array() as array<string>)"
@@ -102,9 +104,10 @@ def fact_columns(company: str, duck: bool) -> dict[str, str]:
         "company_number": f"cast({company} as string)",
         "filing_id": "cast(l_orderkey as string)",
         "filing_date": "cast(o_orderdate as date)",
-        "recency": f"cast({epoch} as bigint) * 1099511627776 + l_orderkey % 1099511627776",
-        "ord": f"((cast(l_linenumber as bigint) * 1000000 + l_partkey % 1000000) * 12000000"
-               f" + cast(round(l_extendedprice * 100) as bigint)) * 4096 + {days}",
+        "recency": f"cast(cast({epoch} as {wide}) * {wide_of(10 ** 19)} + l_orderkey as {wide})",
+        "ord": f"cast(((cast(l_linenumber as {wide}) * {wide_of(10 ** 12)} + l_partkey)"
+               f" * {wide_of(10 ** 10)} + cast(round(l_extendedprice * 100) as bigint))"
+               f" * {wide_of(10 ** 5)} + {days} as {wide})",
         "year": "cast(year(l_shipdate) as int)",
         "ctx_id": f"concat('c', cast(year(l_shipdate) as string), "
                   f"case when {dim} then 'd' else '' end)",
@@ -122,9 +125,14 @@ def fact_columns(company: str, duck: bool) -> dict[str, str]:
     }
 
 
+def dealt(spark: SparkSession, d: str, name: str, key: str) -> DataFrame:
+    """A sample table dealt out by key: a table in one small file would be one task's work."""
+    return spread(table(spark, d, name), key, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def fact_rows(spark: SparkSession, d: str, company: str = "l_suppkey") -> DataFrame:
     """Unparsed tagged facts; ``company`` picks the dense or sparse grouping."""
-    joined = spread(table(spark, d, "lineitem"), "l_orderkey").join(
+    joined = dealt(spark, d, "lineitem", "l_orderkey").join(
         table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(*[F.expr(e).alias(n) for n, e in fact_columns(company, False).items()])
 
@@ -259,7 +267,7 @@ PATCH_COLUMN = ("case when event_id % 13 = 0 then null else concat('{\"filing_fo
 
 
 def companies(spark: SparkSession, d: str) -> DataFrame:
-    return spread(table(spark, d, "events"), "event_id").select(
+    return dealt(spark, d, "events", "event_id").select(
         *[F.expr(e).alias(n) for n, e in COMPANY_COLUMNS.items()],
         F.expr(PATCH_COLUMN).alias("patch"))
 
@@ -336,7 +344,7 @@ def token_columns(duck: bool) -> dict[str, str]:
 
 def tokens(spark: SparkSession, d: str) -> DataFrame:
     """Every word of every document as a positioned token."""
-    words = spread(table(spark, d, "documents"), "doc_id").select(
+    words = dealt(spark, d, "documents", "doc_id").select(
         "doc_id", F.posexplode(F.split("text", r"[ \t\n\r]+")).alias("i", "word"))
     return words.select(*[F.expr(e).alias(n) for n, e in token_columns(False).items()])
 
@@ -364,7 +372,7 @@ def body_expr(duck: bool) -> str:
 
 
 def bodies(spark: SparkSession, d: str) -> DataFrame:
-    return spread(table(spark, d, "documents"), "doc_id").select(
+    return dealt(spark, d, "documents", "doc_id").select(
         F.col("doc_id").cast("string").alias("filing_id"),
         F.expr(body_expr(False)).alias("body_text"))
 
@@ -449,7 +457,7 @@ def markup_expr() -> str:
 
 def markup(spark: SparkSession, d: str) -> DataFrame:
     """(company_number, filing_id, filing_date, recency, content): one document per order."""
-    o = spread(table(spark, d, "orders"), "o_orderkey")
+    o = dealt(spark, d, "orders", "o_orderkey")
     date = F.col("o_orderdate").cast("date")
     return o.select(
         F.col("o_custkey").cast("string").alias("company_number"),

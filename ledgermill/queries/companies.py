@@ -66,7 +66,7 @@ def a3(spark, d):
     SELECT "CompanyNumber", "CompanyStatus " AS "CompanyStatus",
            "Accounts.AccountCategory" FROM register""", "register"))
 def a1(spark, d):
-    path = f"{tables.shared_dir(spark)}/register-csv"
+    path = tables.run_path(spark, "register-csv")
     raw = bridge.register(spark, d)
     tables.write_csv(raw.repartition(4, "CompanyNumber"), path)
     return reg.scan(spark, f"{path}/*.csv").select(
@@ -198,7 +198,7 @@ view("sic_class", "SELECT * FROM (VALUES " + ", ".join(
     f"({c}, '{s}', '{u}')" for c, (s, u) in lookups.SIC_CLASS_SECTORS.items())
     + ") t(cls, sector, sub_sector)")
 view("sic_div", "SELECT * FROM (VALUES " + ", ".join(
-    f"({x}, '{s}', '{u}')" for (s, u), ds in lookups.SIC_DIVISION_SECTORS.items() for x in ds)
+    f"({x}, '{s}', '{u}')" for x, (s, u) in lookups.SIC_DIVISION_SECTORS.items())
     + ") t(div, sector, sub_sector)")
 view("sic_codes", "SELECT company_number, slot, raw, " + _CODE.format(c="raw")
      + " AS code FROM (SELECT company_number, unnest([1, 2, 3, 4]) AS slot, "
@@ -552,9 +552,7 @@ def a20(spark, d):
 @query("a18_a22_append_and_read_back", "SELECT count(*) * 2 AS n, sum(c_custkey)::bigint * 2 AS s "
                                        "FROM customer")
 def a18(spark, d):
-    import uuid
-
-    path = f"{tables.shared_dir(spark)}/companies-{uuid.uuid4().hex}"
+    path = tables.run_path(spark, "companies")
     c = bridge.table(spark, d, "customer").select("c_custkey")
     tables.append(c, path)
     tables.append(c, path)

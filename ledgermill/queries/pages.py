@@ -401,10 +401,9 @@ view("hc2", """
       low IN ('no.', 'no', 'average', 'number') GROUP BY 1) USING (doc_id)""", "hc1")
 view("hc3", f"""
     SELECT hc2.* FROM hc2 LEFT JOIN (SELECT doc_id, min(y) AS e FROM hc2 WHERE lft AND y > b AND
-      {_STOPS} GROUP BY 1) USING (doc_id) WHERE y BETWEEN s AND coalesce(e, s + 300)""", "hc2")
+      {_STOPS} GROUP BY 1) USING (doc_id) WHERE y BETWEEN s AND coalesce(e, 'infinity'::double)""", "hc2")
 view("hc4", f"""
-    SELECT doc_id, row, list(v ORDER BY x, y, v) FILTER (is_num AND NOT is_year AND v > 0 AND
-        v < 100000) AS vs,
+    SELECT doc_id, row, list(v ORDER BY x, y, v) FILTER (is_num AND NOT is_year AND v > 0) AS vs,
       trim(coalesce(string_agg(low, ' ' ORDER BY x, y, low) FILTER (NOT is_num AND lab), ''))
         AS label
     FROM hc3 JOIN (

@@ -101,10 +101,10 @@ def a11(spark, d):
     from ledgermill.sources import filings as fl
     from ledgermill.sources import tables
 
-    path = f"{tables.shared_dir(spark)}/documents"
+    path = tables.run_path(spark, "documents")
     # One text file per task stands for landed documents; lines are rejoined on read.
     rows = bridge.table(spark, d, "pages").select(F.to_json(F.struct("html")).alias("value"))
-    rows.write.mode("overwrite").text(path)
+    rows.write.text(path)
     landed = fl.landed_markup(spark, path)
     lines = landed.select(F.explode(F.split("content", "\n")).alias("j")).where("j <> ''")
     return lines.select(F.get_json_object("j", "$.html").alias("h")).agg(
@@ -343,9 +343,8 @@ view("range_", f"""
     FROM (SELECT doc_id, page, {anchor_sql('text', 'auditor_report')} AND {_BODY} AS audit FROM pg)
     GROUP BY 1""", "pg")
 view("tocpages", """
-    SELECT doc_id, page, last FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page)
-        AS nth, max(page) OVER (PARTITION BY doc_id) AS last FROM pg)
-    WHERE nth <= 4 AND contains(upper(top25), 'CONTENTS')""", "pg")
+    SELECT doc_id, page, last FROM (SELECT *, max(page) OVER (PARTITION BY doc_id) AS last FROM pg)
+    WHERE contains(upper(top25), 'CONTENTS')""", "pg")
 view("toctok", """
     SELECT *, sum(new) OVER (PARTITION BY doc_id, page ORDER BY y, x, text) AS row,
       regexp_full_match(rtrim(trim(text), '.'), '[0-9]+') AS digits,
@@ -364,8 +363,7 @@ view("cand_a", f"""
               OVER (PARTITION BY doc_id, page, row ORDER BY x DESC, y DESC, text DESC) = 1) r
       JOIN toctok t ON t.doc_id = r.doc_id AND t.page = r.page AND t.row = r.row
         AND NOT t.digits AND t.x < r.x - 5 GROUP BY 1, 2, 3, 4)
-    WHERE length(title) >= 3 AND len(list_filter(regexp_split_to_array(title, '\\s+'),
-      lambda w: w <> '')) <= 15 AND {_first('title')} IS NOT NULL""", "toctok")
+    WHERE length(title) >= 3 AND {_first('title')} IS NOT NULL""", "toctok")
 view("cand_b", f"""
     SELECT doc_id, section_id, page AS start_page, NULL::int AS end_page, 'hard_anchor' AS signal
     FROM (SELECT *, unnest([{', '.join(f"CASE WHEN {anchor_sql('top25', s)} THEN '{s}' END"
@@ -394,7 +392,6 @@ view("cand_d", f"""
     SELECT doc_id, {_first('trim(top05)')} AS section_id, page AS start_page, NULL::int AS end_page,
       'all_caps_first_line' AS signal FROM pg
     WHERE upper(trim(top05)) = trim(top05) AND lower(trim(top05)) <> trim(top05)
-      AND len(list_filter(regexp_split_to_array(trim(top05), '\\s+'), lambda w: w <> '')) <= 15
       AND {_first('trim(top05)')} IS NOT NULL""", "pg")
 _NOTE = ["accounting_policies", "critical_estimates", "going_concern_note"]
 view("lines_", """
@@ -405,7 +402,7 @@ view("lines_", """
 view("cand_f", f"""
     SELECT doc_id, {_first('h', _NOTE)} AS section_id, page AS start_page, NULL::int AS end_page,
       'numbered_note' AS signal FROM (SELECT *, regexp_extract(line,
-        '^\\s*[0-9]+(?:\\.[0-9]+)*[._\\s]+([A-Z][^\\n]{{0,80}})$', 1) AS h FROM lines_)
+        '^\\s*[0-9]+(?:\\.[0-9]+)*[._\\s]+([A-Z][^\\n]*)$', 1) AS h FROM lines_)
     WHERE {_first('h', _NOTE)} IS NOT NULL""", "lines_")
 view("pool", " UNION ALL ".join(f"SELECT * FROM cand_{k}" for k in "abcdf"),
      "cand_a", "cand_b", "cand_c", "cand_d", "cand_f")
@@ -649,5 +646,5 @@ def j3(spark, d):
     facts = filing_merge.printed_cells(bridge.tokens(spark, d))
     cells = facts.select(
         (F.col("doc_id") % 300).cast("string").alias("company_number"), "year", "field", "value",
-        F.col("doc_id").alias("recency"))
+        F.col("doc_id").cast("decimal(38,0)").alias("recency"))
     return fact_ops.newest_filing(cells)

@@ -7,6 +7,7 @@ where the catalog supports row-level writes, ``merge_statement`` gives the MERGE
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,19 +15,26 @@ from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach; a temporary one only where none is configured."""
+    """Folder every executor can reach (spark.checkpoint.dir).
+
+    Only a local session, whose driver and executors are one process, may go without it.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or tempfile.mkdtemp(prefix="ledgermill-")
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="ledgermill-")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread an input that arrives in too few splits for costly row work.
+def run_path(spark: SparkSession, name: str) -> str:
+    """A folder of this run's own in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
-    A single small file is one task, whatever the cluster.  Inputs that already have a split
-    per core are returned as they are, so large tables are never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+def spread(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Deal an input out to so many partitions, for costly row work behind few splits."""
+    return df.repartition(partitions, key)
 
 
 def select_where(table: DataFrame, columns: list[str], limit: int | None = None,

@@ -50,15 +50,21 @@ def test_sic(spark):
 
 def test_tag_table():
     t = lookups.tag_table({"MyOwnTurnover": "revenue"})
-    def field(tag):
-        return t.get(lookups.tag_key(tag))
-    assert field("NetCashFromOperatingActivities") == "net_cash_operating"
-    assert field("InterestPayableAndSimilarCharges") == "finance_costs"
-    assert field("CostSalesBeforeExceptionalItems") == "cost_of_sales"
-    assert field("PropertyPlantAndEquipment") == "tangible_fixed_assets"
-    assert field("NoncurrentAssets") == field("NonCurrentAssets") == "total_fixed_assets"
-    assert field("Equity") == field("TotalEquity") == "total_equity"
-    assert field("MyOwnTurnover") == "revenue" and field("Unknown") is None
+    assert len(lookups.tag_table()) == 282
+    assert t["NetCashFromOperatingActivities"] == "net_cash_operating"
+    assert t["InterestPayableAndSimilarCharges"] == "finance_costs"
+    assert t["CostSalesBeforeExceptionalItems"] == "cost_of_sales"
+    assert t["PropertyPlantAndEquipment"] == "tangible_fixed_assets"
+    assert t["NoncurrentAssets"] == t["NonCurrentAssets"] == "total_fixed_assets"
+    assert t["Equity"] == t["TotalEquity"] == "total_equity"
+    assert t["MyOwnTurnover"] == "revenue"
+    # exact names only: no joining word, suffix or capital is folded
+    for name in ("Unknown", "OfficeCosts", "CostSalesOf", "DebtorsBeforeExceptionalItems", "turnover"):
+        assert name not in t
+
+
+def test_division_table():
+    assert len(lookups.SIC_DIVISION_SECTORS) == 83 and lookups.SIC_DIVISION_SECTORS[32][0] == "Industrial"
 
 
 def test_chained_and_anchored_rows(spark):
