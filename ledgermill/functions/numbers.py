@@ -17,7 +17,8 @@ def tagged_number(raw: Column, scale: Column, sign: Column) -> Column:
     Anything that is not a plain number gives null, as does a scale that is not an integer.
     """
     # Factors rather than nested branches: the raw text is parsed once per row.
-    number = F.translate(F.trim(raw), ", ", "").try_cast("double")
+    bare = F.regexp_replace(raw, r"[,\s\u00a0\u2000-\u200a\u202f\u205f\u3000\ufeff]", "")
+    number = F.regexp_extract(bare, r"^([+-]?[0-9]*[.]?[0-9]+)$", 1).try_cast("double")
     shift = F.when(scale.isNull() | (F.trim(scale) == ""), F.lit(1.0)).otherwise(
         F.pow(F.lit(10.0), scale.try_cast("int")))
     return number * shift * F.when(sign == "-", F.lit(-1.0)).otherwise(F.lit(1.0))

@@ -422,6 +422,15 @@ def markup_expr() -> str:
         fact("core:CashBankOnHand", "cur", "case when o_orderkey % 4 = 0 then '-' else " + key
              + " end", ' decimals="0"'),
         fact("core:OtherUnmappedLine", "cur", "'1'"),
+        # a nil fact, numbers that are none, typographic blanks and references, a fact in a fact
+        "'<td><ix:nonFraction name=\"core:CostSales\" contextRef=\"cur\" xsi:nil=\"true\"/></td>'",
+        fact("core:DistributionCosts", "cur", "'7'"),
+        fact("core:Provisions", "cur", "'5d'"),
+        fact("core:Accruals", "cur", "'nan'"),
+        fact("core:Stocks", "cur", f"concat('&#160;12&nbsp;', {key}, '&#xa0;')"),
+        "'<td><ix:nonFraction name=\"core:FixedAssets\" contextRef=\"cur\">&#163; <b>'",
+        fact("core:CurrentAssets", "cur", key).replace("<td>", "").replace("</td>", ""),
+        "'</b></ix:nonFraction></td>'",
         "'</tr></table>'",
         note("bus:EntityDormantTruefalse", "case when o_orderkey % 9 = 0 then 'true' else '' end"),
         "case when o_orderkey % 2 = 0 then "

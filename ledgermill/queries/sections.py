@@ -19,17 +19,21 @@ from ledgermill.sources import markup
 _Y = "cast(year(o_orderdate) AS int)"
 view("mfacts", f"""
     SELECT o_custkey, o_orderkey, ord, name, yr AS year, dim, raw, scale, sign FROM (
-      SELECT *, unnest([0, 1, 2, 3, 4, 5, 6]) AS ord,
+      SELECT *, unnest(range(14)) AS ord,
         unnest(['core:TurnoverRevenue', 'core:TurnoverRevenue', 'core:TurnoverRevenue',
-          'core:Turnover', 'core:TaxOnProfit', 'core:CashBankOnHand', 'core:OtherUnmappedLine'])
-          AS name,
-        unnest([{_Y}, {_Y} - 1, {_Y}, {_Y}, {_Y}, {_Y}, {_Y}]) AS yr,
-        unnest([false, false, true, false, false, false, false]) AS dim,
+          'core:Turnover', 'core:TaxOnProfit', 'core:CashBankOnHand', 'core:OtherUnmappedLine',
+          'core:CostSales', 'core:DistributionCosts', 'core:Provisions', 'core:Accruals',
+          'core:Stocks', 'core:FixedAssets', 'core:CurrentAssets']) AS name,
+        unnest([{_Y}, {_Y} - 1, {_Y}, {_Y}, {_Y}, {_Y}, {_Y}, {_Y}, {_Y}, {_Y}, {_Y}, {_Y},
+          {_Y}, {_Y}]) AS yr,
+        unnest(list_transform(range(14), lambda i: i = 2)) AS dim,
         unnest([format('{{:,}}', cast(round(o_totalprice * 100) AS bigint)),
           format('{{:,}}', o_custkey), '77', '9', format('{{:,}}', o_custkey + 1),
-          CASE WHEN o_orderkey % 4 = 0 THEN '-' ELSE cast(o_orderkey AS varchar) END, '1']) AS raw,
-        unnest([NULL, '3', NULL, NULL, NULL, NULL, NULL]) AS scale,
-        unnest([NULL, NULL, NULL, NULL, '-', NULL, NULL]) AS sign FROM orders)""")
+          CASE WHEN o_orderkey % 4 = 0 THEN '-' ELSE cast(o_orderkey AS varchar) END, '1',
+          '', '7', '5d', 'nan', '12' || chr(160) || o_orderkey, '£' || o_orderkey,
+          o_orderkey::varchar]) AS raw,
+        unnest(list_transform(range(14), lambda i: CASE WHEN i = 1 THEN '3' END)) AS scale,
+        unnest(list_transform(range(14), lambda i: CASE WHEN i = 4 THEN '-' END)) AS sign FROM orders)""")
 view("mcells", f"""
     SELECT company_number, year, field, value FROM (
       SELECT cast(o_custkey AS varchar) AS company_number, {_Y} AS year, 'revenue' AS field,
@@ -39,7 +43,13 @@ view("mcells", f"""
       UNION ALL SELECT cast(o_custkey AS varchar), {_Y}, 'tax_expense', -(o_custkey + 1.0),
         o_orderdate, o_orderkey FROM orders
       UNION ALL SELECT cast(o_custkey AS varchar), {_Y}, 'cash', o_orderkey::double, o_orderdate,
-        o_orderkey FROM orders WHERE o_orderkey % 4 <> 0)
+        o_orderkey FROM orders WHERE o_orderkey % 4 <> 0
+      UNION ALL SELECT cast(o_custkey AS varchar), {_Y}, 'distribution_costs', 7.0, o_orderdate,
+        o_orderkey FROM orders
+      UNION ALL SELECT cast(o_custkey AS varchar), {_Y}, 'inventories',
+        ('12' || o_orderkey)::double, o_orderdate, o_orderkey FROM orders
+      UNION ALL SELECT cast(o_custkey AS varchar), {_Y}, 'total_current_assets',
+        o_orderkey::double, o_orderdate, o_orderkey FROM orders)
     QUALIFY row_number() OVER (PARTITION BY company_number, year, field
       ORDER BY cast(o_orderdate AS date) DESC, o_orderkey DESC) = 1""")
 
@@ -78,7 +88,9 @@ def a14(spark, d):
 
 
 _ENT = "x"
-for _e, _c in markup.ENTITIES:
+# The references that occur in the pages; &amp; last, so that nothing is decoded twice.
+for _e, _c in [("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&pound;", "£"), ("&lt;", "<"),
+               ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]:
     _ENT = f"replace({_ENT}, '{_e.replace(chr(39), chr(39) * 2)}', '{_c.replace(chr(39), chr(39) * 2)}')"
 
 

@@ -7,6 +7,7 @@ and nothing is shuffled until the facts are aggregated.
 from __future__ import annotations
 
 import html
+import html.entities
 import re
 from collections.abc import Iterator
 
@@ -16,12 +17,11 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions import text
 
-FACT = r"(?is)<ix:nonfraction\b[^>]*>.*?</ix:nonfraction>"
+EDGE = r"(?i)<ix:nonfraction\b[^>]*>|</ix:nonfraction\s*>"
 CONTEXT = r"(?is)<xbrli:context\b[^>]*>.*?</xbrli:context>"
 
-# Common character entities of filed markup.
-ENTITIES = [("&nbsp;", " "), ("&pound;", "£"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-            ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
+# Blanks that surround printed values: ASCII white space, no-break and typographic spaces.
+BLANKS = " \t\n\r\x0b\f\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000\ufeff"
 
 
 def attribute(element: Column, name: str) -> Column:
@@ -32,15 +32,33 @@ def attribute(element: Column, name: str) -> Column:
 
 
 def decode(value: Column) -> Column:
-    for entity, char in ENTITIES:
-        value = F.replace(value, F.lit(entity), F.lit(char))
-    return value
+    """Character references, named and numeric, as the characters they stand for."""
+    names = sorted(n[:-1] for n in html.entities.html5 if n.endswith(";"))
+    named = F.create_map(*[F.lit(x) for n in names for x in (n, html.entities.html5[n + ";"])])
+    windows = F.array(*[F.lit(html.unescape(f"&#{n};")) for n in range(128, 160)])
+
+    def character(ref: Column) -> Column:
+        point = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 8), 16, 10)).otherwise(
+            F.substring(ref, 2, 8)).try_cast("int")
+        plain = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+        return (F.when(~ref.startswith("#"), F.try_element_at(named, ref))
+                .when(point.between(128, 159), F.try_element_at(windows, point - 127))
+                .when(point.between(1, 55295) | point.between(57344, 1114111), plain))
+
+    def piece(part: Column, i: Column) -> Column:
+        ref = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
+        char = F.when(ref != "", character(ref))
+        rest = F.substring(part, F.length(ref) + 2, F.length(part))
+        return F.when(i == 0, part).otherwise(
+            F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part)))
+
+    return F.when(value.contains("&"), F.array_join(F.transform(F.split(value, "&"), piece), "")).otherwise(value)
 
 
 def strip_tags(fragment: Column, sep: str = " ") -> Column:
     """Text nodes of a fragment, trimmed and joined by ``sep``."""
     nodes = F.split(F.regexp_replace(fragment, r"(?s)<!--.*?-->", ""), r"<[^>]*>")
-    clean = F.transform(nodes, lambda n: F.trim(decode(n), F.lit(" \t\n\r")))
+    clean = F.transform(nodes, lambda n: F.trim(decode(n), F.lit(BLANKS)))
     return F.array_join(F.filter(clean, lambda n: n != ""), sep)
 
 
@@ -77,30 +95,66 @@ def contexts(documents: DataFrame) -> DataFrame:
     return documents.select("filing_id", F.inline(context_array(F.col("content"))))
 
 
+def _elements_of(documents: DataFrame) -> DataFrame:
+    """Add ``_facts``: ARRAY<STRUCT<tag, raw>> of the numeric elements in order of their openings.
+
+    The markup is cut at the elements' tags.  A self-closing element is empty; another one ends at
+    the edge that brings its depth back, which is the next one unless elements nest.  Elements that
+    are never closed drop out.
+    """
+    cut = documents.withColumns({"_edges": F.regexp_extract_all("content", F.lit(EDGE), F.lit(0)),
+                                 "_pieces": F.split("content", EDGE)})
+    kind = F.transform("_edges", lambda e: F.when(e.startswith("</"), -1).when(e.endswith("/>"), 0).otherwise(1))
+    nested = F.exists(F.arrays_zip(F.slice("_kinds", 1, F.size("_kinds") - 1).alias("a"),
+                                   F.slice("_kinds", 2, F.size("_kinds")).alias("b")),
+                      lambda z: (z["a"] == 1) & (z["b"] != -1))
+    nested = F.when(F.size("_kinds") > 1, nested).otherwise(F.lit(False))
+    depth = F.aggregate("_kinds", F.array().cast("array<int>"), lambda acc, k: F.array_append(
+        acc, F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + k))
+    deep = cut.withColumn("_kinds", kind).withColumn("_depths", F.when(nested, depth))
+
+    def length(i: Column) -> Column:
+        """Pieces between the opening with index i and its end; 0 if it has none."""
+        below = F.try_element_at("_depths", i + 1) - 1
+        far = F.array_position(F.slice("_depths", i + 2, F.size("_depths")), below).cast("int")
+        near = (F.try_element_at("_kinds", i + 2) == -1).cast("int")
+        return F.coalesce(F.when(F.col("_depths").isNotNull(), far).otherwise(near), F.lit(0))
+
+    def element(edge: Column, i: Column) -> Column:
+        # A one-element transform binds the length, so it is found once.
+        return F.get(F.transform(F.array(length(i)), lambda n: F.when(
+            edge.endswith("/>"), F.struct(edge.alias("tag"), F.lit("").alias("raw"))).when(
+            ~edge.startswith("</") & (n > 0), F.struct(edge.alias("tag"), strip_tags(
+                F.array_join(F.slice("_pieces", i + 2, n), "<i>"), "").alias("raw")))), F.lit(0))
+
+    found = F.filter(F.transform("_edges", element), lambda e: e.isNotNull())
+    return deep.withColumn("_facts", found).drop("_edges", "_pieces", "_kinds", "_depths")
+
+
 def facts(documents: DataFrame) -> DataFrame:
     """Fact rows of every document, context resolved inside the row.
 
     Facts without a dated context drop out; the last context of an id counts.
     """
     keys = [c for c in documents.columns if c != "content"]
-    held = documents.withColumn("_ctx", context_array(F.col("content")))
+    held = _elements_of(documents).withColumn("_ctx", context_array(F.col("content")))
 
     def fact(element: Column, i: Column) -> Column:
-        ref = attribute(element, "contextref")
+        tag = element["tag"]
+        ref = attribute(tag, "contextref")
         ctx = F.try_element_at(F.filter("_ctx", lambda c: c["ctx_id"] == ref), F.lit(-1))
         # A one-element transform binds the context, so it is looked up once per fact.
         return F.get(F.transform(F.array(ctx), lambda c: F.struct(
-            i.cast("bigint").alias("ord"), attribute(element, "name").alias("name"),
+            i.cast("bigint").alias("ord"), attribute(tag, "name").alias("name"),
             ref.alias("ctx_id"), c["year"].alias("year"),
             c["dimensional"].alias("dimensional"), c["members"].alias("members"),
-            attribute(element, "unitref").alias("unit"),
-            attribute(element, "scale").alias("scale"),
-            attribute(element, "decimals").alias("decimals"),
-            attribute(element, "sign").alias("sign"), strip_tags(element, "").alias("raw"))),
+            attribute(tag, "unitref").alias("unit"),
+            attribute(tag, "scale").alias("scale"),
+            attribute(tag, "decimals").alias("decimals"),
+            attribute(tag, "sign").alias("sign"), element["raw"].alias("raw"))),
             F.lit(0))
 
-    elements = F.regexp_extract_all("content", F.lit(FACT), F.lit(0))
-    return held.select(*keys, F.inline(F.transform(elements, fact))).where("year is not null")
+    return held.select(*keys, F.inline(F.transform("_facts", fact))).where("year is not null")
 
 
 def seen_years(documents: DataFrame) -> DataFrame:
@@ -127,7 +181,8 @@ def _elements(content: str) -> list[tuple[int, str, str]]:
                 found[slot][2] = text_
         else:
             name = _NAME.search(edge.group(1))
-            open_.append((len(found), edge.end()))
+            if not edge.group(0).endswith("/>"):
+                open_.append((len(found), edge.end()))
             found.append([len(found), name.group(1) if name else "", ""])
     return [tuple(f) for f in found if ":" in f[1]]
 

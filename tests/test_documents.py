@@ -1,11 +1,13 @@
 """Markup, printed pages, sources and streaming on small fixtures."""
 
+import decimal
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgermill import schemas
-from ledgermill.operators import sections, tokens
+from ledgermill.operators import facts, locators, sections, tokens
 from ledgermill.plans import filing_merge
 from ledgermill.sources import filings, markup, register, tables
 from ledgermill.streaming import jobs
@@ -47,6 +49,50 @@ def test_body_and_narrative(spark):
     assert got == [("core:RevenueRecognitionPolicy", "A b c"), ("core:ProvisionsPolicy", "b")]
 
 
+def test_nil_and_nested_facts(spark):
+    head = DOC[:DOC.index("<script>")]
+    body = ("<ix:nonFraction name='core:C' contextRef='c1' xsi:nil='true' /><ix:nonFraction name='core:D' "
+            "contextRef='c1'>7</ix:nonFraction><ix:nonFraction name='core:A' contextRef='c1'>1<b>0</b>"
+            "<ix:nonFraction name='core:B' contextRef='c1'><ix:nonFraction name='core:E' contextRef='c1'>5"
+            "</ix:nonFraction></ix:nonFraction>&#8217;&rsquo;&#x2019;&#146;&nosuch; &amp;lt;</ix:nonFraction>"
+            "<ix:nonFraction name='core:Open' contextRef='c1'>9")
+    rows = markup.facts(docs(spark, head + body)).orderBy("ord").collect()
+    assert [(r.name, r.raw) for r in rows] == [
+        ("core:C", ""), ("core:D", "7"), ("core:A", "105’’’’&nosuch; &lt;"), ("core:B", "5"), ("core:E", "5")]
+    note = ('<ix:nonNumeric name="core:Outer">text <ix:nonNumeric name="core:Flag"/> tail</ix:nonNumeric>')
+    got = {r.name: r.text for r in markup.narrative(docs(spark, note)).collect()}
+    assert got == {"core:Outer": "text tail", "core:Flag": ""}
+
+
+def test_facts_against_a_parser(spark):
+    """Random nesting of numeric elements against a recursive reading."""
+    rnd = random.Random(9)
+    want = []
+
+    def build(depth):
+        out, text_ = "", ""
+        for _ in range(rnd.randint(1, 3)):
+            kind = rnd.random()
+            if kind < 0.3:
+                word = str(rnd.randint(1, 99))
+                out, text_ = out + f"<b>{word}</b>", text_ + word
+            elif kind < 0.5 or not depth:
+                want.append([f"core:N{len(want)}", ""])
+                out += f"<ix:nonFraction name='{want[-1][0]}' contextRef='c1'/>"
+            else:
+                slot = len(want)
+                want.append([f"core:N{slot}", ""])
+                inner, t = build(depth - 1)
+                want[slot][1] = t
+                out += f"<ix:nonFraction name='core:N{slot}' contextRef='c1'>{inner}</ix:nonFraction>"
+                text_ += t
+        return out, text_
+
+    content = DOC[:DOC.index("<script>")] + "".join(build(3)[0] for _ in range(5))
+    got = [[r.name, r.raw] for r in markup.facts(docs(spark, content)).orderBy("ord").collect()]
+    assert got == want
+
+
 def test_nested_narrative_against_recursion(spark):
     rnd = random.Random(5)
 
@@ -132,6 +178,52 @@ def test_headcount_total_and_sum(spark):
     assert staff_note(spark, head + bare + end) == [(16, 11)]
 
 
+def test_headcount_has_no_bounds(spark):
+    """Six-figure totals count, and rows far below the heading where no stop word ends the note."""
+    head = [(100, [(60, "Staff costs")]), (130, [(400, "2023"), (520, "2022")]),
+            (150, [(400, "No."), (520, "No.")])]
+    assert staff_note(spark, head + [(700, [(60, "Total"), (400, "120,000"), (520, "118,500")])]) == [(120000, 118500)]
+
+
+def test_locators_have_no_bounds(spark):
+    rows = [r for p in range(1, 6) for r in page(1, p, [(20, [(60, f"Cover {p}")])])]
+    rows += page(1, 6, [(20, [(60, "CONTENTS")]), (60, [(60, "Strategic report"), (500, "7")])])
+    title = "THE STRATEGIC REPORT OF THE BOARD FOR THE LONG YEAR THAT ENDED ON THE LAST DAY OF MARCH"
+    rows += page(1, 7, [(10, [(60, title)]), (700, [(60, "x")])])
+    heading = "1. Accounting policies and " + "further matters " * 6 + "set out below"
+    rows += page(1, 8, [(300, [(60, heading)])])
+    t = printed(spark, rows)
+    pages = tokens.page_text(t)
+    toc = locators.printed_contents(t, pages).collect()
+    assert [(r.section_id, r.start_page) for r in toc] == [("strategic_report", 7)]
+    assert [(r.section_id, r.start_page) for r in locators.capital_first_lines(pages).collect()] == [
+        ("strategic_report", 7)]
+    notes = locators.numbered_notes(locators.page_lines(t)).collect()
+    assert len(title.split()) > 15 and len(heading) > 90
+    assert [(r.section_id, r.start_page) for r in notes] == [("accounting_policies", 8)]
+
+
+def test_recency_orders_any_tiebreak(spark):
+    big = (1 << 62) + 1
+    df = spark.createDataFrame([("2024-01-02", 1), ("2024-01-01", big), ("2024-01-01", big - 1)], "d string, n long")
+    rows = df.orderBy(facts.recency(F.to_date("d"), F.col("n"))).collect()
+    assert [r.n for r in rows] == [big - 1, big, 1]
+
+
+def test_shared_folder_is_needed(spark):
+    assert tables.run_path(spark, "x") != tables.run_path(spark, "x")
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        tables.shared_dir(Cluster)
+
+
 def test_sources_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("A-1", " Active", "small"), ("nan", "Active", "LARGE"),
                                 ("b_2", "Dissolved", "SMALL")],
@@ -165,6 +257,7 @@ def test_late_filings_in_any_order(spark, tmp_path):
     rows = [("a", 2020, "cash", 1.0, 10), ("a", 2020, "cash", 2.0, 30),
             ("a", 2019, "cash", 3.0, 10), ("b", 2020, "cash", 4.0, 20),
             ("a", 2020, "cash", 9.0, 20)]
+    rows = [(*r[:4], decimal.Decimal(r[4])) for r in rows]
     want = {("a", 2020): 2.0, ("a", 2019): 3.0, ("b", 2020): 4.0}
     for k, order in enumerate(([0, 1, 2, 3, 4], [1, 4, 0, 3, 2], [4, 3, 2, 1, 0])):
         src = tmp_path / f"in{k}"
@@ -176,7 +269,7 @@ def test_late_filings_in_any_order(spark, tmp_path):
         out = jobs.merge_late_filings(spark, stream, str(tmp_path / f"out{k}"))
         assert {(r.company_number, r.year): r.value for r in out.collect()} == want
     # A later run picks up only what is new and keeps the stored cells.
-    late = spark.createDataFrame([("a", 2020, "cash", 7.0, 40)], jobs.CELLS).coalesce(1)
+    late = spark.createDataFrame([("a", 2020, "cash", 7.0, decimal.Decimal(40))], jobs.CELLS).coalesce(1)
     late.write.mode("append").parquet(str(src))
     stream = spark.readStream.schema(jobs.CELLS).parquet(str(src))
     out = jobs.merge_late_filings(spark, stream, str(tmp_path / "out2"))

@@ -127,3 +127,12 @@ def test_fuzzy_and_dates(spark):
     assert got == [(True, False)]
     assert values(spark, [("2025-04-30",), ("x",)], "d string", text.year_of(F.col("d"))) == [
         (2025,), (None,)]
+
+
+def test_tagged_numbers_are_strict(spark):
+    raws = {"\u00a012\u202f345\u00a0": 12345.0, "1,234.5": 1234.5, "-.5": -0.5, "5d": None, "1f": None, "nan": None,
+            "Infinity": None, "": None, "1e3": None, "1.2.3": None, None: None}
+    df = spark.createDataFrame([(r,) for r in raws], "raw string")
+    got = {r.raw: r.v for r in df.select("raw", numbers.tagged_number(
+        F.col("raw"), F.lit(None).cast("string"), F.lit(None).cast("string")).alias("v")).collect()}
+    assert got == raws
