@@ -70,6 +70,11 @@ def passing(df: DataFrame, key: Column, maps: DataFrame, flag: str) -> DataFrame
             .withColumn(flag, F.coalesce(bit, F.lit(False))).drop("bits_bucket", "bits_map"))
 
 
+def share(key: Column) -> Column:
+    """A 64-bit hash as a number from 0 up to 1, for samples that a row's own hash decides."""
+    return F.shiftrightunsigned(key, 11) / float(1 << 53)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z only; other letters keep their case."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.common import lower_ascii, settle
 
-#: Words of the dictionary: the most frequent ones.  Longest word.  Places for hashed tokens.
+#: Words of the dictionary, at most: the most frequent ones, whole levels of frequency.  Longest word.  Places for hashed tokens.
 WORDS, LONGEST, FEATURES = 50_000, 24, 1 << 16
 SMOOTHING = 1.0
 #: Names longer than this are cut into pieces of this length first.
@@ -69,8 +69,16 @@ def dictionary(pages: DataFrame, url: str, page: str) -> dict[str, float]:
                      F.filter(known, lambda x: x.rlike("^[a-z]+$")))
     word = F.explode(words).alias("word")
     counted = pages.select(word).where(F.length("word") <= LONGEST).groupBy("word").count()
-    rows = counted.orderBy(F.desc("count"), "word").limit(WORDS).collect()
-    counts = {r["word"]: r["count"] for r in rows}
+    level = F.floor(8 * F.log2("count")).cast("int")
+    counted = settle(counted.withColumn("level", level), "url-dictionary")
+    size = {r["level"]: r["count"] for r in counted.groupBy("level").count().collect()}  # 512 at most
+    lowest, taken = max(size, default=0) + 1, 0
+    for at in sorted(size, reverse=True):
+        taken += size[at]
+        if taken > WORDS:
+            break
+        lowest = at
+    counts = {r["word"]: r["count"] for r in counted.where(F.col("level") >= lowest).collect()}
     for seed in SEEDS:
         counts[seed] = max(counts.get(seed, 0), 1)
     total = sum(counts.values())
