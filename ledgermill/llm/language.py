@@ -3,8 +3,8 @@
 A text is the vector of its hashed character 1- to 3-grams over lower-cased letters, other runs
 being one space: log(1 + count) times inverse document frequency, of length one.  Document
 frequencies cover every training row.  The centroids of a language are clusters, by cosine, of a
-sample of its training rows: the SAMPLE rows, repeats counted once, with the smallest hash of id
-and text.  The language of the nearest centroid is predicted; its cosine is the score.
+sample of its training rows, repeats counted once: those whose hash of id and text lies in the part
+of its range that holds SAMPLE of the language's rows on average.  The language of the nearest centroid is predicted; its cosine is the score.
 
 Rejection is by distance: a text is rejected if its cosine is below SLACK times the lowest one that
 sampled rows of the predicted language with as many n-grams or more have to their own centroids.
@@ -23,16 +23,15 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill.llm.common import slices
+from ledgermill.llm.common import share, slices
 from ledgermill.llm.transducer import LETTER, classes
 
 #: Hashed n-gram places.
 SIZE = 1 << 13
-#: Sampled training rows of a language, at most; centroids of a language.
+#: Sampled training rows of a language, on average at most; centroids of a language.
 SAMPLE, CENTROIDS = 1000, 4
 SLACK = 0.5
 #: Sampled rows of a text's length or less that a rejection needs.
@@ -125,16 +124,13 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str =
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
     found, n = _frequencies(rows.select("text"))
     idf = (np.log((1 + n) / (1 + found)) + 1).astype(np.float32)
-    first = F.row_number().over(W.partitionBy("lang").orderBy("key"))
-    bounds = (rows.groupBy("lang", "key").agg(F.lit(1).alias("one")).withColumn("rank", first)
-              .where(F.col("rank") <= SAMPLE).groupBy("lang").agg(F.max("key").alias("bound"))
-              .collect())  # a row for each language
+    bounds = rows.groupBy("lang").count().collect()  # a row for each language
     if not bounds:
         return {"langs": [], "centres": np.zeros((0, SIZE), np.float32), "idf": idf,
                 "floors": np.zeros((0, 64))}
     chosen = F.lit(False)
     for r in bounds:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (F.col("key") <= r["bound"]))
+        chosen = chosen | ((F.col("lang") == r["lang"]) & (share(F.col("key")) < SAMPLE / r["count"]))
     sample = rows.where(chosen).dropDuplicates(["lang", "key"]).select("lang", "key", "text")
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:

@@ -27,9 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill.llm.common import settle, slices
+from ledgermill.llm.common import settle, share, slices
 
-#: Labelled rows of each class that the list is learned from, at most.
+#: Labelled rows of each class that the list is learned from, on average at most.
 SAMPLE = 10_000
 #: Words of a window whose repeats count.
 WINDOW = 8
@@ -211,10 +211,12 @@ def train(measured_docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     marks = labels.select(F.col(id_col).alias("x5_id"), (F.col(label) == 0).alias("bad"))
     marks = marks.where("x5_id IS NOT NULL AND bad IS NOT NULL").withColumn(
         "key", F.xxhash64(F.col("x5_id")))
-    some = [marks.where(side).orderBy("key", "x5_id").limit(SAMPLE) for side in ("bad", "NOT bad")]
-    chosen = some[0].unionByName(some[1]).distinct()
+    chosen = F.lit(False)
+    for r in marks.groupBy("bad").count().collect():  # two rows at most
+        chosen = chosen | ((F.col("bad") == r["bad"]) & (share(F.col("key")) < SAMPLE / r["count"]))
+    chosen = marks.where(chosen).distinct()
     names = list(features())
-    rows = (measured_docs.where(~base_failed()).join(F.broadcast(chosen), F.col(id_col) == F.col("x5_id"))  # 2 * SAMPLE rows
+    rows = (measured_docs.where(~base_failed()).join(chosen, F.col(id_col) == F.col("x5_id"))
             .select("key", "bad", *[c.alias(n) for n, c in features().items()])
             .groupBy("key", "bad").agg(*[F.max(n).alias(n) for n in names])
             .orderBy("key", "bad").collect())
