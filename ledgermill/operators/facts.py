@@ -99,9 +99,15 @@ def unit_verdict(unit: Column, field: Column) -> Column:
             .otherwise("skip_non_money"))
 
 
-def parse_values(facts: DataFrame) -> DataFrame:
-    """Add the numeric ``value`` of each fact and drop nil ones."""
-    value = numbers.tagged_number(F.col("raw"), F.col("scale"), F.col("sign"))
+def parse_values(facts: DataFrame, decimals_as_scale: bool = False) -> DataFrame:
+    """Add the numeric ``value`` of each fact and drop nil ones.
+
+    With ``decimals_as_scale`` a fact without a scale is shifted by its negative decimals.
+    """
+    scale = F.col("scale")
+    if decimals_as_scale:
+        scale = numbers.scale_or_decimals(scale, F.col("decimals")).cast("string")
+    value = numbers.tagged_number(F.col("raw"), scale, F.col("sign"))
     return facts.withColumn("value", value).where(F.col("value").isNotNull())
 
 

@@ -169,12 +169,11 @@ def primary_ranges(pages: DataFrame) -> DataFrame:
         F.lower("text"), lookups.AUDITOR_BODY_PHRASES)
     flagged = pages.select("doc_id", "page", F.when(audit, F.col("page")).alias("a"))
     firsts = flagged.groupBy("doc_id").agg(
-        F.min("page").alias("first"), F.max("page").alias("end"), F.min("a").alias("a1"))
-    # The second smallest is the smallest above the first: two small aggregates, no list.
-    second = flagged.join(firsts.select("doc_id", "a1"), "doc_id").where("a > a1").groupBy(
-        "doc_id").agg(F.min("a").alias("a2"))
-    return firsts.join(second, "doc_id", "left").select(
-        "doc_id", "first", F.coalesce(F.col("a2") - 1, F.col("end")).alias("last"),
+        F.min("page").alias("first"), F.max("page").alias("end"),
+        F.array_sort(F.collect_set("a")).alias("audits"))  # a document's audit pages
+    return firsts.select(
+        "doc_id", "first",
+        F.coalesce(F.try_element_at("audits", F.lit(2)) - 1, F.col("end")).alias("last"),
         F.col("end").alias("document_end"))
 
 
@@ -237,13 +236,14 @@ def with_ends(chosen: DataFrame, ranges: DataFrame, signed: DataFrame) -> DataFr
     ordinal = F.array_position(F.array(*[F.lit(s) for s in lookups.SECTION_IDS]),
                                F.col("section_id"))
     order = W.partitionBy("doc_id").orderBy("start", "ordinal")
-    ended = chosen.join(ranges, "doc_id").withColumn("ordinal", ordinal).withColumn(
+    # A document's sign-off pages travel as one array with its range, so the vote runs once.
+    marks = signed.groupBy("doc_id").agg(F.collect_set("page").alias("signed"))
+    ended = chosen.join(ranges.join(marks, "doc_id", "left"), "doc_id").withColumn(
+        "ordinal", ordinal).withColumn(
         "end", F.coalesce(F.greatest(F.col("start"), F.lead("start").over(order) - 1),
                           F.col("last")))
-    cut = ended.join(signed, "doc_id").where(
-        F.col("page").between(F.col("start"), F.col("end"))).groupBy(
-        "doc_id", "section_id").agg(F.min("page").alias("cut"))
-    return ended.join(cut, ["doc_id", "section_id"], "left").select(
+    cut = F.array_min(F.filter("signed", lambda p: p.between(F.col("start"), F.col("end"))))
+    return ended.withColumn("cut", cut).select(
         "doc_id", "section_id", "start", F.coalesce("cut", "end").alias("end"), "signals",
         "confidence")
 

@@ -68,32 +68,33 @@ def joined_text(order: list[str], value: str = "text", sep: str = " ") -> Column
 def page_text(tokens: DataFrame) -> DataFrame:
     """(doc_id, page, text, quality, top bands): one row per page.
 
-    The three top bands are cut in the same aggregation, so tokens are shuffled once for
-    every operator that reads page text.
+    A page's tokens are collected once, in reading order; text and bands are cut from that array,
+    so tokens are shuffled once for every operator that reads page text.  The bands of a page
+    without a height are shares of its range of y.
     """
-    t = with_centres(tokens)
-    order = ["y", "x", "text"]
-
-    def band(frac, by=order):
-        item = F.when(F.col("y") <= F.col("page_height") * frac,
-                      F.struct(*by, F.col("text").alias("_t")))
-        return F.array_join(F.transform(F.sort_array(F.collect_list(item)),
-                                        lambda e: e["_t"]), " ")
-
-    def band_words(frac):
-        inside = F.col("y") <= F.col("page_height") * frac
-        # Upper case: changed by lower() and unchanged by upper().
-        caps = (F.upper("text") == F.col("text")) & (F.lower("text") != F.col("text"))
-        return (F.count_if(inside), F.count_if(inside & caps))
-
-    n25, caps25 = band_words(0.25)
-    return t.groupBy(*PAGE).agg(
-        joined_text(order).alias("text"), F.coalesce(F.avg("conf"), F.lit(1.0)).alias("quality"),
-        band(0.05).alias("top05"), band(0.05, ["x", "y", "text"]).alias("header"), band(0.15).alias("top15"), band(0.25).alias("top25"), band(0.30).alias("top30"),
-        n25.alias("n25"), caps25.alias("caps25"),
+    pages = with_centres(tokens).groupBy(*PAGE).agg(
+        F.sort_array(F.collect_list(F.struct("y", "x", "text"))).alias("_t"),
+        F.max("page_height").alias("_h"), F.min("y").alias("_lo"), F.max("y").alias("_hi"),
+        F.coalesce(F.avg("conf"), F.lit(1.0)).alias("quality"),
         F.collect_set(F.when(F.trim("text").rlike("^20[0-9]{2}$"),
                              F.trim("text").cast("int"))).alias("year_tokens"))
 
+    def inside(frac):
+        cut = F.coalesce(F.col("_h") * frac, F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac)
+        return F.filter("_t", lambda t: t["y"] <= cut)
+
+    def joined(items):
+        return F.array_join(F.transform(items, lambda t: t["text"]), " ")
+
+    across = F.sort_array(F.transform("_t05", lambda t: F.struct(t["x"], t["y"], t["text"])))
+    # Upper case: changed by lower() and unchanged by upper().
+    caps = F.filter("_t25", lambda t: (F.upper(t["text"]) == t["text"]) & (F.lower(t["text"]) != t["text"]))
+    return pages.withColumns({"_t05": inside(0.05), "_t25": inside(0.25)}).select(
+        *PAGE, joined(F.col("_t")).alias("text"), "quality", joined(F.col("_t05")).alias("top05"),
+        joined(across).alias("header"), joined(inside(0.15)).alias("top15"),
+        joined(F.col("_t25")).alias("top25"), joined(inside(0.30)).alias("top30"),
+        F.size("_t25").cast("long").alias("n25"), F.size(caps).cast("long").alias("caps25"), "year_tokens")
+
 
 def with_band_flags(pages: DataFrame) -> DataFrame:
     return pages.withColumn("is_contents", F.upper("top25").contains("CONTENTS"))
@@ -397,14 +398,14 @@ def printed_facts(tokens: DataFrame, pages: DataFrame) -> DataFrame:
     place = F.col("page").cast("bigint") * 1000000 + F.col("row")
     return matched.groupBy("doc_id", "statement", "printed_field").agg(
         *[F.first(c).alias(c) for c in ("dialect", "current_year", "prior_year")],
-        F.max_by(F.struct("current", "prior"), place).alias("v")).select(
-        "doc_id", "statement", "printed_field", "dialect", "current_year", "prior_year", "v.*")
+        F.max_by(F.struct("current", "prior"), place).alias("v"), F.max(place).alias("place")).select(
+        "doc_id", "statement", "printed_field", "dialect", "current_year", "prior_year", "v.*", "place")
 
 
 def by_year(facts: DataFrame) -> DataFrame:
-    """(doc_id, statement, printed_field, year, value): one row per figure and year."""
+    """(doc_id, statement, printed_field, place, year, value): one row per figure and year."""
     return facts.select(
-        "doc_id", "statement", "printed_field", F.inline(F.array(
+        "doc_id", "statement", "printed_field", "place", F.inline(F.array(
             F.struct(F.col("current_year").alias("year"), F.col("current").alias("value")),
             F.struct(F.col("prior_year").alias("year"), F.col("prior").alias("value"))))).where(
         "value is not null and year is not null")
@@ -413,7 +414,8 @@ def by_year(facts: DataFrame) -> DataFrame:
 def canonical_facts(facts: DataFrame) -> DataFrame:
     """(doc_id, year, statement, field, value): printed figures under canonical names.
 
-    Depreciation and amortisation in notes are lifted where no cash-flow line gives them.
+    Depreciation and amortisation in notes are lifted where no cash-flow line gives them.  Where
+    several printed items name one field, the one that is printed last counts.
     """
     spark = facts.sparkSession
     long = by_year(facts)
@@ -424,7 +426,7 @@ def canonical_facts(facts: DataFrame) -> DataFrame:
     both = named.unionByName(notes)
     return both.groupBy("doc_id", "year", "field").agg(
         F.max_by(F.struct(F.col("statement").alias("source"), F.col("value").cast("double").alias("value")),
-                 F.struct(rank, "printed_field")).alias("v")).select(
+                 F.struct(rank, "place")).alias("v")).select(
         "doc_id", "year", "field", "v.*")
 
 

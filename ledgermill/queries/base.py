@@ -49,7 +49,7 @@ def sql(body: str, *needs: str) -> str:
         visit(n)
     if not order:
         return body
-    ctes = ",\n".join(f"{n} AS ({VIEWS[n][1]})" for n in order)
+    ctes = ",\n".join(f"{n} AS MATERIALIZED ({VIEWS[n][1]})" for n in order)
     return f"WITH {ctes}\n{body}"
 
 

@@ -285,8 +285,9 @@ def d33(spark, d):
       SELECT company_number, count(*) AS n FROM cells_s WHERE field <> 'employees'
       GROUP BY company_number)""", "cells_s"))
 def d15(spark, d):
-    stacked = ops.cell_stack(bridge.statement_rows(spark, d, "o_custkey"))
-    per = stacked.groupBy("company_number").agg(F.count("value").alias("n")).where("n > 0")
+    rows = bridge.statement_rows(spark, d, "o_custkey")
+    filled = sum((F.col(f).isNotNull().cast("long") for f in schemas.STATEMENT_FIELDS), F.lit(0))
+    per = rows.groupBy("company_number").agg(F.sum(filled).alias("n")).where("n > 0")
     return per.agg(F.avg("n").alias("avg_cells"), F.count("*").alias("companies"))
 
 
@@ -297,9 +298,11 @@ def d15(spark, d):
     LEFT JOIN (SELECT DISTINCT company_number, field FROM cells_s) c ON f.field = c.field
     GROUP BY f.field""", "cells_s"))
 def d16(spark, d):
-    stacked = ops.cell_stack(bridge.statement_rows(spark, d, "o_custkey"))
-    per = stacked.groupBy("company_number", "field").agg(F.count("value").alias("n"))
-    return per.groupBy("field").agg(F.count_if(F.col("n") == 0).alias("companies_null"))
+    names = schemas.STATEMENT_FIELDS
+    per = bridge.statement_rows(spark, d, "o_custkey").groupBy("company_number").agg(
+        *[F.count(f).alias(f) for f in names])
+    total = per.agg(*[F.count_if(F.col(f) == 0).alias(f) for f in names])
+    return total.unpivot([], names, "field", "companies_null")
 
 
 @query("g4_fields_null_everywhere", sql(f"""
@@ -308,9 +311,9 @@ def d16(spark, d):
     WHERE f.field NOT IN (SELECT field FROM cells)""", "cells"))
 def g4(spark, d):
     wanted = schemas.ROW_FIELDS + ["net_assets_before_lt_liab"]
-    rows = ops.statement_rows(bridge.cells(spark, d), fields=wanted)
-    return ops.cell_stack(rows, wanted).groupBy("field").agg(
-        F.count("value").alias("n")).where("n = 0").select("field")
+    filled = F.array_distinct(F.collect_set("field"))  # at most as many as there are fields
+    held = bridge.cells(spark, d).where(F.col("field").isin(wanted)).agg(filled.alias("held"))
+    return held.select(F.explode(F.array_except(F.array(*map(F.lit, wanted)), "held")).alias("field"))
 
 
 @query("d35_years_per_statement", sql(f"""
@@ -372,11 +375,10 @@ def d32(spark, d):
 @query("g2_union_of_years", sql("""
     SELECT DISTINCT company_number, year FROM cells WHERE field <> 'employees'""", "cells"))
 def g2(spark, d):
-    c = bridge.cells(spark, d)
-    parts = [c.where(F.col("field").isin(group)).select("company_number", "year")
-             for group in (schemas.INCOME_FIELDS, schemas.BALANCE_FIELDS,
-                           schemas.CASH_FLOW_FIELDS)]
-    return parts[0].union(parts[1]).union(parts[2]).distinct()
+    # The years of the three statements in one pass over the cells.
+    fields = schemas.INCOME_FIELDS + schemas.BALANCE_FIELDS + schemas.CASH_FLOW_FIELDS
+    return bridge.cells(spark, d).where(F.col("field").isin(fields)).select(
+        "company_number", "year").distinct()
 
 
 @query("g7_later_overwrites", sql("""

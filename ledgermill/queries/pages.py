@@ -162,7 +162,7 @@ view("crows", """
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS island FROM krows)""",
      "krows")
 view("pfacts", """
-    SELECT doc_id, statement, printed_field, cur AS current, pri AS prior FROM (
+    SELECT doc_id, statement, printed_field, cur AS current, pri AS prior, page * 1000000 + row AS place FROM (
       SELECT *, (SELECT arg_min(field, ord) FROM labels_ l WHERE l.statement = c.statement
           AND l.dialect = c.dialect AND contains(c.full_label, l.pattern)) AS printed_field,
         CASE WHEN kind = 'nil' THEN 0 ELSE v1 END AS cur,
@@ -321,9 +321,9 @@ def c9(spark, d):
     return ops.match_labels(rows).select("doc_id", "page", "statement", "row", "printed_field")
 
 
-@query("s12_printed_facts", sql("SELECT * FROM pfacts", "pfacts"))
+@query("s12_printed_facts", sql("SELECT * EXCLUDE (place) FROM pfacts", "pfacts"))
 def s12(spark, d):
-    return _facts(spark, d).drop("dialect", "current_year", "prior_year")
+    return _facts(spark, d).drop("dialect", "current_year", "prior_year", "place")
 
 
 _MAP = ([("income_statement", k, v) for k, v in lookups.PRINTED_INCOME.items()]
@@ -332,9 +332,9 @@ _MAP = ([("income_statement", k, v) for k, v in lookups.PRINTED_INCOME.items()]
 view("printedmap", "SELECT * FROM (VALUES " + ", ".join(
     f"('{s}', '{p}', '{f}')" for s, p, f in _MAP) + ") t(statement, printed_field, field)")
 view("plong", """
-    SELECT doc_id, statement, printed_field, current_year AS year, current AS value
+    SELECT doc_id, statement, printed_field, place, current_year AS year, current AS value
       FROM pfacts JOIN docyears USING (doc_id) WHERE current IS NOT NULL
-    UNION ALL SELECT doc_id, statement, printed_field, prior_year, prior
+    UNION ALL SELECT doc_id, statement, printed_field, place, prior_year, prior
       FROM pfacts JOIN docyears USING (doc_id) WHERE prior IS NOT NULL AND prior_year IS NOT NULL""",
      "pfacts", "docyears")
 view("pcanon", """
@@ -343,7 +343,7 @@ view("pcanon", """
       UNION ALL SELECT *, printed_field FROM plong WHERE statement = 'notes'
         AND printed_field IN ('depreciation', 'amortisation'))
     QUALIFY row_number() OVER (PARTITION BY doc_id, year, field
-      ORDER BY (statement = 'notes'), printed_field DESC) = 1""", "plong", "printedmap")
+      ORDER BY (statement = 'notes'), place DESC) = 1""", "plong", "printedmap")
 
 
 @query("c20_r12_canonical_printed_facts", sql("SELECT * FROM pcanon", "pcanon"))

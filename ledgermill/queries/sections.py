@@ -650,13 +650,13 @@ def s24(spark, d):
 
 @query("j3_printed_merge", sql("""
     SELECT company_number, year, field, value FROM (
-      SELECT (doc_id % 300)::varchar AS company_number, year, field, value, doc_id FROM pcanon)
+      SELECT (doc_id // 4)::varchar AS company_number, year, field, value, doc_id FROM pcanon)
     QUALIFY row_number() OVER (PARTITION BY company_number, year, field
       ORDER BY doc_id DESC) = 1""", "pcanon"))
 def j3(spark, d):
     # Documents of one company: newer documents have larger numbers.
     facts = filing_merge.printed_cells(bridge.tokens(spark, d))
     cells = facts.select(
-        (F.col("doc_id") % 300).cast("string").alias("company_number"), "year", "field", "value",
+        F.floor(F.col("doc_id") / 4).cast("string").alias("company_number"), "year", "field", "value",
         F.col("doc_id").cast("decimal(38,0)").alias("recency"))
     return fact_ops.newest_filing(cells)

@@ -253,6 +253,29 @@ def test_tables(spark, tmp_path):
     assert "WHEN NOT MATCHED THEN INSERT (k, v)" in tables.merge_statement("t", "s", "k", ["v"])
 
 
+def test_untouched_buckets_keep_their_files(spark, tmp_path):
+    store = jobs.CellStore(spark, str(tmp_path), buckets=8)
+
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("*.parquet")}
+
+    def arrive(company, value, n):
+        row = (company, 2020, "cash", value, decimal.Decimal(n))
+        store.merge(spark.createDataFrame([row], jobs.CELLS), n)
+
+    for n, company in enumerate("abcdef"):
+        arrive(company, 1.0, n)
+    before = files()
+    arrive("a", 2.0, 7)
+    arrive("a", 2.0, 7)  # a retried batch
+    after = files()
+    assert 0 < len(before.items() & after.items()) == len(after) - len(after.items() - before.items())
+    changed = {p.split("bucket=")[1].split("/")[0] for p, _ in before.items() ^ after.items()}
+    assert len(changed) == 1
+    got = {r.company_number: r.value for r in store.read().collect()}
+    assert got == {"a": 2.0, **dict.fromkeys("bcdef", 1.0)}
+
+
 def test_late_filings_in_any_order(spark, tmp_path):
     rows = [("a", 2020, "cash", 1.0, 10), ("a", 2020, "cash", 2.0, 30),
             ("a", 2019, "cash", 3.0, 10), ("b", 2020, "cash", 4.0, 20),
@@ -279,3 +302,33 @@ def test_late_filings_in_any_order(spark, tmp_path):
     stream = spark.readStream.schema(jobs.CELLS).parquet(str(src))
     out = jobs.merge_late_filings(spark, stream, str(tmp_path / "out2"))
     assert out.count() == 3
+
+
+def test_guards_of_the_merge(spark):
+    """Units, entity-wide members, decimals and tiers, each alone."""
+    content = """<xbrli:context id="c1"><xbrli:period><xbrli:endDate>2023-12-31</xbrli:endDate></xbrli:period>
+</xbrli:context><xbrli:context id="g"><xbrli:entity><xbrli:segment><xbrldi:explicitMember dimension="d">
+core:ConsolidatedGroup</xbrldi:explicitMember></xbrli:segment></xbrli:entity><xbrli:period><xbrli:endDate>2023-12-31
+</xbrli:endDate></xbrli:period></xbrli:context>
+<ix:nonFraction name="core:Turnover" contextRef="g" unitRef="iso4217:GBP">1</ix:nonFraction>
+<ix:nonFraction name="core:Stocks" contextRef="c1" unitRef="iso4217:USD">2</ix:nonFraction>
+<ix:nonFraction name="core:Debtors" contextRef="c1" unitRef="iso4217:GBP" decimals="-3">3</ix:nonFraction>
+<ix:nonFraction name="own:Special" contextRef="c1" unitRef="iso4217:GBP">4</ix:nonFraction>"""
+
+    def cells(**guards):
+        return {r.field: r.value for r in filing_merge.tagged_cells(docs(spark, content), **guards).collect()}
+
+    plain = {"inventories": 2.0, "trade_receivables": 3.0}
+    assert cells() == plain
+    assert cells(entity_wide=True) == plain | {"revenue": 1.0}
+    assert cells(check_units=True) == {"trade_receivables": 3.0}
+    assert cells(decimals_as_scale=True) == plain | {"trade_receivables": 3000.0}
+    tiers = spark.createDataFrame([("own", "Special", "cash"), ("_any", "Stocks", "inventories")],
+                                  "family string, tag string, field string")
+    assert cells(tiers=tiers) == {"cash": 4.0, "inventories": 2.0}
+
+
+def test_bands_of_a_page_without_height(spark):
+    rows = [(*r[:9], None) for r in page(1, 1, [(100, [(60, "TOP")]), (200, [(60, "mid")]), (500, [(60, "end")])])]
+    got = tokens.page_text(printed(spark, rows)).collect()[0]
+    assert (got.top05, got.top25, got.top30, got.n25) == ("TOP", "TOP mid", "TOP mid", 2)
