@@ -356,13 +356,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width:
     A document is known by (id, hash of its text).  Rows whose bit is not set among the documents
     to drop or repeated pass straight through; the others are settled by an anti join.
     """
-    mine = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.withColumn("x2_id", F.col(id_col)).withColumn("x2_hash", F.xxhash64(F.col(text)))
     fps = settle(fingerprints(marked, ["x2_id", "x2_hash"], text, width), "simhash-fingerprints")
+    return keep_least(docs.columns, marked, fps, linked(fps, distance))
+
+
+def keep_least(columns: list[str], marked: DataFrame, fps: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows that stay of `marked`, by the fp of each (x2_id, x2_hash) and the roots of fps."""
+    mine = [F.col(f"`{c}`") for c in columns]
     rank = F.struct(F.isnull("x2_id").alias("z"), F.col("x2_id").alias("id"),
                     F.col("x2_hash").alias("h"))
     uniq = fps.groupBy("fp").agg(F.min(rank).alias("low"))
-    rooted = settle(uniq.join(linked(fps, distance), "fp", "left")
+    rooted = settle(uniq.join(roots, "fp", "left")
                     .withColumn("root", F.coalesce("root", "fp")), "simhash-roots")
     first = rooted.groupBy("root").agg(F.min("low").alias("first"))
     stays = rooted.join(first, "root").select("fp", "first")
