@@ -2,9 +2,13 @@
 
 First pass: every page's containers are scored by the text of their paragraphs, less what is in
 links, and named by a generalised path of tags and classes (numbers in class names are one sign).
+A container inside an article or main stands for the nearest of these; another one stands for the
+highest ancestor with text of its own, such as a title or lead, or, below body, with other blocks of
+at least SIBLING of the container's score.
 A page gives each of its best containers a vote, its share of the page's best score.  Spark sums
 votes by (host, path) and ranks the paths of a host.  Second pass: a page is cut at the first ranked
-path that occurs in it and holds text; without one, at its own best container.
+path that occurs in it and holds text, or at an ancestor with text of its own; without one, at its
+own best container.
 
 Inside the container menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out, by tag, role or the words of class and id.  A header or footer inside
@@ -35,6 +39,8 @@ from ledgermill.llm.urls import host_of
 
 #: Paths of a page that get a vote, and ranked paths of a host that a page tries.
 VOTES, RANKED = 3, 8
+#: Share of the best container's score from which a block beside it belongs to the article.
+SIBLING = 0.2
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
@@ -62,12 +68,13 @@ _HEADING = frozenset(("h1", "h2", "h3", "h4", "h5", "h6", "hgroup"))
 
 
 class Node:
-    __slots__ = ("tag", "path", "parts", "dropped", "words", "own", "linked", "link", "heads")
+    __slots__ = ("tag", "path", "parts", "dropped", "words", "own", "linked", "link", "heads", "parent", "direct")
 
-    def __init__(self, tag, path, dropped, link, heads):
+    def __init__(self, tag, path, dropped, link, heads, parent=None):
         self.tag, self.path, self.dropped, self.link, self.heads = tag, path, dropped, link, heads
         self.parts: list = []  # strings, and nodes
-        self.own = self.linked = 0.0
+        self.own = self.linked = self.direct = 0.0
+        self.parent = parent
 
 
 def _boilerplate(tag: str, names: dict[str, str], inside_article: bool) -> bool:
@@ -140,7 +147,7 @@ def parse(page: str) -> Node:
         dropped = top.dropped or _boilerplate(name, names, inside)
         heads = (top.heads or name == "header" and inside) and name not in _HEADING
         path = f"{top.path}/{_step(name, names)}" if name not in _INLINE else top.path
-        node = Node(name, path, dropped, top.link or name == "a", heads)
+        node = Node(name, path, dropped, top.link or name == "a", heads, top)
         top.parts.append(node)
         stack.append(node)
     add(page[at:])
@@ -148,37 +155,72 @@ def parse(page: str) -> Node:
 
 
 def _score(node: Node, found: dict) -> tuple[float, float]:
-    """(text, text in links) below a node; adds each container's score by path, best first."""
-    text = linked = direct = 0.0
+    """(text, text in links) below a node; adds each container's score and node by path."""
+    text = linked = direct = plain = 0.0
     for part in node.parts:
         if isinstance(part, str):
             n = len(part.strip())
             text += n
             linked += n if node.link else 0
             direct += n
+            plain += 0 if node.link else n
         elif not part.dropped:
             t, k = _score(part, found)
             text, linked = text + t, linked + k
             if part.tag not in _CONTAINERS:
                 direct += t
+                plain += part.direct
             else:
                 node.own += 0.5 * part.own
+    node.direct = plain
     if node.tag in _CONTAINERS:
         node.own += direct * (1 - linked / text if text else 0)
         score = node.own * (1.2 if node.tag in ("article", "main") else 1.0)
-        if score > 0:
-            found[node.path] = max(found.get(node.path, 0.0), score)
+        if score > found.get(node.path, (0.0, None))[0]:
+            found[node.path] = score, node
     return text, linked
 
 
+def _whole(node: Node, siblings: bool) -> Node:
+    """The article that a container is a part of; the tree is scored."""
+    up, out = node, node
+    while up is not None:
+        if up.tag in ("article", "main"):
+            return up
+        up = up.parent
+    below, up, least = node, node.parent, SIBLING * node.own
+    while up is not None:
+        if up.tag in _CONTAINERS:
+            if up.direct > 0 or siblings and up.tag != "body" and any(
+                    x is not below and x.own >= least for x in _inner(up)):
+                out = up
+            below = up
+        up = up.parent
+    return out
+
+
+def _inner(node: Node) -> list[Node]:
+    """The nearest containers below a node, without dropped ones."""
+    out, todo = [], [node]
+    while todo:
+        for part in todo.pop().parts:
+            if not isinstance(part, str) and not part.dropped:
+                (out if part.tag in _CONTAINERS else todo).append(part)
+    return out
+
+
 def containers(page: str | None) -> list[tuple[str, float]]:
     """The best containers' paths with votes, their share of the best score."""
     if not page:
         return []
-    found: dict[str, float] = {}
+    found: dict[str, tuple[float, Node]] = {}
     _deep(_score, parse(page), found)
-    best = sorted(found.items(), key=lambda x: (-x[1], -len(x[0]), x[0]))[:VOTES]
-    return [(path, score / best[0][1]) for path, score in best]
+    best: dict[str, float] = {}
+    for path, (score, node) in sorted(found.items(), key=lambda x: (-x[1][0], -len(x[0]), x[0])):
+        best.setdefault(_whole(node, True).path, score)
+        if len(best) == VOTES:
+            break
+    return [(path, score / max(best.values())) for path, score in best.items()]
 
 
 def _blocks(node: Node, out: list[list[str]]):
@@ -210,11 +252,24 @@ def _at(node: Node, path: str) -> list[Node]:
         path.startswith(p.path) or p.tag in _INLINE) for x in _at(p, path)]
 
 
+def _outermost(nodes: list[Node]) -> list[Node]:
+    """The nodes once each, without those inside another."""
+    ids, out = {id(n) for n in nodes}, {}
+    for n in nodes:
+        up = n.parent
+        while up is not None and id(up) not in ids:
+            up = up.parent
+        if up is None:
+            out[id(n)] = n
+    return list(out.values())
+
+
 def extract(page: str | None, ranked: list[str]) -> tuple[str, str | None]:
     """(main text, path used) of a page by the host's ranked paths."""
     if not page:
         return "", None
     root = parse(page)
+    _deep(_score, root, {})
     own = None
     for path in [*ranked, None]:
         if path is None:
@@ -222,7 +277,7 @@ def extract(page: str | None, ranked: list[str]) -> tuple[str, str | None]:
             path = own[0][0] if own else None
             if path is None:
                 return _deep(text_of, root), None
-        nodes = _deep(_at, root, path)
+        nodes = _outermost([_whole(n, False) for n in _deep(_at, root, path)])
         text = "\n".join(t for t in (_deep(text_of, n) for n in nodes) if t)
         if text:
             return text, path

@@ -68,6 +68,32 @@ def test_html_host_outvotes_page(spark):
     assert html_paths.extract(odd, [])[0].startswith("other")
 
 
+LONG, HALF = "body words " * 300, "more words " * 80
+WHOLE = {
+    "lead": ("<article><h1>Title</h1><p>Lead</p><div class='entry-content'><p>{}</p></div></article>", [LONG]),
+    "sections": ("<article><section class='a'><p>{}</p></section><section class='b'><p>{}</p></section></article>",
+                 [LONG, HALF]),
+    "main": ("<main><h1>Title</h1><div class='w'><div class='x'><p>{}</p></div><div class='y'><p>Lead</p></div>"
+             "</div></main>", [LONG]),
+    "post": ("<div class='post'><h1>Title</h1><p>Lead</p><div class='entry'><p>{}</p></div></div>", [LONG]),
+    "blocks": ("<div class='post'><div class='a'><p>{}</p></div><div class='b'><p>{}</p></div></div>", [LONG, HALF]),
+    "body": ("<h1>Title</h1><p>Lead</p><div class='entry'><p>{}</p></div>", [LONG]),
+}
+
+
+def test_html_wrapped_bodies(spark):
+    """Titles, leads and further sections around the longest block stay; what is boilerplate goes."""
+    page = ("<html><body><nav>menu</nav><div class='sidebar'><p>side</p></div>{}"
+            "<div class='comments'><p>nice</p></div><footer>foot</footer></body></html>")
+    pages = [(f"{k}{i}", f"http://{k}.org/{i}", page.format(html_.format(*texts)))
+             for k, (html_, texts) in WHOLE.items() for i in range(2)]
+    got = {r.page_id: r.text for r in html_paths.extract_pages(
+        spark.createDataFrame(pages, "page_id string, url string, html string")).collect()}
+    for key, (html_, texts) in WHOLE.items():
+        want = [*(x for x in ("Title", "Lead") if x in html_), *(t.strip() for t in texts)]
+        assert sorted(got[f"{key}0"].split("\n")) == sorted(want), key
+
+
 # op2
 
 def test_simhash(spark, docs, edge_dir):
