@@ -1,10 +1,11 @@
 """URL verdicts: rules first, then naive Bayes over words cut from hosts and paths.
 
 Names in hosts and paths are written together; a unigram model over the words of page titles, of path
-parts and of the hyphened and last parts of hosts cuts them by Viterbi into the likeliest words.  A multinomial naive Bayes over
+parts and of the hyphened and last parts of hosts cuts them by Viterbi into the likeliest words.  The
+dictionary is a table of all words, joined to the substrings of the distinct hosts and paths.  A multinomial naive Bayes over
 these tokens, hashed to FEATURES places, judges what no rule decides.  Its training rows are all
 pages: those whose host holds a seed word count as unwanted, the others as wanted.  All counts cover
-the whole table.  What workers get has a fixed size: WORDS dictionary words and FEATURES weights.
+the whole table.  What workers get has a fixed size: a bitmap of the words and FEATURES weights.
 
 Defined results: a null url, or one without ://, has an empty host and path and no tokens, so the
 verdict is that of the class which is more frequent; equal odds are allowed; the longest rule that
@@ -23,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import lower_ascii, settle
+from ledgermill.llm.common import bitmaps, lower_ascii, passing, settle
 
-#: Words of the dictionary, at most: the most frequent ones, whole levels of frequency.  Longest word.  Places for hashed tokens.
-WORDS, LONGEST, FEATURES = 50_000, 24, 1 << 16
+#: Longest word.  Places for hashed tokens.
+LONGEST, FEATURES = 24, 1 << 16
 SMOOTHING = 1.0
 #: Names longer than this are cut into pieces of this length first.
 NAME = 512
@@ -58,8 +59,8 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 # Segmentation
 
-def dictionary(pages: DataFrame, url: str, page: str) -> dict[str, float]:
-    """Log probabilities of the most frequent words in titles, path parts and delimited host parts."""
+def dictionary(pages: DataFrame, url: str, page: str, seeds: Sequence[str]) -> DataFrame:
+    """(word, n): how often each word occurs in titles, path parts and delimited host parts; seeds once at least."""
     title = F.regexp_extract(F.col(page), r"(?is)<title[^>]*>(.*?)</title", 1)
     letters = F.lower(F.concat_ws(" ", title, path_of(F.col(url))))
     labels = F.split(host_of(F.col(url)), r"\.")
@@ -68,21 +69,10 @@ def dictionary(pages: DataFrame, url: str, page: str) -> dict[str, float]:
     words = F.concat(F.regexp_extract_all(letters, F.lit(r"([a-z]+)"), F.lit(1)),
                      F.filter(known, lambda x: x.rlike("^[a-z]+$")))
     word = F.explode(words).alias("word")
-    counted = pages.select(word).where(F.length("word") <= LONGEST).groupBy("word").count()
-    level = F.floor(8 * F.log2("count")).cast("int")
-    counted = settle(counted.withColumn("level", level), "url-dictionary")
-    size = {r["level"]: r["count"] for r in counted.groupBy("level").count().collect()}  # 512 at most
-    lowest, taken = max(size, default=0) + 1, 0
-    for at in sorted(size, reverse=True):
-        taken += size[at]
-        if taken > WORDS:
-            break
-        lowest = at
-    counts = {r["word"]: r["count"] for r in counted.where(F.col("level") >= lowest).collect()}
-    for seed in SEEDS:
-        counts[seed] = max(counts.get(seed, 0), 1)
-    total = sum(counts.values())
-    return {w: math.log(n / total) for w, n in counts.items()} | {"": -math.log(max(total, 1))}
+    counted = pages.select(word).where(F.length("word") <= LONGEST).groupBy("word").agg(F.count("*").alias("n"))
+    given = pages.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, seeds)).cast("array<string>")).alias("word"))
+    return settle(counted.unionByName(given.withColumn("n", F.lit(1).cast("long")))
+                  .groupBy("word").agg(F.max("n").alias("n")), "url-dictionary")
 
 
 def segment(name: str, words: dict[str, float]) -> list[str]:
@@ -104,34 +94,52 @@ def segment(name: str, words: dict[str, float]) -> list[str]:
     return out[::-1]
 
 
-def tokens_of(text: str, words: dict[str, float], memo: dict[str, list[str]]) -> list[str]:
-    out = []
-    for run in re.findall(r"[a-z]+", text.lower()):
-        for name in (run[i:i + NAME] for i in range(0, len(run), NAME)):
-            if name not in memo:
-                if len(memo) > 100_000:
-                    memo.clear()
-                memo[name] = segment(name, words)
-            out += memo[name]
-    return out
+def names_of(text: str) -> list[str]:
+    """The runs of letters that are cut into words."""
+    return [run[i:i + NAME] for run in re.findall(r"[a-z]+", text.lower()) for i in range(0, len(run), NAME)]
 
 
-def tokenised(rows: DataFrame, words: dict[str, float]) -> DataFrame:
-    """Add host_words and path_words to rows with host and path."""
-    kept = rows.columns
-    sent = rows.sparkSession.sparkContext.broadcast(words)  # at most WORDS + seeds
+def substrings(text: str) -> set[str]:
+    return {name[a:b] for name in names_of(text)
+            for a in range(len(name)) for b in range(a + 1, min(a + LONGEST, len(name)) + 1)}
 
-    def run(batches):
-        memo: dict[str, list[str]] = {}
+
+def tokenised(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """Add host_words and path_words to rows with host and path.
+
+    Each distinct host and path is met by the counts of all its substrings that are words; a bitmap
+    of the words keeps most others from being shuffled.
+    """
+    texts = settle(rows.select(F.explode(F.array("host", "path")).alias("text")).distinct(), "url-texts")
+    total = words.agg(F.sum("n")).first()[0] or 1
+
+    def explode(batches):
         for batch in batches:
-            lists = [[tokens_of(t, sent.value, memo) for t in batch.column(c).to_pylist()]
-                     for c in ("host", "path")]
+            column = batch.column("text").to_pylist()
+            for i in range(0, len(column), 256):
+                pairs = [(t, w) for t in column[i:i + 256] for w in substrings(t)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([t for t, _ in pairs], pa.string()), pa.array([w for _, w in pairs], pa.string())],
+                    ["text", "word"])
+
+    def cut(batches):
+        for batch in batches:
+            out = []
+            for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist()):
+                known = {f["word"]: math.log(f["n"] / total) for f in found or ()} | {"": -math.log(total)}
+                out.append([w for name in names_of(text) for w in segment(name, known)])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(x, pa.list_(pa.string())) for x in lists)],
-                [*kept, "host_words", "path_words"])
+                [batch.column("text"), pa.array(out, pa.list_(pa.string()))], ["text", "words"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{fields}, host_words array<string>, path_words array<string>")
+    maps = settle(bitmaps(words.select(F.xxhash64("word").alias("key"))), "url-bits")
+    some = passing(texts.mapInArrow(explode, "text string, word string"), F.xxhash64("word"), maps, "x7_in")
+    found = (some.where("x7_in").join(words, "word").groupBy("text")
+             .agg(F.collect_list(F.struct("word", "n")).alias("found")))
+    parts = settle(texts.join(found, "text", "left").select("text", "found")
+                   .mapInArrow(cut, "text string, words array<string>"), "url-parts")
+    for c in ("host", "path"):
+        rows = rows.join(parts.select(F.col("text").alias(c), F.col("words").alias(f"{c}_words")), c)
+    return rows
 
 
 # Naive Bayes
@@ -142,7 +150,7 @@ def place(token: str) -> int:
 
 def train(rows: DataFrame, seeds: Sequence[str]) -> tuple[float, np.ndarray]:
     """(log prior odds, log odds of each place) for unwanted against wanted."""
-    unwanted = F.arrays_overlap("host_words", F.array(*map(F.lit, seeds))).alias("unwanted")
+    unwanted = F.arrays_overlap("host_words", F.array(*map(F.lit, seeds)).cast("array<string>")).alias("unwanted")
     marked = rows.select(unwanted, F.concat(
         F.transform("host_words", lambda w: F.concat(F.lit("h:"), w)),
         F.transform("path_words", lambda w: F.concat(F.lit("p:"), w))).alias("tokens"))
@@ -176,7 +184,7 @@ def judged(rows: DataFrame, prior: float, odds: np.ndarray) -> DataFrame:
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, seeds: Sequence[str] = SEEDS,
           id_col: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """id, host, path, rule, verdict, the words cut from host and path, and the odds."""
-    words = dictionary(pages, url, page)
+    words = dictionary(pages, url, page, seeds)
     rows = pages.select(F.col(id_col), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rows = settle(tokenised(rows, words), "url-words")
     found = longest_rule(F.col("host"), F.col("path"), rules)

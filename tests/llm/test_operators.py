@@ -362,6 +362,18 @@ def test_segmentation_is_the_likeliest():
         assert "".join(got) == name and cost(got) == pytest.approx(best)
 
 
+def test_dictionary_holds_all_words(spark):
+    """More words of one frequency than were once taken: all still cut a host."""
+    import string
+
+    letters = string.ascii_lowercase[:16]
+    made = ["".join(letters[n >> s & 15] for s in (0, 4, 8, 12)) + "zq" for n in range(51_000)]
+    pages = [(i, "http://a.org/x", f"<title>{' '.join(made[i::51])}</title>") for i in range(51)]
+    pages.append((99, f"http://{made[7]}{made[50_999]}.org/", None))
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert got.where("page_id = 99").first().host_words == [made[7], made[50_999], "org"]
+
+
 def test_naive_bayes_learns_companions(spark):
     hosts = ["casinobonus.org", "bonuscasino.org"] * 20 + ["gardening.org", "weather.org"] * 50
     pages = [(i, f"http://{h}/x", "<title>bonus gardening weather</title>") for i, h in enumerate(hosts)]
