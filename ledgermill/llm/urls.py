@@ -3,8 +3,9 @@
 Names in hosts and paths are written together; a unigram model over the words of page titles, of path
 parts and of the hyphened and last parts of hosts cuts them by Viterbi into the likeliest words.  The
 dictionary is a table of all words, joined to the substrings of the distinct hosts and paths.  A multinomial naive Bayes over
-these tokens, hashed to FEATURES places, judges what no rule decides.  Its training rows are all
-pages: those whose host holds a seed word count as unwanted, the others as wanted.  All counts cover
+these tokens, hashed to FEATURES places, judges what no rule decides.  Pages whose host holds a seed
+word are trained as unwanted.  The others have no label: a first model takes all of them as wanted,
+the final one only those that the first does not judge unwanted.  All counts cover
 the whole table.  What workers get has a fixed size: a bitmap of the words and FEATURES weights.
 
 Defined results: a null url, or one without ://, has an empty host and path and no tokens, so the
@@ -32,7 +33,11 @@ SMOOTHING = 1.0
 #: Names longer than this are cut into pieces of this length first.
 NAME = 512
 #: Parameter: words that mark an unwanted host.
-SEEDS = ("casino", "poker", "betting", "pills", "viagra", "pharma", "porn", "xxx", "spam", "warez")
+SEEDS = ("casino", "poker", "betting", "pills", "viagra", "pharma", "porn", "xxx", "spam", "warez",
+         "bets", "bookmaker", "bookmakers", "gambling", "jackpot", "slots", "sportsbook",
+         "adult", "adults", "erotic", "escort", "escorts", "hentai", "nude", "nudes", "sexy", "webcams",
+         "ads", "adserver", "adservice", "adtech", "clicktracker", "doubleclick", "popunder", "tracker",
+         "trackers", "tracking")
 #: Fixed values of the rules: (verdict, host, path).
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
@@ -148,20 +153,26 @@ def place(token: str) -> int:
     return zlib.crc32(token.encode()) % FEATURES
 
 
+def seeded(seeds: Sequence[str]) -> Column:
+    return F.arrays_overlap("host_words", F.array(*map(F.lit, seeds)).cast("array<string>"))
+
+
 def train(rows: DataFrame, seeds: Sequence[str]) -> tuple[float, np.ndarray]:
     """(log prior odds, log odds of each place) for unwanted against wanted."""
-    unwanted = F.arrays_overlap("host_words", F.array(*map(F.lit, seeds)).cast("array<string>")).alias("unwanted")
-    marked = rows.select(unwanted, F.concat(
+    marked = rows.select(seeded(seeds).alias("unwanted"), F.concat(
         F.transform("host_words", lambda w: F.concat(F.lit("h:"), w)),
         F.transform("path_words", lambda w: F.concat(F.lit("p:"), w))).alias("tokens"))
     size = {r["unwanted"]: r["count"] for r in marked.groupBy("unwanted").count().collect()}
     at = F.pmod(F.crc32(F.col("token").cast("binary")), F.lit(FEATURES)).alias("at")
     counted = (marked.select("unwanted", F.explode("tokens").alias("token"))
                .groupBy("unwanted", at).count().collect())  # at most 2 * FEATURES rows
-    n = np.full((2, FEATURES), SMOOTHING)
+    n = np.zeros((2, FEATURES))
     for r in counted:
         n[int(r["unwanted"]), r["at"]] += r["count"]
-    odds = np.log(n[1] / n[1].sum()) - np.log(n[0] / n[0].sum())
+    n += SMOOTHING * (n.sum(0) > 0)  # places without a token say nothing
+    odds = np.zeros(FEATURES)
+    some = n[0] > 0
+    odds[some] = np.log(n[1, some] / n[1].sum()) - np.log(n[0, some] / n[0].sum())
     prior = math.log((size.get(True, 0) + 1) / (size.get(False, 0) + 1))
     return prior, odds
 
@@ -187,9 +198,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, seeds
     words = dictionary(pages, url, page, seeds)
     rows = pages.select(F.col(id_col), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rows = settle(tokenised(rows, words), "url-words")
+    labelled = judged(rows, *train(rows, seeds)).where(seeded(seeds) | (F.col("odds") <= 0))
+    labelled = settle(labelled.select("host_words", "path_words"), "url-labelled")
     found = longest_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("odds") > 0, "block").otherwise("allow")
-    return judged(rows, *train(rows, seeds)).withColumn("found", found).select(
+    return judged(rows, *train(labelled, seeds)).withColumn("found", found).select(
         id_col, "host", "path", F.col("found.rule").alias("rule"),
         F.coalesce("found.verdict", own).alias("verdict"), "host_words", "path_words", "odds")
 

@@ -383,6 +383,16 @@ def test_naive_bayes_learns_companions(spark):
     assert (by[0], by[40], by[999]) == ("block", "allow", "block")
 
 
+def test_unwanted_hosts_without_a_rule(spark):
+    """Adult, betting and tracking hosts, and one known only by its company, among many wanted ones."""
+    bad = ["blog.adult-x.org", "free-bets.org", "m.ads-track.org", "lucky-win.org"]
+    hosts = [*bad * 5, *["lucky-casino.org", "casino-win.org"] * 20,
+             *["blog.gardening.org", "free-recipes.org", "m.weather.org", "town-library.org"] * 50]
+    pages = [(i, f"http://{h}/a", "<title>gardening weather library recipes</title>") for i, h in enumerate(hosts)]
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), rules=()).collect()
+    assert {r.host for r in got if r.verdict == "block"} == {*bad, "lucky-casino.org", "casino-win.org"}
+
+
 # op8
 
 def test_token_counts(spark, docs, edge_dir):
