@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgermill.llm import bpe, exact, html_paths, kneser_ney, language, mixing, quality, simhash, transducer, urls
+from ledgermill.llm import (bpe, exact, html_paths, kneser_ney, language, lexical, mixing, quality, simhash, transducer,
+                            urls)
 
 QUERIES = {
     "op5_quality_rules": quality.query,
@@ -15,9 +16,11 @@ QUERIES = {
     "op4_byte_bpe": bpe.query,
     "op8_token_counts": transducer.query,
     "op9_exact_dedup": exact.query,
+    "op12_lexical_search": lexical.query,
 }
 
 ORACLES = {
     "op6_source_mixing": mixing.ORACLE,
     "op9_exact_dedup": exact.ORACLE,
+    "op12_lexical_search": lexical.ORACLE,
 }
