@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgermill.llm import (bpe, exact, html_paths, kneser_ney, language, lexical, mixing, quality, simhash, transducer,
+from ledgermill.llm import (bpe, exact, html_paths, kd_shards, kneser_ney, language, lexical, mixing, quality, simhash, transducer,
                             urls)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op4_byte_bpe": bpe.query,
     "op8_token_counts": transducer.query,
     "op9_exact_dedup": exact.query,
+    "op11_kd_shards": kd_shards.query,
     "op12_lexical_search": lexical.query,
 }
 
