@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgermill.llm import (bpe, exact, html_paths, kd_shards, kneser_ney, language, lexical, mixing, quality, simhash, transducer,
-                            urls)
+from ledgermill.llm import (bpe, exact, html_paths, kd_shards, kneser_ney, language, lexical, mixing, quality, repair, simhash,
+                            transducer, urls)
 
 QUERIES = {
     "op5_quality_rules": quality.query,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_exact_dedup": exact.query,
     "op11_kd_shards": kd_shards.query,
     "op12_lexical_search": lexical.query,
+    "op13_conversation_repair": repair.query,
 }
 
 ORACLES = {
