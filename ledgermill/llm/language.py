@@ -7,9 +7,9 @@ sample of its training rows, repeats counted once: those whose hash of id and te
 of its range that holds SAMPLE of the language's rows on average.  The language of the nearest centroid is predicted; its cosine is the score.
 
 Rejection is by distance: a text is rejected if its cosine is below SLACK times the lowest one that
-sampled rows of the predicted language with as many n-grams or more have to their own centroids.
-Texts of a length that hardly occurs in the sample
-are not rejected for their distance.
+sampled rows of the predicted language with as many n-grams or more have to their own centroids.  Short
+texts are measured by pieces of the sampled rows, cut off at powers of two: below a row's own length its
+pieces count like rows, but for the LEAST part of them with the lowest cosines, which hold hardly a word.
 
 Defined results: null, empty and letterless texts are `und`, score 0, rejected; equal cosines go to
 the language that sorts first; without training rows every text is `und`; repeated rows get equal
@@ -34,16 +34,16 @@ SIZE = 1 << 13
 #: Sampled training rows of a language, on average at most; centroids of a language.
 SAMPLE, CENTROIDS = 1000, 4
 SLACK = 0.5
-#: Sampled rows of a text's length or less that a rejection needs.
-SUPPORT = 50
+#: The part of a length's pieces that sets no floor; characters of the shortest piece.
+LEAST, PIECE = 0.02, 16
 ROUNDS = 12
 UNKNOWN = "und"
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 def blocks(lengths):
-    """Slices of a batch, of 256 texts at most as each takes a row of SIZE counts."""
-    return slices(np.maximum(lengths, 1 << 13))
+    """Slices of a batch, of 64 texts at most as each takes a row of SIZE counts."""
+    return slices(np.maximum(lengths, SIZE), 64 * SIZE)
 
 
 def counts(texts: list[str | None]) -> np.ndarray:
@@ -56,7 +56,7 @@ def counts(texts: list[str | None]) -> np.ndarray:
     point = np.where(letter, point, 32)
     keep = letter | (np.roll(letter, 1) & (owner == np.roll(owner, 1)))
     point, owner, letter = point[keep].astype(np.uint64), owner[keep], letter[keep]
-    out = np.zeros(len(texts) * SIZE, np.int64)
+    out = np.zeros(len(texts) * SIZE, np.int32)
     shift = np.uint64(64 - SIZE.bit_length() + 1)
     for n in (1, 2, 3):
         if len(point) < n:
@@ -67,7 +67,7 @@ def counts(texts: list[str | None]) -> np.ndarray:
             h = (h + point[i:i + rows]) * _MIX[i]
         inside = (owner[:rows] == owner[n - 1:]) & (letter[:rows] if n == 1 else True)
         at = owner[:rows] * SIZE + (h >> shift).astype(np.int64)
-        out += np.bincount(at[inside], minlength=len(out))
+        out += np.bincount(at[inside], minlength=len(out)).astype(np.int32)
     return out.reshape(len(texts), SIZE)
 
 
@@ -98,6 +98,34 @@ def cluster(x: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
+def pieces(text: str) -> list[str]:
+    """The text, and its first 16, 32, .. characters below half of its length."""
+    return [text, *(text[:1 << j] for j in range(PIECE.bit_length() - 1, len(text).bit_length() - 1))]
+
+
+def _sparse(sample: DataFrame) -> DataFrame:
+    """The n-gram counts of sampled rows and of their pieces: at most SIZE numbers for each."""
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text")
+            for a, b in slices(pc.utf8_length(texts).to_numpy(), 64 * SIZE):
+                parts = [pieces(t) for t in texts.slice(a, b - a).to_pylist()]
+                row = np.repeat(np.arange(a, b), [len(p) for p in parts])
+                whole = [i == 0 for p in parts for i in range(len(p))]
+                flat = [t for p in parts for t in p]
+                for c, d in blocks([len(t) for t in flat]):
+                    n = counts(flat[c:d])
+                    at = [np.flatnonzero(x) for x in n]
+                    of = pa.array(row[c:d])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("lang").take(of), batch.column("key").take(of), pa.array(whole[c:d]),
+                         pa.array([x.astype(np.int32) for x in at], pa.list_(pa.int32())),
+                         pa.array([x[i] for x, i in zip(n, at)], pa.list_(pa.int32()))],
+                        ["lang", "key", "whole", "at", "n"])
+
+    return sample.mapInArrow(run, "lang string, key long, whole boolean, at array<int>, n array<int>")
+
+
 def _frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Rows that hold an n-gram, by place, and all rows."""
     def run(batches):
@@ -133,21 +161,32 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str =
         chosen = chosen | ((F.col("lang") == r["lang"]) & (share(F.col("key")) < SAMPLE / r["count"]))
     sample = rows.where(chosen).dropDuplicates(["lang", "key"]).select("lang", "key", "text")
 
+    def dense(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        x, size = np.zeros((len(part), SIZE), np.float32), np.zeros(len(part), int)
+        for i, (at, n) in enumerate(zip(part["at"], part["n"])):
+            x[i, at] = vectors(n[None, :], idf[at])[0]
+            size[i] = level(n[None, :])[0]
+        return x, size
+
     def fit(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("key")
-        got = [counts(part["text"].iloc[a:b].tolist())
-               for a, b in blocks(part["text"].str.len().to_numpy())]
-        size = np.concatenate([level(g) for g in got])
-        x = np.concatenate([vectors(g, idf) for g in got])
+        part = part.sort_values(["whole", "key"], ascending=[False, True], kind="stable")
+        x, size = dense(part[part["whole"]])
         some = size > 0
         centres = cluster(x[some], CENTROIDS) if some.any() else np.zeros((1, SIZE))
         near = (x @ centres.T).max(1)
-        floors = [float(near[some & (size >= i)].min(initial=1.0)) for i in range(64)]
-        floors = [f if (some & (size <= i)).sum() >= SUPPORT else 0.0 for i, f in enumerate(floors)]
+        floors = [float(near[some & (size >= min(i, size.max()))].min(initial=1.0)) for i in range(64)]
+        parts = part[~part["whole"]]
+        cut = [dense(parts.iloc[i:i + 256]) for i in range(0, len(parts), 256)]
+        cosines = np.concatenate([(y @ centres.T).max(1) for y, _ in cut] or [near[:0]])
+        levels = np.concatenate([z for _, z in cut] or [size[:0]])
+        for i in range(64):
+            mine = cosines[levels == i]
+            if len(mine):
+                floors[:i + 1] = np.minimum(floors[:i + 1], np.quantile(mine, LEAST))
         return pd.DataFrame({"lang": part["lang"].iloc[0], "centre": [c.tolist() for c in centres],
                              "floors": [floors] * len(centres)})
 
-    fitted = sample.groupBy("lang").applyInPandas(
+    fitted = _sparse(sample).groupBy("lang").applyInPandas(
         fit, "lang string, centre array<float>, floors array<double>").collect()
     fitted.sort(key=lambda r: (r["lang"], r["centre"]))
     return {"langs": [r["lang"] for r in fitted], "idf": idf,
@@ -166,7 +205,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text", keep: list[str] |
         m = sent.value
         langs, centres, floors = np.array(m["langs"], object), m["centres"], m["floors"]
         for batch in batches:
-            column, rest = batch.column("x3_text"), batch.select(kept)
+            column, rest = batch.column(text), batch.select(kept)
             for a, b in blocks(pc.fill_null(pc.utf8_length(column), 0).to_numpy()):
                 n = counts(column.slice(a, b - a).to_pylist())
                 size = level(n)
@@ -184,7 +223,8 @@ def predict(docs: DataFrame, model: dict, text: str = "text", keep: list[str] |
                     [*rest.slice(a, b - a).columns, pa.array(name.tolist(), pa.string()),
                      pa.array(score), pa.array(bad)], [*kept, *new])
 
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("x3_text"))
+    source = docs.select(*[F.col(f"`{c}`") for c in kept],
+                         *([] if text in kept else [F.col(text)]))  # a text that stays is sent once
     return source.mapInArrow(run, schema)
 
 
@@ -195,10 +235,9 @@ def held_out(id_col: str = "doc_id") -> Column:
 def accepted(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> DataFrame:
     """The rows of `docs` whose language is known, all columns as they were."""
     model = train(docs.where(~held_out(id_col)), text, lang, id_col)
-    marked = docs.select("*", F.col(text).alias("x3_in"))
     names = docs.columns
-    plain = marked.toDF(*[f"x3_{i}" for i in range(len(names))], "x3_in")
-    kept = predict(plain, model, "x3_in", [f"x3_{i}" for i in range(len(names))])
+    plain = docs.toDF(*[f"x3_{i}" for i in range(len(names))])
+    kept = predict(plain, model, f"x3_{names.index(text)}")
     return kept.where("NOT rejected").select(*[F.col(f"x3_{i}").alias(c) for i, c in enumerate(names)])
 
 
