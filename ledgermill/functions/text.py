@@ -68,22 +68,30 @@ def first_label(label: Column, rules: list[tuple[str, object]]) -> Column:
     return branch
 
 
+def _anchors(only: list[str] | None) -> tuple[list[tuple[str, str]], str]:
+    """(section, pattern) of the named sections, and one pattern for all of them."""
+    chosen = [(s, "(?i)" + p) for s, p in lookups.SECTION_ANCHORS if not only or s in only]
+    return chosen, "(?i)" + "|".join(dict.fromkeys(p[4:] for _, p in chosen))
+
+
 def first_anchor(text: Column, only: list[str] | None = None) -> Column:
-    """First section whose heading pattern occurs in the text, in match order."""
-    branch = None
-    for section, pattern in lookups.SECTION_ANCHORS:
-        if only and section not in only:
-            continue
-        cond = text.rlike("(?i)" + pattern)
-        branch = F.when(cond, F.lit(section)) if branch is None else branch.when(
-            cond, F.lit(section))
+    """First section whose heading pattern occurs in the text, in match order.
+
+    One pattern for all decides first, so most texts are read once.
+    """
+    chosen, any_of = _anchors(only)
+    branch = F.when(~text.rlike(any_of), F.lit(None).cast("string"))
+    for section, pattern in chosen:
+        branch = branch.when(text.rlike(pattern), F.lit(section))
     return branch
 
 
-def all_anchors(text: Column) -> Column:
+def all_anchors(text: Column, only: list[str] | None = None) -> Column:
     """Array of every section whose heading pattern occurs in the text."""
-    return F.array_compact(F.array(*[
-        F.when(text.rlike("(?i)" + p), F.lit(s)) for s, p in lookups.SECTION_ANCHORS]))
+    chosen, any_of = _anchors(only)
+    found = F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(s)) for s, p in chosen]))
+    return F.when(text.rlike(any_of), found).otherwise(
+        F.when(text.isNotNull(), F.array().cast("array<string>")))
 
 
 def pages_referred(text: Column) -> Column:

@@ -1,13 +1,10 @@
-"""Statutory sections of printed filings: independent locators, then a vote.
+"""Statutory sections of printed filings: classes, entity changes, texts and their evaluation.
 
-Each locator reads the per-page table (one row per page, see tokens.page_text) and emits
-(doc_id, section_id, start_page, end_page, signal).
+Locators and votes are in evidence.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,7 +13,6 @@ from ledgermill import lookups
 from ledgermill.functions import text
 from ledgermill.operators import tokens as tok
 
-CANDIDATE = ["doc_id", "section_id", "start_page", "end_page", "signal"]
 CLASS_PHRASES = {
     "frs_105": "frs 105", "micro_entity": "micro-entity", "micro_entity_2": "micro entity",
     "section_1a": "section 1a", "small_regime": "small companies regime",
@@ -28,9 +24,8 @@ CLASS_PHRASES = {
 }
 
 
-def classify_documents(pages: DataFrame) -> DataFrame:
-    """(doc_id, size, mode, page_count, reasons) from phrases and the page count."""
-    d = tok.phrase_flags(pages, CLASS_PHRASES)
+def with_class(d: DataFrame) -> DataFrame:
+    """Add size, mode and reasons to documents with a flag for each phrase and ``last_page``."""
     c = F.col
     micro = c("frs_105") | c("micro_entity") | c("micro_entity_2")
     small = c("section_1a") | c("small_regime") | c("small_entities") | c("s1a")
@@ -49,8 +44,7 @@ def classify_documents(pages: DataFrame) -> DataFrame:
             large, "ifrs_or_60plus_pages"),
         F.when(filleted, "s444_filleted").when(minimal, "micro_minimal_by_page_count").when(
             short, "abbreviated_marker")))
-    return d.select("doc_id", "size", mode.alias("mode"), c("last_page").alias("page_count"),
-                    reasons.alias("reasons"))
+    return d.withColumns({"mode": mode, "reasons": reasons})
 
 
 def expected_printed(section: Column, size: Column, mode: Column) -> Column:
@@ -64,119 +58,6 @@ def expected_printed(section: Column, size: Column, mode: Column) -> Column:
                 & ~section.isin("accounting_policies", "going_concern_note")))
 
 
-def _candidates(df: DataFrame, signal: str, end: Column | None = None) -> DataFrame:
-    return df.select(
-        "doc_id", "section_id", F.col("page").alias("start_page"),
-        (F.lit(None).cast("int") if end is None else end).alias("end_page"),
-        F.lit(signal).alias("signal"))
-
-
-def printed_contents(tokens: DataFrame, pages: DataFrame) -> DataFrame:
-    """Locator: rows of a contents page (title left of the rightmost page number)."""
-    last = pages.groupBy("doc_id").agg(F.max("page").alias("last"))
-    toc = tok.with_band_flags(pages.select("doc_id", "page", "top25")).where("is_contents").select("doc_id", "page").join(
-        last, "doc_id")
-    t = tok.with_centres(tokens.join(toc, tok.PAGE))
-    t = tok.islands(t, tok.PAGE, "y", tok.CONTENTS_ROW_GAP, "row", ["x", "text"])
-    bare = F.rtrim(F.trim("text"), F.lit("."))
-    digits = bare.rlike("^[0-9]+$")
-    number = F.when(digits, bare.try_cast("int"))
-    t = t.withColumn("n", F.when(number.between(1, F.col("last")), number)).withColumn(
-        "digits", digits)
-    pos = F.struct("x", "y", "text")
-    item = F.when(~F.col("digits"), F.struct("x", "y", "text"))
-    rows = t.groupBy(*tok.PAGE, "row").agg(
-        F.max(F.when(F.col("n").isNotNull(), F.struct("x", "y", "text", "n"))).alias("num"),
-        F.sort_array(F.collect_list(item)).alias("items"))
-    title = F.trim(F.array_join(F.transform(F.filter(
-        "items", lambda i: i["x"] < F.col("num.x") - 5), lambda i: i["text"]), " "))
-    rows = rows.where("num is not null").withColumn("title", title)
-    named = rows.where(F.length("title") >= 3).withColumn(
-        "section_id", text.first_anchor(F.col("title"))).where("section_id is not null")
-    return named.select("doc_id", "section_id", F.col("num.n").alias("start_page"),
-                        F.lit(None).cast("int").alias("end_page"), F.lit("toc").alias("signal"))
-
-
-def heading_anchors(pages: DataFrame) -> DataFrame:
-    """Locator: heading phrases in the top quarter; a long band must be mostly capitals.
-
-    An audit-report heading counts only with report wording on its page or the next one.
-    Texts are reduced to flags before the window over a document's pages.
-    """
-    small = pages.select(
-        "doc_id", "page",
-        text.contains_any(F.lower("text"), lookups.AUDITOR_BODY_PHRASES).alias("body"),
-        F.when((F.col("n25") <= 40) | (F.col("caps25") / F.col("n25") >= 0.5),
-               text.all_anchors(F.col("top25"))).alias("anchors"))
-    order = W.partitionBy("doc_id").orderBy("page")
-    adjacent = F.lead("page").over(order) == F.col("page") + 1
-    confirmed = F.col("body") | F.coalesce(adjacent & F.lead("body").over(order), F.lit(False))
-    hits = small.withColumn("confirmed", confirmed).select(
-        "doc_id", "page", "confirmed", F.explode("anchors").alias("section_id")).where(
-        (F.col("section_id") != "auditor_report") | F.col("confirmed"))
-    return _candidates(hits, "hard_anchor")
-
-
-def running_headers(pages: DataFrame) -> DataFrame:
-    """Locator: one top-band string on three or more pages, not the company's name."""
-    company = F.lower(text.header_company(F.when(F.col("page") == 1, F.col("top30"))))
-    names = pages.where("page = 1").select("doc_id", company.alias("company"))
-    grouped = pages.where("trim(header) <> ''").groupBy(
-        "doc_id", F.trim("header").alias("header")).agg(
-        F.count("*").alias("n"), F.min("page").alias("page"), F.max("page").alias("last"))
-    found = grouped.where("n >= 3").join(names, "doc_id", "left").where(
-        F.col("company").isNull() | ~F.lower("header").contains(F.col("company")))
-    named = found.withColumn("section_id", text.first_anchor(F.col("header"))).where(
-        "section_id is not null")
-    return _candidates(named, "running_header", F.col("last"))
-
-
-def capital_first_lines(pages: DataFrame) -> DataFrame:
-    """Locator: an all-capitals first line."""
-    line = F.trim("top05")
-    caps = (F.upper(line) == line) & (F.lower(line) != line)
-    named = pages.where(caps).withColumn(
-        "section_id", text.first_anchor(line)).where("section_id is not null")
-    return _candidates(named, "all_caps_first_line")
-
-
-def signoffs(pages: DataFrame) -> DataFrame:
-    """(doc_id, page) of sign-off wording."""
-    return pages.where(F.col("text").rlike("(?i)" + lookups.SIGNOFF_PATTERN)).select(
-        "doc_id", "page")
-
-
-def numbered_notes(lines: DataFrame) -> DataFrame:
-    """Locator: numbered note headings.  ``lines(doc_id, page, line)`` are printed lines."""
-    heading = F.regexp_extract("line", r"^\s*[0-9]+(?:\.[0-9]+)*[._\s]+([A-Z][^\n]*)$", 1)
-    named = lines.withColumn("section_id", text.first_anchor(
-        heading, ["accounting_policies", "critical_estimates", "going_concern_note"])).where(
-        "section_id is not null")
-    return _candidates(named, "numbered_note")
-
-
-def page_lines(tokens: DataFrame) -> DataFrame:
-    """Printed lines of every page (tokens clustered by height)."""
-    t = tok.islands(tok.with_centres(tokens), tok.PAGE, "y", tok.CONTENTS_ROW_GAP, "row",
-                    ["x", "text"])
-    return t.groupBy(*tok.PAGE, "row").agg(tok.joined_text(["x", "y", "text"]).alias("line"))
-
-
-def primary_ranges(pages: DataFrame) -> DataFrame:
-    """(doc_id, first, last): pages before the second confirmed audit report."""
-    pattern = dict(lookups.SECTION_ANCHORS)["auditor_report"]
-    audit = F.col("text").rlike("(?i)" + pattern) & text.contains_any(
-        F.lower("text"), lookups.AUDITOR_BODY_PHRASES)
-    flagged = pages.select("doc_id", "page", F.when(audit, F.col("page")).alias("a"))
-    firsts = flagged.groupBy("doc_id").agg(
-        F.min("page").alias("first"), F.max("page").alias("end"),
-        F.array_sort(F.collect_set("a")).alias("audits"))  # a document's audit pages
-    return firsts.select(
-        "doc_id", "first",
-        F.coalesce(F.try_element_at("audits", F.lit(2)) - 1, F.col("end")).alias("last"),
-        F.col("end").alias("document_end"))
-
-
 def entity_changes(pages: DataFrame) -> DataFrame:
     """Other signs of a second entity: a new registration number, a level-one heading again
     after the audit report, a second contents page; the first page of each."""
@@ -201,66 +82,6 @@ def entity_changes(pages: DataFrame) -> DataFrame:
         for n in ("new_number", "second_toc", "after_audit")])
 
 
-def candidates(tokens: DataFrame, pages: DataFrame) -> DataFrame:
-    """Pool of all locators."""
-    parts = [printed_contents(tokens, pages), heading_anchors(pages), running_headers(pages),
-             capital_first_lines(pages), numbered_notes(page_lines(tokens))]
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def vote(pool: DataFrame, ranges: DataFrame) -> DataFrame:
-    """(doc_id, section_id, start, signals, confidence): best agreeing group per section.
-
-    Candidates one page apart agree.  Most distinct signals win, then the best signal, then
-    the earlier group.
-    """
-    spark = pool.sparkSession
-    inside = pool.join(ranges, "doc_id").where(
-        F.col("start_page").between(F.col("first"), F.col("last")))
-    # Equal candidates vote once, so a page repeated many times adds nothing to the window.
-    unique = inside.select("doc_id", "section_id", "start_page", "signal").distinct()
-    grouped = tok.islands(unique, ["doc_id", "section_id"], "start_page", 1, "g", ["signal"])
-    ranked = grouped.join(F.broadcast(lookups.locator_ranks(spark)), "signal", "left")
-    groups = ranked.groupBy("doc_id", "section_id", "g").agg(
-        F.sort_array(F.collect_set("signal")).alias("signals"),
-        F.max(F.coalesce("rank", F.lit(0))).alias("rank"), F.min("start_page").alias("start"))
-    best = F.struct(F.size("signals"), "rank", -F.col("start"))
-    return groups.groupBy("doc_id", "section_id").agg(
-        F.max_by(F.struct("start", "signals"), best).alias("b")).select(
-        "doc_id", "section_id", "b.start", "b.signals",
-        F.when(F.size("b.signals") >= 2, "high").otherwise("low").alias("confidence"))
-
-
-def with_ends(chosen: DataFrame, ranges: DataFrame, signed: DataFrame) -> DataFrame:
-    """Add the end page: before the next section, cut at the first sign-off inside."""
-    ordinal = F.array_position(F.array(*[F.lit(s) for s in lookups.SECTION_IDS]),
-                               F.col("section_id"))
-    order = W.partitionBy("doc_id").orderBy("start", "ordinal")
-    # A document's sign-off pages travel as one array with its range, so the vote runs once.
-    marks = signed.groupBy("doc_id").agg(F.collect_set("page").alias("signed"))
-    ended = chosen.join(ranges.join(marks, "doc_id", "left"), "doc_id").withColumn(
-        "ordinal", ordinal).withColumn(
-        "end", F.coalesce(F.greatest(F.col("start"), F.lead("start").over(order) - 1),
-                          F.col("last")))
-    cut = F.array_min(F.filter("signed", lambda p: p.between(F.col("start"), F.col("end"))))
-    return ended.withColumn("cut", cut).select(
-        "doc_id", "section_id", "start", F.coalesce("cut", "end").alias("end"), "signals",
-        "confidence")
-
-
-def resolve_printed(placed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Twelve slots per document with their status."""
-    ids = F.array(*[F.lit(s) for s in lookups.SECTION_IDS])
-    spine = classes.select("doc_id", "size", "mode", F.explode(ids).alias("section_id"))
-    due = expected_printed(F.col("section_id"), F.col("size"), F.col("mode"))
-    return spine.join(placed, ["doc_id", "section_id"], "left").select(
-        "doc_id", "section_id",
-        F.when(F.col("start").isNotNull(), "found").when(due, "not_found").otherwise(
-            "not_present").alias("status"),
-        "start", "end", F.coalesce("signals", F.array().cast("array<string>")).alias("signals"),
-        F.coalesce("confidence", F.lit("low")).alias("confidence"))
-
-
 def section_texts(placed: DataFrame, pages: DataFrame) -> DataFrame:
     """Text of each found section: its pages joined by blank lines.
 
@@ -272,32 +93,6 @@ def section_texts(placed: DataFrame, pages: DataFrame) -> DataFrame:
         "doc_id", "section_id").agg(tok.joined_text(["page"], sep="\n\n").alias("text"))
 
 
-def printed_sections(tokens: DataFrame, pages: DataFrame) -> DataFrame:
-    """Locate, vote and resolve all sections of every document."""
-    ranges = primary_ranges(pages)
-    placed = with_ends(vote(candidates(tokens, pages), ranges), ranges, signoffs(pages))
-    return resolve_printed(placed, classify_documents(pages))
-
-
-def within_parent(children: DataFrame, parents: DataFrame) -> DataFrame:
-    """Child candidates (going concern, risks, ..) that fall in their parent's page range.
-
-    ``parents(doc_id, section_id, start, end)``; an interval join on the document.
-    """
-    pairs = {"principal_risks": "strategic_report", "section_172": "strategic_report",
-             "principal_activity": "directors_report",
-             "going_concern_directors": "directors_report",
-             "critical_estimates": "accounting_policies",
-             "going_concern_note": "accounting_policies"}
-    of = F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
-    c = children.withColumn("parent", of[F.col("section_id")]).where("parent is not null")
-    p = parents.where("start is not null").select(
-        "doc_id", F.col("section_id").alias("parent"), F.col("start").alias("p_start"),
-        F.col("end").alias("p_end"))
-    return c.join(p, ["doc_id", "parent"]).where(
-        F.col("start_page").between(F.col("p_start"), F.col("p_end")))
-
-
 def evaluation(found: DataFrame, labelled: DataFrame) -> DataFrame:
     """Per section: labelled slots, share found and share with the exact page range."""
     pair = labelled.select("doc_id", "section_id", F.col("start").alias("l_start"),

@@ -65,9 +65,11 @@ def joined_text(order: list[str], value: str = "text", sep: str = " ") -> Column
     return F.array_join(F.transform(F.sort_array(F.collect_list(item)), lambda t: t["_t"]), sep)
 
 
-def page_text(tokens: DataFrame) -> DataFrame:
+def page_text(tokens: DataFrame, items: bool = False) -> DataFrame:
     """(doc_id, page, text, quality, top bands): one row per page.
 
+    With ``items`` also the page's (y, x, text) in reading order, for steps that need rows.
+
     A page's tokens are collected once, in reading order; text and bands are cut from that array,
     so tokens are shuffled once for every operator that reads page text.  The bands of a page
     without a height are shares of its range of y.
@@ -93,7 +95,8 @@ def page_text(tokens: DataFrame) -> DataFrame:
         *PAGE, joined(F.col("_t")).alias("text"), "quality", joined(F.col("_t05")).alias("top05"),
         joined(across).alias("header"), joined(inside(0.15)).alias("top15"),
         joined(F.col("_t25")).alias("top25"), joined(inside(0.30)).alias("top30"),
-        F.size("_t25").cast("long").alias("n25"), F.size(caps).cast("long").alias("caps25"), "year_tokens")
+        F.size("_t25").cast("long").alias("n25"), F.size(caps).cast("long").alias("caps25"), "year_tokens",
+        *([F.col("_t").alias("items")] if items else []))
 
 
 def with_band_flags(pages: DataFrame) -> DataFrame:

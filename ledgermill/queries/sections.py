@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgermill import lookups
 from ledgermill.functions import text
+from ledgermill.operators import evidence as ev
 from ledgermill.operators import facts as fact_ops
 from ledgermill.operators import locators as loc
 from ledgermill.operators import sections as sec
@@ -439,112 +440,111 @@ view("placed", f"""
     SELECT e.doc_id, section_id, start, coalesce((SELECT min(page) FROM signed_ s WHERE
       s.doc_id = e.doc_id AND s.page BETWEEN e.start AND e.ends), ends) AS "end", signals,
       confidence
-    FROM (SELECT v.*, coalesce(greatest(start, lead(start) OVER (PARTITION BY doc_id ORDER BY start,
-            CASE section_id {_ORD} END) - 1), last) AS ends
-          FROM votes v JOIN range_ USING (doc_id)) e""", "votes", "range_", "signed_")
-view("slots", f"""
-    SELECT doc_id, section_id, CASE WHEN start IS NOT NULL THEN 'found'
-      WHEN (size IN ('micro', 'small') AND section_id IN ('strategic_report', 'section_172',
-          'principal_risks', 'viability_statement')) OR (mode = 'filleted' AND section_id IN
+    FROM (SELECT v.*, CASE WHEN lead(start) OVER o IS NULL THEN last ELSE greatest(start, lead(start) OVER o - 1)
+            END AS ends
+          FROM votes v JOIN range_ USING (doc_id)
+          WINDOW o AS (PARTITION BY doc_id ORDER BY start, CASE section_id {_ORD} END)) e""", "votes", "range_", "signed_")
+view("due_", f"""
+    SELECT doc_id, section_id, NOT ((size IN ('micro', 'small') AND section_id IN ('strategic_report',
+          'section_172', 'principal_risks', 'viability_statement')) OR (mode = 'filleted' AND section_id IN
           ('strategic_report', 'section_172', 'principal_risks', 'viability_statement',
            'directors_report', 'directors_responsibilities', 'auditor_report',
            'going_concern_directors')) OR (mode = 'micro_minimal' AND section_id NOT IN
-          ('accounting_policies', 'going_concern_note')) THEN 'not_present'
-      ELSE 'not_found' END AS status, start, "end", coalesce(signals, '') AS signals,
-      coalesce(confidence, 'low') AS confidence
+          ('accounting_policies', 'going_concern_note'))) AS due
     FROM (SELECT *, unnest([{', '.join(repr(s) for s in lookups.SECTION_IDS)}]) AS section_id
-          FROM dclass) LEFT JOIN placed USING (doc_id, section_id)""", "dclass", "placed")
+          FROM dclass)""", "dclass")
+view("slots", """
+    SELECT doc_id, section_id, CASE WHEN start IS NOT NULL THEN 'found' WHEN due THEN 'not_found'
+      ELSE 'not_present' END AS status, start, "end", coalesce(signals, '') AS signals,
+      coalesce(confidence, 'low') AS confidence
+    FROM due_ LEFT JOIN placed USING (doc_id, section_id)""", "due_", "placed")
 
 
-def _tp(spark, d):
-    t = bridge.tokens(spark, d)
-    return t, tok.page_text(t)
+def _docs(spark, d):
+    return ev.documents(bridge.tokens(spark, d))
+
+
+def _listed(df):
+    return df.withColumn("signals", F.array_join("signals", ","))
 
 
 @query("s2_printed_class", sql("SELECT doc_id, size, mode, page_count FROM dclass", "dclass"))
 def s2(spark, d):
-    return loc.classify_documents(_tp(spark, d)[1]).drop("reasons")
+    return _docs(spark, d).select("doc_id", "size", "mode", "page_count")
 
 
 @query("s4_expected_printed", sql("""
     SELECT section_id, count(*) FILTER (status <> 'not_present') AS due_or_found FROM slots
     GROUP BY 1""", "slots"))
 def s4(spark, d):
-    slots = loc.printed_sections(*_tp(spark, d))
-    return slots.groupBy("section_id").agg(
+    return ev.printed_sections(_docs(spark, d)).groupBy("section_id").agg(
         F.count_if(F.col("status") != "not_present").alias("due_or_found"))
 
 
 @query("s14_printed_contents", sql("SELECT * FROM cand_a", "cand_a"))
 def s14(spark, d):
-    return loc.printed_contents(*_tp(spark, d))
+    return ev.candidates(_docs(spark, d), "toc")
 
 
 @query("s15_c15_heading_anchors", sql("SELECT * FROM cand_b", "cand_b"))
 def s15(spark, d):
-    return loc.heading_anchors(_tp(spark, d)[1])
+    return ev.candidates(_docs(spark, d), "hard_anchor")
 
 
 @query("s16_d26_running_headers", sql("SELECT * FROM cand_c", "cand_c"))
 def s16(spark, d):
-    return loc.running_headers(_tp(spark, d)[1])
+    return ev.candidates(_docs(spark, d), "running_header")
 
 
 @query("s17_capital_first_lines", sql("SELECT * FROM cand_d", "cand_d"))
 def s17(spark, d):
-    return loc.capital_first_lines(_tp(spark, d)[1])
+    return ev.candidates(_docs(spark, d), "all_caps_first_line")
 
 
 @query("s18_signoffs", sql("SELECT * FROM signed_", "signed_"))
 def s18(spark, d):
-    return loc.signoffs(_tp(spark, d)[1])
+    return ev.signoffs(_docs(spark, d))
 
 
 @query("s19_numbered_notes", sql("SELECT * FROM cand_f", "cand_f"))
 def s19(spark, d):
-    return loc.numbered_notes(loc.page_lines(bridge.tokens(spark, d)))
+    return ev.candidates(_docs(spark, d), "numbered_note")
 
 
 @query("s21_e16_primary_range", sql("SELECT * FROM range_", "range_"))
 def s21(spark, d):
-    return loc.primary_ranges(_tp(spark, d)[1])
+    return _docs(spark, d).select("doc_id", "first", "last", "document_end")
 
 
 @query("g5_candidate_pool", sql("""
     SELECT signal, section_id, count(*) AS n FROM pool GROUP BY 1, 2""", "pool"))
 def g5(spark, d):
-    return loc.candidates(*_tp(spark, d)).groupBy("signal", "section_id").agg(
-        F.count("*").alias("n"))
+    return ev.candidates(_docs(spark, d)).groupBy("signal", "section_id").agg(F.count("*").alias("n"))
 
 
 @query("c17_candidates_in_range", sql("""
     SELECT doc_id, count(*) AS n FROM pool JOIN range_ USING (doc_id)
     WHERE start_page BETWEEN first AND last GROUP BY 1""", "pool", "range_"))
 def c17(spark, d):
-    t, pg = _tp(spark, d)
-    return loc.candidates(t, pg).join(loc.primary_ranges(pg), "doc_id").where(
-        "start_page between first and last").groupBy("doc_id").agg(F.count("*").alias("n"))
+    inside = F.filter("pool", lambda c: c["start_page"].between(F.col("first"), F.col("last")))
+    return _docs(spark, d).select("doc_id", F.size(inside).cast("long").alias("n")).where("n > 0")
 
 
 @query("d29_e14_section_vote", sql("SELECT * FROM votes", "votes"))
 def d29(spark, d):
-    t, pg = _tp(spark, d)
-    return loc.vote(loc.candidates(t, pg), loc.primary_ranges(pg)).withColumn(
-        "signals", F.array_join("signals", ","))
+    return _listed(ev.first_pass(_docs(spark, d)).where("start IS NOT NULL")).select(
+        "doc_id", "section_id", "start", "signals", "confidence")
 
 
 @query("e12_c16_section_ends", sql("SELECT * FROM placed", "placed"))
 def e12(spark, d):
-    t, pg = _tp(spark, d)
-    ranges = loc.primary_ranges(pg)
-    return loc.with_ends(loc.vote(loc.candidates(t, pg), ranges), ranges,
-                         loc.signoffs(pg)).withColumn("signals", F.array_join("signals", ","))
+    return _listed(ev.placed(_docs(spark, d))).select(
+        "doc_id", "section_id", "start", "end", "signals", "confidence")
 
 
 @query("s20_printed_sections", sql("SELECT * FROM slots", "slots"))
 def s20(spark, d):
-    return loc.printed_sections(*_tp(spark, d)).withColumn(
-        "signals", F.array_join("signals", ","))
+    return _listed(ev.printed_sections(_docs(spark, d)))
 
 
 @query("d25_section_texts", sql("""
@@ -553,8 +553,8 @@ def s20(spark, d):
     FROM slots s JOIN pg ON pg.doc_id = s.doc_id AND page BETWEEN start AND "end" GROUP BY 1, 2""",
                                 "slots", "pg"))
 def d25(spark, d):
-    t, pg = _tp(spark, d)
-    return loc.section_texts(loc.printed_sections(t, pg), pg).select(
+    t = bridge.tokens(spark, d)
+    return loc.section_texts(ev.printed_sections(ev.documents(t)), tok.page_text(t)).select(
         "doc_id", "section_id", F.md5("text").alias("text_hash"))
 
 
@@ -575,7 +575,7 @@ view("nums", f"""
       min(page) FILTER (h AND page > a1) AS after_audit
     FROM nums GROUP BY 1""", "nums"))
 def s26(spark, d):
-    return loc.entity_changes(_tp(spark, d)[1])
+    return loc.entity_changes(tok.page_text(bridge.tokens(spark, d)))
 
 
 @query("s23_within_parent", sql("""
@@ -586,11 +586,70 @@ def s26(spark, d):
         ('critical_estimates', 'going_concern_note') THEN 'accounting_policies' END
     WHERE c.start_page BETWEEN p.start AND p."end" """, "pool", "placed"))
 def s23(spark, d):
-    t, pg = _tp(spark, d)
-    pool = loc.candidates(t, pg)
-    ranges = loc.primary_ranges(pg)
-    placed = loc.with_ends(loc.vote(pool, ranges), ranges, loc.signoffs(pg))
-    return loc.within_parent(pool, placed).select("doc_id", "section_id", "start_page", "signal")
+    return ev.within_parent(_docs(spark, d)).select("doc_id", "section_id", "start_page", "signal")
+
+
+# --- second pass: parents by themselves, then children inside them ---------
+_KIDS = ", ".join(f"'{k}'" for k in ev.PARENTS)
+_PARENT = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ev.PARENTS.items())
+
+
+def _ends(src):
+    return f"""
+    SELECT e.* EXCLUDE (ends), coalesce((SELECT min(page) FROM signed_ s WHERE s.doc_id = e.doc_id
+      AND s.page BETWEEN e.start AND e.ends), ends) AS "end"
+    FROM (SELECT v.*, CASE WHEN lead(start) OVER o IS NULL THEN last ELSE greatest(start, lead(start) OVER o - 1)
+            END AS ends
+          FROM {src} v JOIN range_ USING (doc_id)
+          WINDOW o AS (PARTITION BY doc_id ORDER BY start, CASE section_id {_ORD} END)) e"""
+
+
+view("level1", _ends(f"(SELECT * FROM votes WHERE section_id NOT IN ({_KIDS}))"), "votes", "range_", "signed_")
+view("scoped_lines", " UNION ALL ".join(f"""
+    SELECT DISTINCT doc_id, '{k}' AS section_id, page FROM lines_
+    WHERE len(string_split(line, ' ')) <= {ev.LINE_WORDS} AND {anchor_sql('line', k)}""" for k in ev.PARENTS),
+     "lines_")
+view("kids", f"""
+    SELECT k.doc_id, k.section_id, k.parent, p.start AS p_start, p."end" AS p_end
+    FROM (SELECT doc_id, section_id, CASE section_id {_PARENT} END AS parent FROM
+      (SELECT doc_id, unnest([{_KIDS}]) AS section_id FROM range_)) k
+    LEFT JOIN level1 p ON p.doc_id = k.doc_id AND p.section_id = k.parent""", "range_", "level1")
+view("strict_", """
+    SELECT k.doc_id, k.section_id, c.start_page, c.signal FROM kids k JOIN pool c USING (doc_id, section_id)
+    WHERE c.start_page BETWEEN p_start AND p_end""", "kids", "pool")
+view("inside_", """
+    SELECT DISTINCT * FROM (SELECT * FROM strict_ UNION ALL
+      SELECT k.doc_id, k.section_id, s.page, 'scoped_line' FROM kids k JOIN scoped_lines s USING (doc_id, section_id)
+      WHERE s.page BETWEEN p_start AND p_end AND NOT EXISTS (SELECT 1 FROM strict_ x
+        WHERE x.doc_id = k.doc_id AND x.section_id = k.section_id))""", "strict_", "kids", "scoped_lines")
+view("kid_votes", f"""
+    SELECT doc_id, section_id, start, signals, CASE WHEN n >= 2 THEN 'high' ELSE 'low' END AS confidence
+    FROM (SELECT doc_id, section_id, g, min(start_page) AS start, count(DISTINCT signal) AS n,
+        max(coalesce(CASE signal {_RANK} END, 0)) AS rank, string_agg(DISTINCT signal, ',' ORDER BY signal) AS signals
+      FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id, section_id ORDER BY start_page) AS g
+        FROM (SELECT *, CASE WHEN start_page - lag(start_page) OVER (PARTITION BY doc_id,
+                section_id ORDER BY start_page) > 1 THEN 1 ELSE 0 END AS new FROM inside_)) GROUP BY 1, 2, 3)
+    QUALIFY row_number() OVER (PARTITION BY doc_id, section_id ORDER BY n DESC, rank DESC, start) = 1""", "inside_")
+view("chosen2", """
+    SELECT doc_id, section_id, start, signals, confidence, 1 AS pass, NULL AS parent, NULL::int AS p_end, "end" AS own
+    FROM level1
+    UNION ALL SELECT k.doc_id, k.section_id, v.start, v.signals, v.confidence, 1, NULL, NULL, NULL
+      FROM kids k JOIN votes v USING (doc_id, section_id) WHERE p_start IS NULL
+    UNION ALL SELECT k.doc_id, k.section_id, v.start, v.signals, v.confidence, 2, k.parent, k.p_end, NULL
+      FROM kids k JOIN kid_votes v USING (doc_id, section_id)""", "level1", "kids", "votes", "kid_votes")
+view("placed2", _ends("chosen2"), "chosen2", "range_", "signed_")
+
+
+@query("s23_second_pass", sql("""
+    SELECT s.doc_id, s.section_id, CASE WHEN p.start IS NOT NULL THEN 'found' WHEN s.due THEN 'not_found'
+        ELSE 'not_present' END AS status, p.start,
+      CASE WHEN own IS NOT NULL THEN own ELSE least(p."end", coalesce(p.p_end, p."end")) END AS "end",
+      coalesce(p.signals, '') AS signals, coalesce(p.confidence, 'low') AS confidence, p.pass,
+      CASE WHEN k.p_start IS NOT NULL THEN k.parent END AS parent
+    FROM due_ s LEFT JOIN placed2 p USING (doc_id, section_id) LEFT JOIN kids k USING (doc_id, section_id)""",
+                               "due_", "placed2", "kids"))
+def s23_second(spark, d):
+    return _listed(ev.two_pass(_docs(spark, d)))
 
 
 @query("d39_locator_evaluation", sql("""
@@ -599,7 +658,7 @@ def s23(spark, d):
     FROM slots WHERE status = 'found' GROUP BY 1""", "slots"))
 def d39(spark, d):
     # Labels: the found ranges, shifted by a page on odd documents.
-    found = loc.printed_sections(*_tp(spark, d)).where("status = 'found'")
+    found = ev.printed_sections(_docs(spark, d)).where("status = 'found'")
     labels = found.select("doc_id", "section_id", "start",
                           (F.col("end") + F.col("doc_id") % 2).cast("int").alias("end"))
     return loc.evaluation(found, labels)
@@ -615,7 +674,7 @@ def d39(spark, d):
     LEFT JOIN (SELECT DISTINCT filing_id, section_id FROM hits) h
       ON h.filing_id = s.doc_id::varchar AND h.section_id = s.section_id""", "slots", "hits"))
 def s25(spark, d):
-    slots = loc.printed_sections(*_tp(spark, d)).select(
+    slots = ev.printed_sections(_docs(spark, d)).select(
         F.col("doc_id").cast("string").alias("company_number"), "section_id",
         F.when(F.col("status") == "found", "found").otherwise("not_found").alias("status"),
         F.lit(None).cast("string").alias("text"))

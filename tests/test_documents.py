@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgermill import schemas
-from ledgermill.operators import facts, locators, sections, tokens
+from ledgermill.operators import evidence, facts, sections, tokens
 from ledgermill.plans import filing_merge
 from ledgermill.sources import filings, markup, register, tables
 from ledgermill.streaming import jobs
@@ -192,15 +192,65 @@ def test_locators_have_no_bounds(spark):
     rows += page(1, 7, [(10, [(60, title)]), (700, [(60, "x")])])
     heading = "1. Accounting policies and " + "further matters " * 6 + "set out below"
     rows += page(1, 8, [(300, [(60, heading)])])
-    t = printed(spark, rows)
-    pages = tokens.page_text(t)
-    toc = locators.printed_contents(t, pages).collect()
-    assert [(r.section_id, r.start_page) for r in toc] == [("strategic_report", 7)]
-    assert [(r.section_id, r.start_page) for r in locators.capital_first_lines(pages).collect()] == [
-        ("strategic_report", 7)]
-    notes = locators.numbered_notes(locators.page_lines(t)).collect()
+    found = evidence.documents(printed(spark, rows))
+    by_signal = {}
+    for r in evidence.candidates(found).collect():
+        by_signal.setdefault(r.signal, []).append((r.section_id, r.start_page))
     assert len(title.split()) > 15 and len(heading) > 90
-    assert [(r.section_id, r.start_page) for r in notes] == [("accounting_policies", 8)]
+    assert by_signal["toc"] == by_signal["all_caps_first_line"] == [("strategic_report", 7)]
+    assert by_signal["numbered_note"] == [("accounting_policies", 8)]
+
+
+def report(spark, doc=1):
+    """A report whose children stand in lines inside their parents, and once more outside."""
+    rows = [r for p in range(1, 21) for r in page(doc, p, [(400, [(60, f"Text of page {p} goes on")])])]
+    for at, title in ((3, "STRATEGIC REPORT"), (8, "DIRECTORS REPORT"), (14, "ACCOUNTING POLICIES")):
+        rows += page(doc, at, [(20, [(60, title)])])
+    rows += page(doc, 5, [(500, [(60, "Principal risks and uncertainties")])])
+    rows += page(doc, 10, [(500, [(60, "Going concern")])])
+    rows += page(doc, 16, [(500, [(60, "Going concern")])])
+    rows += page(doc, 12, [(500, [(60, "Section 172(1) statement")])])  # not in its parent
+    rows += page(doc, 2, [(500, [(60, "Principal activities")])])  # not in its parent either
+    rows += page(doc, 17, [(500, [(60, "We explain here at great length why no critical judgements or any other "
+                                       "critical estimates were made at all")])])  # no heading
+    return rows
+
+
+def test_second_pass_finds_children_in_their_parents(spark):
+    found = evidence.documents(printed(spark, report(spark)))
+    first = {r.section_id for r in evidence.placed(found).collect()}
+    assert first == {"strategic_report", "directors_report", "accounting_policies"}
+    got = {r.section_id: (r.start, r.end, r["pass"], r.parent, r.signals) for r in evidence.two_pass(found).collect()
+           if r.start is not None}
+    scoped = [evidence.SCOPED]
+    assert got == {
+        "strategic_report": (3, 7, 1, None, ["all_caps_first_line", "hard_anchor"]),
+        "directors_report": (8, 13, 1, None, ["all_caps_first_line", "hard_anchor"]),
+        "accounting_policies": (14, 20, 1, None, ["all_caps_first_line", "hard_anchor"]),
+        "principal_risks": (5, 7, 2, "strategic_report", scoped),
+        "going_concern_directors": (10, 13, 2, "directors_report", scoped),
+        "going_concern_note": (16, 20, 2, "accounting_policies", scoped)}
+
+
+def test_second_pass_prefers_candidates_and_keeps_orphans(spark):
+    rows = report(spark) + page(1, 9, [(20, [(60, "GOING CONCERN")])])
+    # a second document without the parent of the risks, which the first pass places by its heading
+    rows += [r for p in range(1, 5) for r in page(2, p, [(400, [(60, f"Page {p}")])])]
+    rows += page(2, 3, [(20, [(60, "PRINCIPAL RISKS")])])
+    got = {(r.doc_id, r.section_id): (r.start, r["pass"], r.signals) for r in evidence.two_pass(
+        evidence.documents(printed(spark, rows))).collect() if r.start is not None}
+    assert got[1, "going_concern_directors"] == (9, 2, ["all_caps_first_line", "hard_anchor"])
+    assert got[1, "going_concern_note"] == (16, 2, [evidence.SCOPED])
+    assert got[2, "principal_risks"] == (3, 1, ["all_caps_first_line", "hard_anchor"])
+
+
+def test_sections_take_two_shuffles(spark, tmp_path):
+    """One scan of the tokens, one shuffle by page, one by document, and no join."""
+    printed(spark, report(spark)).write.parquet(str(tmp_path / "tokens"))
+    t = spark.read.parquet(str(tmp_path / "tokens"))
+    for out in (evidence.printed_sections, evidence.two_pass, evidence.within_parent):
+        plan = out(evidence.documents(t))._jdf.queryExecution().executedPlan().toString()
+        assert (plan.count("FileScan"), plan.count("Exchange"), plan.count("Join")) == (1, 2, 0), out.__name__
 
 
 def test_recency_orders_any_tiebreak(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgermill import lookups
 from ledgermill.functions import numbers, sic, text
-from ledgermill.operators import facts, json_ops, locators, tokens
+from ledgermill.operators import evidence, facts, json_ops, tokens
 
 
 def values(spark, rows, schema, *cols):
@@ -112,10 +112,8 @@ def test_vote_prefers_signals_then_rank_then_start(spark):
          (1, "auditor_report", 8, None, "running_header"), (1, "section_172", 9, None, "toc"),
          (1, "section_172", 5, None, "toc"), (1, "section_172", 2, None, "numbered_note")],
         "doc_id long, section_id string, start_page int, end_page int, signal string")
-    ranges = spark.createDataFrame([(1, 1, 20, 20)],
-                                   "doc_id long, first int, last int, document_end int")
     got = {r.section_id: (r.start, r.signals, r.confidence)
-           for r in locators.vote(pool, ranges).collect()}
+           for r in evidence.vote(pool, []).collect()}
     assert got == {"auditor_report": (7, ["hard_anchor", "running_header"], "high"),
                    "section_172": (5, ["toc"], "low")}
 
