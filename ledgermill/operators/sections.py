@@ -1,4 +1,8 @@
-"""Statutory sections of tagged filings: classification, tag layer, text layer, resolution."""
+"""Statutory sections of tagged filings: classification, tag layer, text layer, resolution.
+
+A filing's narrative elements are read once, beside its row; flags, tags, headings and slots follow in
+that row, so nothing is shuffled.
+"""
 
 from __future__ import annotations
 
@@ -10,142 +14,186 @@ from ledgermill import lookups
 GOING_CONCERN_TEXT = "Financial statements are prepared on a going concern basis."
 
 
-def classify_filings(narrative: DataFrame, filings: DataFrame) -> DataFrame:
-    """(filing_id, size, mode, audited, dormant, going_concern_asserted) from flags.
+_FLAGS = [*lookups.FLAG_TAGS, *lookups.DECLARATION_TAGS]
+
+
+def with_class(rows: DataFrame) -> DataFrame:
+    """Add size, mode, audited, dormant and going_concern_asserted, from the flags among ``items``.
 
-    The first element of a flag counts; null means missing and '' means present but empty.
-    ``filings(filing_id)`` keeps filings without any flag.
+    The first element of a flag counts; null means missing and '' means present but empty.  Flags are
+    picked out first, so that each is looked up once among a few.
     """
-    spark = narrative.sparkSession
-    hit = narrative.join(F.broadcast(lookups.flag_map(spark)), "name")
-    flags = [f for _, f in lookups.FLAG_TAGS] + [f for _, f in lookups.DECLARATION_TAGS]
-    wide = hit.groupBy("filing_id").pivot("flag", flags).agg(F.min_by("text", "ord"))
-    all_ = filings.select("filing_id").join(wide, "filing_id", "left")
-    has = {f: F.col(f).isNotNull() for _, f in lookups.DECLARATION_TAGS}
-    size = (F.when(has["small_regime"] | has["prepared_as_small"] | has["audit_exempt_s477"],
-                   "small")
-            .when(has["medium_regime"] | (F.col("has_strategic_report") == "true"), "medium")
-            .otherwise("unknown"))
-    mode = F.when(has["filleted_s444_5a"] | (F.col("pl_omitted_exemption") == "true"),
-                  "filleted").otherwise("full")
-    audited = F.when(has["audit_exempt_s477"] | has["members_waived_audit"], False).when(
-        F.col("audit_status") == "audited", True)
-    return all_.select(
-        "filing_id", size.alias("size"), mode.alias("mode"), audited.alias("audited"),
-        F.coalesce(F.col("entity_dormant") == "true", F.lit(False)).alias("dormant"),
-        F.coalesce(F.col("going_concern_asserted") == "true", F.lit(False)).alias(
-            "going_concern_asserted"))
-
-
-def section_narrative(narrative: DataFrame) -> DataFrame:
-    """Narrative elements with their section; flags excluded, unmapped and empty dropped."""
-    spark = narrative.sparkSession
-    plain = narrative.join(F.broadcast(lookups.flag_map(spark)), "name", "left_anti")
-    return plain.join(F.broadcast(lookups.narrative_map(spark)), "name").where("text <> ''")
-
-
-def unmapped_narrative(narrative: DataFrame) -> DataFrame:
-    spark = narrative.sparkSession
-    plain = narrative.join(F.broadcast(lookups.flag_map(spark)), "name", "left_anti")
-    return plain.join(F.broadcast(lookups.narrative_map(spark)), "name", "left_anti")
-
-
-def tag_layer(narrative: DataFrame) -> DataFrame:
-    """(filing_id, section_id, text, source_tags, subsections) from tags.
+    columns = rows.columns
+    flags = F.filter("items", lambda e: _is_flag(e["name"]))
+    named = rows.withColumn("_flags", F.explode(F.array(F.struct(
+        F.transform(flags, lambda e: e["name"]).alias("names"), F.transform(flags, lambda e: e["text"]).alias("texts")))))
+    rows = named.select(*columns, *[_at("_flags.texts", "_flags.names", n).alias(f"_{f}") for n, f in _FLAGS])
+    has = {f: F.col(f"_{f}").isNotNull() for _, f in lookups.DECLARATION_TAGS}
+    said = {f: F.coalesce(F.col(f"_{f}") == v, F.lit(False)) for f, v in (
+        ("has_strategic_report", "true"), ("pl_omitted_exemption", "true"), ("audit_status", "audited"),
+        ("entity_dormant", "true"), ("going_concern_asserted", "true"))}
+    size = (F.when(has["small_regime"] | has["prepared_as_small"] | has["audit_exempt_s477"], "small")
+            .when(has["medium_regime"] | said["has_strategic_report"], "medium").otherwise("unknown"))
+    mode = F.when(has["filleted_s444_5a"] | said["pl_omitted_exemption"], "filleted").otherwise("full")
+    audited = F.when(has["audit_exempt_s477"] | has["members_waived_audit"], False).when(said["audit_status"], True)
+    return rows.select(*columns, size.alias("size"), mode.alias("mode"), audited.alias("audited"),
+                       said["entity_dormant"].alias("dormant"),
+                       said["going_concern_asserted"].alias("going_concern_asserted"))
+
+
+def _at(values: str, names: str, name: str | Column) -> Column:
+    """The value beside the first occurrence of a name, null where there is none."""
+    return F.get(F.col(values), F.array_position(F.col(names), name).cast("int") - 1)
+
+
+def scanned(documents: DataFrame, read=None) -> DataFrame:
+    """Documents with ``items`` (their narrative elements, flags included) and ``reason`` where unreadable.
+
+    The one Python stage of the layer; all that follows is read off the row.
+    """
+    from ledgermill.sources import markup
+
+    found = markup.narrative_column(F.col("content"), *([read] if read else []))
+    return documents.withColumn("_n", found).select(*documents.columns, "_n.items", "_n.reason")
+
+
+def classify_filings(documents: DataFrame) -> DataFrame:
+    """(filing_id, size, mode, audited, dormant, going_concern_asserted) of every readable document."""
+    rows = scanned(documents).where("reason IS NULL").select("filing_id", "items")
+    return with_class(rows).drop("items")
+
+
+def _is_flag(name: Column) -> Column:
+    return name.isin(*[n for n, _ in _FLAGS])
+
+
+def unmapped_narrative(documents: DataFrame) -> DataFrame:
+    """(filing_id, ord, name, text) of elements that are neither flags nor of a known section."""
+    known = [n for n, _, _ in lookups.NARRATIVE_TAGS]
+    other = F.filter("items", lambda e: ~_is_flag(e["name"]) & ~e["name"].isin(*known))
+    return scanned(documents).select("filing_id", F.inline(other))
+
+
+def tag_sections(items: Column) -> Column:
+    """ARRAY<STRUCT<section_id, text, source_tags, subsections>> of the sections that tags fill.
 
     Texts follow the canonical sub-section order, then document order; the last text of a
     sub-section wins its key.
     """
-    mapped = section_narrative(narrative)
-    item = F.struct("sub_order", "ord", "text", "name")
-    sub = F.when(F.col("subsection").isNotNull(), F.struct("ord", "subsection", "text"))
-    grouped = mapped.groupBy("filing_id", "section_id").agg(
-        F.sort_array(F.collect_list(item)).alias("items"),
-        F.sort_array(F.collect_list(sub), False).alias("subs"))
-    keys = F.array_distinct(F.transform("subs", lambda s: s["subsection"]))
-    newest = F.transform(keys, lambda k: F.struct(
-        k, F.element_at(F.filter("subs", lambda s: s["subsection"] == k), 1)["text"]))
-    return grouped.select(
-        "filing_id", "section_id",
-        F.array_join(F.transform("items", lambda i: i["text"]), "\n\n").alias("text"),
-        F.transform(F.array_sort("items", lambda a, b: a["ord"] - b["ord"]),
-                    lambda i: i["name"]).alias("source_tags"),
-        F.map_from_entries(newest).alias("subsections"))
-
-
-def match_offsets(body: Column, pattern: str) -> Column:
-    """Array of zero-based offsets of every match, from the lengths of the pieces around."""
-    regex = "(?i)" + pattern
-    # Lengths of piece and match side by side; both arrays are evaluated once.
-    steps = F.zip_with(
-        F.split(body, regex, -1), F.regexp_extract_all(body, F.lit(regex), F.lit(0)),
-        lambda p, m: F.struct(F.length(p).alias("p"), F.length(m).alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("found"))
-
-    def step(acc, s):
-        begin = acc["at"] + s["p"]
+    place = F.create_map(*[F.lit(x) if isinstance(x, str) else x for n, s, k in lookups.NARRATIVE_TAGS for x in (n, F.struct(
+        F.lit(s).alias("section_id"), F.lit(k).cast("string").alias("subsection"),
+        F.lit(lookups.AUDITOR_SUBSECTIONS.index(k) + 1 if k in lookups.AUDITOR_SUBSECTIONS else 999).alias("sub_order")))])
+    plain = F.filter(items, lambda e: (e["text"] != "") & ~_is_flag(e["name"]))
+    mapped = F.filter(F.transform(plain, lambda e: F.struct(
+        e["ord"].alias("ord"), e["name"].alias("name"), e["text"].alias("text"), place[e["name"]].alias("at"))),
+        lambda e: e["at"].isNotNull())
+
+    def filled(mine):
+        ordered = F.sort_array(F.transform(mine, lambda e: F.struct(
+            e["at"]["sub_order"].alias("a"), e["ord"].alias("b"), e["text"].alias("text"))))
+        subs = F.sort_array(F.transform(F.filter(mine, lambda e: e["at"]["subsection"].isNotNull()), lambda e: F.struct(
+            e["ord"].alias("ord"), e["at"]["subsection"].alias("k"), e["text"].alias("text"))), False)
+        keys = F.array_distinct(F.transform(subs, lambda e: e["k"]))
         return F.struct(
-            (begin + F.coalesce(s["m"], F.lit(0))).alias("at"),
-            F.when(s["m"].isNull(), acc["found"]).otherwise(
-                F.concat(acc["found"], F.array(begin))).alias("found"))
+            F.get(mine, F.lit(0))["at"]["section_id"].alias("section_id"),
+            F.array_join(F.transform(ordered, lambda e: e["text"]), "\n\n").alias("text"),
+            F.transform(mine, lambda e: e["name"]).alias("source_tags"),
+            F.map_from_entries(F.transform(keys, lambda k: F.struct(
+                k, F.get(F.filter(subs, lambda e: e["k"] == k), F.lit(0))["text"]))).alias("subsections"))
+
+    ids = F.array(*[F.lit(i) for i in lookups.SECTION_IDS])
+    groups = F.transform(ids, lambda i: F.filter(mapped, lambda e: e["at"]["section_id"] == i))
+    return F.transform(F.filter(groups, lambda g: F.size(g) > 0), filled)
+
+
+def tag_layer(documents: DataFrame) -> DataFrame:
+    """(filing_id, section_id, text, source_tags, subsections) from tags."""
+    return scanned(documents).select("filing_id", F.inline(tag_sections(F.col("items"))))
 
-    return F.aggregate(steps, start, step)["found"]
 
+#: All heading patterns by section; the two going-concern slots share one.
+_HEADINGS = [(rank, s, p) for rank, (s, p) in enumerate(lookups.SECTION_ANCHORS) if s != "going_concern_directors"]
+#: A place where a heading starts, found in one traversal: first a letter that one can start with, then its words.
+HEADING_START = "(?i)(?=[sdrpvgiabck])(?=" + "|".join(p for _, _, p in _HEADINGS) + ")"
 
-def _labelled(offsets: Column, rank: int, section: str) -> Column:
-    return F.transform(offsets, lambda o: F.struct(
-        o.alias("offset"), F.lit(rank).alias("rank"), F.lit(section).alias("section_id")))
 
+def heading_pieces(body: Column) -> Column:
+    """The body cut before every heading; a heading may reach over two further cuts inside it."""
+    return F.split(body, HEADING_START, -1)
 
-def anchor_hits(body: Column, skip: Column | None = None) -> Column:
-    """Array of (offset, section_id) of every heading match, by offset.
 
-    ``skip`` is an array of sections that are already settled.  Both going-concern slots
-    share one heading: it belongs to the note unless the note is settled.
+def piece_hits(pieces: Column) -> Column:
+    """Array of (offset, rank, section_id) of the headings that begin the pieces, by offset.
+
+    Of headings of one section that overlap the first counts, as in a search for that section alone.
     """
-    hits = []
-    for rank, (section, pattern) in enumerate(lookups.SECTION_ANCHORS):
-        entries = _labelled(match_offsets(body, pattern), rank, section)
-        if skip is not None:
-            drop = F.array_contains(skip, section)
-            if section == "going_concern_directors":
-                drop = drop | ~F.array_contains(skip, "going_concern_note")
-            entries = F.when(drop, F.slice(entries, 1, 0)).otherwise(entries)
-        elif section == "going_concern_directors":
-            continue
-        hits.append(entries)
-    return F.sort_array(F.flatten(F.array(*hits)))
-
-
-def text_layer(bodies: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """(filing_id, section_id, start, end, text): slices between headings.
-
-    ``found(filing_id, section_id)`` are sections settled by tags; they neither match nor
-    cut.  A section takes its first non-empty slice.  After the left join everything is
-    row-local; the one-element explodes keep Spark from re-evaluating the arrays per use.
+    def labelled(piece, i):
+        head = F.array_join(F.slice(pieces, i + 1, 3), "")
+        found = F.lit(None)
+        for rank, section, pattern in reversed(_HEADINGS):
+            whole = F.regexp_extract(head, f"(?i)^(?:{pattern})", 0)
+            found = F.when(whole != "", F.struct(
+                F.lit(rank).alias("rank"), F.lit(section).alias("section_id"), F.length(whole).alias("n"))).otherwise(found)
+        return F.struct(F.length(piece).alias("length"), found.alias("h"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(
+        "array<struct<offset: int, rank: int, section_id: string, n: int>>").alias("found"))
+
+    def step(acc, p):
+        inside = F.exists(acc["found"], lambda k: (k["section_id"] == p["h"]["section_id"])
+                          & (acc["at"] < k["offset"] + k["n"]))
+        return F.struct((acc["at"] + p["length"]).alias("at"), F.when(p["h"].isNull() | inside, acc["found"]).otherwise(
+            F.array_append(acc["found"], F.struct(
+                acc["at"].alias("offset"), p["h"]["rank"].alias("rank"), p["h"]["section_id"].alias("section_id"),
+                p["h"]["n"].alias("n")))).alias("found"))
+
+    hits = F.aggregate(F.transform(pieces, labelled), start, step)["found"]
+    return F.transform(hits, lambda h: F.struct(h["offset"].alias("offset"), h["rank"].alias("rank"),
+                                                h["section_id"].alias("section_id")))
+
+
+def _with_hits(bodies: DataFrame) -> DataFrame:
+    """Add ``hits``.  The one-element explodes keep Spark from evaluating an array once per use."""
+    cut = bodies.withColumn("_pieces", F.explode(F.array(heading_pieces(F.col("body_text")))))
+    return cut.withColumn("hits", F.explode(F.array(piece_hits(F.col("_pieces"))))).drop("_pieces")
+
+
+def anchor_hits(bodies: DataFrame) -> DataFrame:
+    """(filing_id, offset, rank, section_id) of every heading in the bodies."""
+    return _with_hits(bodies).select("filing_id", F.inline("hits"))
+
+
+def _open_hits(settled: Column) -> Column:
+    """``hits`` without settled sections.
+
+    Both going-concern slots share one heading: it belongs to the note unless the note is settled.
     """
-    if found is not None:
-        settled = found.groupBy("filing_id").agg(F.collect_set("section_id").alias("settled"))
-        bodies = bodies.join(settled, "filing_id", "left").withColumn(
-            "settled", F.coalesce("settled", F.array().cast("array<string>")))
-    else:
-        bodies = bodies.withColumn("settled", F.array().cast("array<string>"))
-    hits = bodies.select("filing_id", "body_text", F.explode(F.array(
-        anchor_hits(F.col("body_text"), F.col("settled")))).alias("hits"))
-    body, marks = F.col("body_text"), F.col("hits")
+    note, directors = "going_concern_note", "going_concern_directors"
+    moved = F.transform("hits", lambda h: F.when(
+        (h["section_id"] == note) & F.array_contains(settled, note), F.struct(
+            h["offset"].alias("offset"), h["rank"].alias("rank"), F.lit(directors).alias("section_id"))).otherwise(h))
+    return F.filter(moved, lambda h: ~F.array_contains(settled, h["section_id"]))
+
 
+def text_sections(body: Column, marks: Column) -> Column:
+    """ARRAY<STRUCT<section_id, start, end, text>>: slices between headings, a section's first non-empty one."""
     def piece(h, k):
         end = F.coalesce(F.get(marks, k + 1)["offset"], F.length(body))
         cut = F.substring(body, h["offset"] + 1, end - h["offset"])
         return F.struct(h["section_id"].alias("section_id"), h["offset"].alias("start"),
                         end.alias("end"), F.trim(cut, F.lit(" \t\n\r")).alias("text"))
 
-    pieces = hits.select("filing_id", F.explode(F.array(F.filter(
-        F.transform(marks, piece), lambda p: p["text"] != ""))).alias("ps"))
-    ids = F.array(*[F.lit(s) for s in lookups.SECTION_IDS])
-    firsts = F.transform(ids, lambda i: F.get(
-        F.filter("ps", lambda p: p["section_id"] == i), F.lit(0)))
-    return pieces.select("filing_id", F.inline(F.filter(firsts, lambda p: p.isNotNull())))
+    # of a section's headings only the first and those at the place of the one before can be needed
+    first = F.filter(F.transform(marks, piece), lambda p: p["text"] != "")
+    empty = F.array().cast("array<struct<section_id: string, start: int, end: int, text: string>>")
+    return F.aggregate(first, empty, lambda acc, p: F.when(
+        F.exists(acc, lambda k: k["section_id"] == p["section_id"]), acc).otherwise(F.array_append(acc, p)))
+
+
+def text_layer(bodies: DataFrame) -> DataFrame:
+    """(filing_id, section_id, start, end, text): slices between headings; row-local."""
+    marked = _with_hits(bodies)
+    return marked.select("filing_id", F.inline(text_sections(F.col("body_text"), F.col("hits"))))
 
 
 def expected_section(section: Column, size: Column, mode: Column, audited: Column) -> Column:
@@ -183,44 +231,57 @@ def absence_reason(section: Column, size: Column, mode: Column) -> Column:
             .otherwise("Expected but not found"))
 
 
-def resolve(classes: DataFrame, tags: DataFrame, texts: DataFrame) -> DataFrame:
-    """Twelve slots per filing: found by tag, text or flag, else not_present or not_found."""
-    ids = F.array(*[F.lit(s) for s in lookups.SECTION_IDS])
-    spine = classes.select("*", F.explode(ids).alias("section_id"))
-    key = ["filing_id", "section_id"]
-    j = spine.join(tags.withColumnRenamed("text", "tag_text"), key, "left").join(
-        texts.withColumnRenamed("text", "body_slice"), key, "left")
-    section, size, mode = F.col("section_id"), F.col("size"), F.col("mode")
-    by_tag, by_text = F.col("tag_text").isNotNull(), F.col("body_slice").isNotNull()
+def _slot(section: Column, tag: Column, text: Column) -> Column:
+    """One resolved section of a classified row: by tag, text or flag, else not_present or not_found."""
+    size, mode = F.col("size"), F.col("mode")
+    by_tag, by_text = tag.isNotNull(), text.isNotNull()
     by_flag = (section == "going_concern_directors") & F.col("going_concern_asserted")
     expected = expected_section(section, size, mode, F.col("audited"))
     source = F.when(by_tag, "ixbrl_tag").when(by_text, "ixbrl_text").when(by_flag, "ixbrl_flag")
-    return j.select(
-        *key,
-        F.when(source.isNotNull(), "found").when(~expected, "not_present").otherwise(
-            "not_found").alias("status"),
-        F.when(by_tag, F.col("tag_text")).when(by_text, F.col("body_slice")).when(
-            by_flag, GOING_CONCERN_TEXT).alias("text"),
+    return F.struct(
+        section.alias("section_id"),
+        F.when(source.isNotNull(), "found").when(~expected, "not_present").otherwise("not_found").alias("status"),
+        F.when(by_tag, tag["text"]).when(by_text, text["text"]).when(by_flag, GOING_CONCERN_TEXT).alias("text"),
         source.alias("source"),
-        F.when(~by_tag, F.col("start")).alias("start"), F.when(~by_tag, F.col("end")).alias("end"),
-        F.when(by_tag, F.array(F.lit("ixbrl_tag"))).when(by_text, F.array(
-            F.lit("hard_anchor"))).when(by_flag, F.array(F.lit("ixbrl_flag"))).alias("signals"),
-        F.when(by_tag, F.col("source_tags")).when(by_flag & ~by_text, F.array(F.lit(
+        F.when(~by_tag, text["start"]).alias("start"), F.when(~by_tag, text["end"]).alias("end"),
+        F.when(by_tag, F.array(F.lit("ixbrl_tag"))).when(by_text, F.array(F.lit("hard_anchor"))).when(
+            by_flag, F.array(F.lit("ixbrl_flag"))).alias("signals"),
+        F.when(by_tag, tag["source_tags"]).when(by_flag & ~by_text, F.array(F.lit(
             lookups.FLAG_TAGS[6][0]))).alias("source_tags"),
-        F.when(by_tag & (F.size("subsections") > 0), F.col("subsections")).alias("subsections"),
+        F.when(by_tag & (F.size(tag["subsections"]) > 0), tag["subsections"]).alias("subsections"),
         F.when(by_tag, "high").when(by_text, "medium").when(by_flag, "high").alias("confidence"),
         F.when(source.isNull() & ~expected, absence_reason(section, size, mode)).alias("reason"))
 
 
-def sections_of(documents: DataFrame) -> DataFrame:
-    """All twelve slots of every tagged document (markup to resolved sections)."""
+def sections_of(documents: DataFrame, read=None) -> DataFrame:
+    """All twelve slots of every tagged document, from its own row in one pass.
+
+    A document that cannot be read gives one row with the status ``rejected`` and the reason, and
+    the others go on.
+    """
     from ledgermill.sources import markup
 
-    narrative = markup.narrative(documents)
-    tags = tag_layer(narrative)
-    bodies = documents.select("filing_id", markup.body_text(F.col("content")).alias("body_text"))
-    texts = text_layer(bodies, tags.select("filing_id", "section_id"))
-    return resolve(classify_filings(narrative, documents), tags, texts)
+    rows = scanned(documents, read).select(
+        "filing_id", "reason", F.coalesce("items", F.array().cast("array<struct<ord: int, name: string, text: string>>"))
+        .alias("items"), markup.body_text(F.col("content")).alias("body_text"))
+    rows = with_class(rows).withColumn("tags", F.explode(F.array(tag_sections(F.col("items"))))).drop("items")
+    marked = _with_hits(rows)
+    settled = F.transform("tags", lambda t: t["section_id"])
+    marked = marked.withColumn("marks", F.explode(F.array(_open_hits(settled))))
+    marked = marked.withColumn("texts", F.explode(F.array(text_sections(F.col("body_text"), F.col("marks")))))
+
+    for layer in ("tags", "texts"):
+        marked = marked.withColumn(f"{layer}_ids", F.explode(F.array(F.transform(layer, lambda t: t["section_id"]))))
+    # one lambda for the twelve slots: written out they outgrow what is compiled
+    slots = F.transform(F.array(*[F.lit(i) for i in lookups.SECTION_IDS]), lambda i: _slot(
+        i, _at("tags", "tags_ids", i), _at("texts", "texts_ids", i)))
+    rejected = F.array(F.struct(*[
+        (F.lit("rejected") if n == "status" else F.col("reason") if n == "reason" else F.lit(None)).alias(n)
+        for n in ("section_id", "status", "text", "source", "start", "end", "signals", "source_tags", "subsections",
+                  "confidence", "reason")]))
+    bound = marked.select("filing_id", F.explode(F.array(F.when(F.col("reason").isNull(), slots).otherwise(
+        rejected))).alias("slots"))
+    return bound.select("filing_id", F.inline("slots"))
 
 
 def prefer_tagged(tagged: DataFrame, printed: DataFrame) -> DataFrame:

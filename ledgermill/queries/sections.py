@@ -162,7 +162,7 @@ _SIZE = f"CASE WHEN {_SMALL} THEN 'small' WHEN o_orderkey % 5 = 0 THEN 'medium'
     FROM orders""")
 def s1(spark, d):
     docs = bridge.markup(spark, d)
-    return sec.classify_filings(markup.narrative(docs), docs).withColumns({
+    return sec.classify_filings(docs).withColumns({
         c: F.col(c).cast("int") for c in ("audited", "dormant", "going_concern_asserted")})
 
 
@@ -193,7 +193,7 @@ def h27(spark, d):
       unnest([{', '.join(repr(s) for s in lookups.SECTION_IDS)}]) AS section_id FROM orders)""")
 def s3(spark, d):
     docs = bridge.markup(spark, d)
-    cls = sec.classify_filings(markup.narrative(docs), docs)
+    cls = sec.classify_filings(docs)
     ids = F.array(*[F.lit(s) for s in lookups.SECTION_IDS])
     return cls.select("*", F.explode(ids).alias("section_id")).select(
         "filing_id", "section_id", sec.expected_section(
@@ -209,7 +209,7 @@ def s3(spark, d):
         'true and fair' || chr(10) || chr(10) || 'basis & grounds']) AS text,
       unnest([0, 2, 2]) AS n_sub, unnest([NULL, NULL, 'true and fair']) AS opinion FROM orders""")
 def s5(spark, d):
-    return sec.tag_layer(markup.narrative(bridge.markup(spark, d))).select(
+    return sec.tag_layer(bridge.markup(spark, d)).select(
         "filing_id", "section_id", "text", F.size("subsections").alias("n_sub"),
         F.try_element_at("subsections", F.lit("opinion")).alias("opinion"))
 
@@ -217,7 +217,7 @@ def s5(spark, d):
 @query("c6_flag_exclusion_and_unknowns", """
     SELECT 'core:SomethingElse' AS name, count(*) AS n FROM orders""")
 def c6(spark, d):
-    return sec.unmapped_narrative(markup.narrative(bridge.markup(spark, d))).groupBy("name").agg(
+    return sec.unmapped_narrative(bridge.markup(spark, d)).groupBy("name").agg(
         F.count("*").alias("n"))
 
 
@@ -274,8 +274,7 @@ view("hits", " UNION ALL ".join(
 @query("c10_anchor_offsets", sql("""
     SELECT filing_id, section_id, cast(start AS int) AS start FROM hits""", "hits"))
 def c10(spark, d):
-    return bridge.bodies(spark, d).select(
-        "filing_id", F.inline(sec.anchor_hits(F.col("body_text")))).select(
+    return sec.anchor_hits(bridge.bodies(spark, d)).select(
         "filing_id", "section_id", F.col("offset").alias("start"))
 
 

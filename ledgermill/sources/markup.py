@@ -9,9 +9,8 @@ from __future__ import annotations
 import html
 import html.entities
 import re
-from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,26 +30,41 @@ def attribute(element: Column, name: str) -> Column:
         opening, F.lit(rf"(?i)\s{name}\s*=\s*[\"']([^\"']*)[\"']"), F.lit(1)), F.lit(0))
 
 
+#: Names of most references that occur; all others are looked up in the full table.
+COMMON = ["amp", "nbsp", "lt", "gt", "quot", "apos", "pound", "ndash", "rsquo"]
+#: References that also count without a semicolon, longest names first.
+_BARE = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+
+
 def decode(value: Column) -> Column:
     """Character references, named and numeric, as the characters they stand for."""
     names = sorted(n[:-1] for n in html.entities.html5 if n.endswith(";"))
     named = F.create_map(*[F.lit(x) for n in names for x in (n, html.entities.html5[n + ";"])])
     windows = F.array(*[F.lit(html.unescape(f"&#{n};")) for n in range(128, 160)])
 
+    def by_name(ref: Column) -> Column:
+        found = F.when(ref == COMMON[0], html.entities.html5[COMMON[0] + ";"])
+        for n in COMMON[1:]:
+            found = found.when(ref == n, html.entities.html5[n + ";"])
+        return found.otherwise(F.try_element_at(named, ref))
+
     def character(ref: Column) -> Column:
         point = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 8), 16, 10)).otherwise(
             F.substring(ref, 2, 8)).try_cast("int")
         plain = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
-        return (F.when(~ref.startswith("#"), F.try_element_at(named, ref))
+        return (F.when(~ref.startswith("#"), by_name(ref))
                 .when(point.between(128, 159), F.try_element_at(windows, point - 127))
                 .when(point.between(1, 55295) | point.between(57344, 1114111), plain))
 
+    def replaced(part: Column, ref: Column, end: int) -> Column:
+        return F.concat(character(ref), F.substring(part, F.length(ref) + end, F.length(part)))
+
     def piece(part: Column, i: Column) -> Column:
         ref = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
-        char = F.when(ref != "", character(ref))
-        rest = F.substring(part, F.length(ref) + 2, F.length(part))
-        return F.when(i == 0, part).otherwise(
-            F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part)))
+        bare = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|" + "|".join(_BARE) + ")", 1)
+        plain = F.concat(F.lit("&"), part)
+        return F.when(i == 0, part).otherwise(F.coalesce(
+            F.when(ref != "", replaced(part, ref, 2)), F.when(bare != "", replaced(part, bare, 1)), plain))
 
     return F.when(value.contains("&"), F.array_join(F.transform(F.split(value, "&"), piece), "")).otherwise(value)
 
@@ -187,20 +201,42 @@ def _elements(content: str) -> list[tuple[int, str, str]]:
     return [tuple(f) for f in found if ":" in f[1]]
 
 
-def narrative(documents: DataFrame) -> DataFrame:
-    """(filing_id, ord, name, text) of narrative elements.
+def read_narrative(content: str | None) -> tuple[list[tuple[int, str, str]] | None, str | None]:
+    """(elements, None) of a document, or (None, the reason why it cannot be read)."""
+    if content is None or not content.strip():
+        return None, "no content"
+    if "<" not in content:
+        return None, "no markup"
+    try:
+        return _elements(content), None
+    except Exception as e:  # a broken document is reported, it does not end the job
+        return None, f"{type(e).__name__}: {e}"
+
+
+NARRATIVE_TYPE = "struct<items: array<struct<ord: int, name: string, text: string>>, reason: string>"
+_ITEM = pa.struct([("ord", pa.int32()), ("name", pa.string()), ("text", pa.string())])
 
-    They nest, which no regular expression can balance, so a small scan runs on Arrow
-    batches; documents are independent rows, so it needs no shuffle.
+
+def narrative_column(content: Column, read=read_narrative) -> Column:
+    """STRUCT<items, reason>: the narrative elements of a document, or why there are none.
+
+    They nest, which no regular expression can balance, so a small scan runs on Arrow batches beside
+    the row; documents are independent rows, so it needs no shuffle.
     """
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [(f, *e) for f, c in zip(b.filing_id, b.content, strict=True) if c
-                    for e in _elements(c)]
-            yield pd.DataFrame(rows, columns=["filing_id", "ord", "name", "text"])
-
-    return documents.select("filing_id", "content").mapInPandas(
-        scan, "filing_id string, ord int, name string, text string")
+    @F.arrow_udf(NARRATIVE_TYPE)
+    def scan(contents: pa.Array) -> pa.Array:
+        found = [read(c) for c in contents.to_pylist()]
+        rows = [None if items is None else [dict(zip(("ord", "name", "text"), i)) for i in items] for items, _ in found]
+        return pa.StructArray.from_arrays(
+            [pa.array(rows, pa.list_(_ITEM)), pa.array([reason for _, reason in found], pa.string())], ["items", "reason"])
+
+    return scan.asNondeterministic()(content)  # else a filter on the result would run it twice
+
+
+def narrative(documents: DataFrame) -> DataFrame:
+    """(filing_id, ord, name, text) of narrative elements."""
+    return documents.select("filing_id", narrative_column(F.col("content")).alias("_n")).select(
+        "filing_id", F.inline("_n.items"))
 
 
 def taxonomy_version(content: Column) -> Column:

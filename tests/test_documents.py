@@ -253,6 +253,65 @@ def test_sections_take_two_shuffles(spark, tmp_path):
         assert (plan.count("FileScan"), plan.count("Exchange"), plan.count("Join")) == (1, 2, 0), out.__name__
 
 
+def test_headings_are_found_as_one_by_one(spark):
+    """One traversal gives the places that a search for each section alone gives, overlaps included."""
+    import re
+
+    from ledgermill import lookups
+
+    rng = random.Random(9)
+    words = ["Strategic", "report", "of", "the", "directors", "Directors'", "REPORT", "Section 172(1)", "s. 172", "\n",
+             "principal", "risks", "activities", "going  concern", "statement", "responsibilities", "independent",
+             "auditor's", "basis of preparation", "critical", "accounting", "policies", "estimates", "x", "misstatement",
+             "viability", "é", "😀"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    texts += ["Strategic report of the directors report of the directors", "", "Strategic report", "report of the directors report"]
+    got = {}
+    df = spark.createDataFrame(list(enumerate(texts)), "filing_id int, body_text string")
+    for r in sections.anchor_hits(df).collect():
+        got.setdefault(r.filing_id, []).append((r.offset, r.section_id))
+    for i, t in enumerate(texts):
+        want = sorted((m.start(), s) for s, p in lookups.SECTION_ANCHORS if s != "going_concern_directors"
+                      for m in re.finditer(p, t, re.I))
+        assert sorted(got.get(i, [])) == want, t
+
+
+def test_broken_document_is_rejected(spark, tmp_path):
+    """Documents that cannot be read give a row with the reason; the others have all their slots."""
+    rows = [("good", DOC), ("null", None), ("blank", " \n"), ("text", "no tags"), ("cut", DOC[:900]), ("empty", "<html></html>")]
+    spark.createDataFrame(rows, "filing_id string, content string").write.parquet(str(tmp_path / "docs"))
+    df = spark.read.parquet(str(tmp_path / "docs"))
+    out = sections.sections_of(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("FileScan"), plan.count("ArrowEvalPython"), plan.count("Exchange")) == (1, 1, 0)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.filing_id, []).append((r.section_id, r.status, r.reason))
+    assert got["null"] == got["blank"] == [(None, "rejected", "no content")] and got["text"] == [(None, "rejected", "no markup")]
+    assert all(len(got[k]) == 12 for k in ("good", "cut", "empty"))
+    bad = spark.createDataFrame([("a", DOC), ("b", "<p>bad</p>")], "filing_id string, content string")
+
+    def failing(content):
+        return (None, "ValueError: bad markup") if "bad" in content else markup.read_narrative(content)
+
+    got = {r.filing_id: r.reason for r in sections.sections_of(bad, failing).where("status = 'rejected'").collect()}
+    assert got == {"b": "ValueError: bad markup"}
+
+
+def test_reader_reports_what_it_cannot_read(monkeypatch):
+    monkeypatch.setattr(markup, "_elements", lambda content: 1 // 0)
+    found, reason = markup.read_narrative("<p>")
+    assert found is None and reason.startswith("ZeroDivisionError: ")
+
+
+def test_references_as_browsers_read_them(spark):
+    import html
+
+    texts = ["a &amp; b &ampx &pound5 &nbsp x &copy2024 &notit; &not; &#163 &#xA3; &# &zzz; &eacute;&eacute &; &amp;lt;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.v for r in df.select(markup.decode(F.col("t")).alias("v")).collect()] == [html.unescape(t) for t in texts]
+
+
 def test_recency_orders_any_tiebreak(spark):
     big = (1 << 62) + 1
     df = spark.createDataFrame([("2024-01-02", 1), ("2024-01-01", big), ("2024-01-01", big - 1)], "d string, n long")
