@@ -362,27 +362,48 @@ def test_tables(spark, tmp_path):
     assert "WHEN NOT MATCHED THEN INSERT (k, v)" in tables.merge_statement("t", "s", "k", ["v"])
 
 
-def test_untouched_buckets_keep_their_files(spark, tmp_path):
-    store = jobs.CellStore(spark, str(tmp_path), buckets=8)
+def test_batches_are_appended_and_never_rewritten(spark, tmp_path):
+    """Runs over new, late and repeated filings add files of their own and leave the others as they are."""
+    src, root = str(tmp_path / "in"), tmp_path / "out"
 
-    def files():
-        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("*.parquet")}
+    def arrive(*rows):
+        data = [(c, 2020, "cash", v, decimal.Decimal(n)) for c, v, n in rows]
+        spark.createDataFrame(data, jobs.CELLS).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(jobs.CELLS).parquet(src)
+        return {r.company_number: r.value for r in jobs.merge_late_filings(spark, stream, str(root)).collect()}
 
-    def arrive(company, value, n):
-        row = (company, 2020, "cash", value, decimal.Decimal(n))
-        store.merge(spark.createDataFrame([row], jobs.CELLS), n)
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in (root / "cells").rglob("batch=[0-9]*/*.parquet")}
 
-    for n, company in enumerate("abcdef"):
-        arrive(company, 1.0, n)
+    assert arrive(("a", 1.0, 5), ("b", 1.0, 5)) == {"a": 1.0, "b": 1.0}
     before = files()
-    arrive("a", 2.0, 7)
-    arrive("a", 2.0, 7)  # a retried batch
+    assert arrive(("a", 2.0, 7), ("a", 9.0, 6)) == {"a": 2.0, "b": 1.0}
+    between = files()
+    assert arrive(("a", 0.5, 3), ("b", 1.0, 5), ("b", None, 9), ("c", None, 1)) == {"a": 2.0, "b": 1.0, "c": None}
     after = files()
-    assert 0 < len(before.items() & after.items()) == len(after) - len(after.items() - before.items())
-    changed = {p.split("bucket=")[1].split("/")[0] for p, _ in before.items() ^ after.items()}
-    assert len(changed) == 1
-    got = {r.company_number: r.value for r in store.read().collect()}
-    assert got == {"a": 2.0, **dict.fromkeys("bcdef", 1.0)}
+    assert before.items() < between.items() < after.items()
+    # the state itself holds the newest filing, so a late one is not even appended as its own value
+    last = spark.read.schema(jobs.CELLS).parquet(*[p for p in after if p not in between])
+    assert {r.company_number: r.value for r in last.collect()} == {"a": 2.0, "b": 1.0, "c": None}
+
+
+def test_replayed_batch_replaces_itself(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = spark.createDataFrame([("a", 2020, "cash", 1.0, decimal.Decimal(1))], jobs.CELLS)
+    for _ in range(2):
+        rows.write.mode("overwrite").parquet(f"{root}/cells/batch=0")
+    assert jobs.stored_cells(spark, root).count() == 1
+
+
+def test_stream_takes_the_first_value_of_a_document(spark, tmp_path):
+    content = DOC.replace('<ix:nonFraction name="core:Equity"', '<ix:nonFraction name="core:Turnover" contextRef="c1">5'
+                          '</ix:nonFraction><ix:nonFraction name="core:Equity"')
+    docs(spark, content).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(docs(spark).schema).parquet(str(tmp_path / "in"))
+    got = {r.field: r.value for r in jobs.extract_stream(spark, stream, str(tmp_path / "out")).collect()}
+    assert got["revenue"] == 1234000.0
+    want = {r.field: r.value for r in filing_merge.tagged_cells(docs(spark, content)).collect()}
+    assert got == want
 
 
 def test_late_filings_in_any_order(spark, tmp_path):
