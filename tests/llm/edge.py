@@ -45,6 +45,12 @@ def documents() -> list[tuple]:
     return [(i, t, a, b, None if t is None else len(t), *["x"] * 17) for i, t, a, b in texts]
 
 
+#: Queries of the lexical search: one id twice, none, no term, no id.
+ITEMS = [(1, "Changed a b c abc bad cab word"), (1, "LINE b"), (2, None), (3, " .,! "), (None, "x id no"),
+         (4, "日本語 é ß Σ 12 34"), (5, "word"), (6, "nothing-of-this-kind"), (7, "a")]
+TURNS = [(1, 0, "user", "Hello."), (1, 1, "assistant", None), (1, 1, "assistant", None), (None, None, None, None)]
+
+
 def write(spark, folder: str, rows=None, pages=None, labels=None) -> str:
     def put(name, data, schema):
         spark.createDataFrame(data, schema).repartition(3).write.parquet(f"{folder}/{name}.parquet")
@@ -53,4 +59,6 @@ def write(spark, folder: str, rows=None, pages=None, labels=None) -> str:
     put("pages", [] if pages is None else pages, PAGES)
     put("labels", [(i, int(i % 5 != 0), 0) for i in range(70)] if labels is None else labels,
         "doc_id long, quality int, toxic int")
+    put("benchmark", ITEMS if rows is None else [], "item_id long, text string")
+    put("conversations", TURNS if rows is None else [], "conv_id long, turn long, role string, text string")
     return folder

@@ -5,16 +5,19 @@ import collections
 import hashlib
 import math
 import os
+import random
 import re
 import sys
 import zlib
 
 import duckdb
 import edge
+import numpy as np
 import pages_edge
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from ledgermill.llm import bpe, exact, html_paths, kneser_ney, language, mixing, quality, simhash, transducer, urls
 from ledgermill.llm.queries import ORACLES, QUERIES
@@ -43,6 +46,7 @@ def test_empty_tables(spark, empty_dir, name):
 def test_sql(spark, edge_dir, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT doc_id, text, lang, source FROM '{edge_dir}/documents.parquet/*.parquet'")
+    con.execute(f"CREATE VIEW benchmark AS SELECT item_id, text FROM '{edge_dir}/benchmark.parquet/*.parquet'")
     got = QUERIES[name](spark, edge_dir)
     want = con.execute(ORACLES[name])
     names = [c[0] for c in want.description]
@@ -94,6 +98,31 @@ def test_html_wrapped_bodies(spark):
         assert sorted(got[f"{key}0"].split("\n")) == sorted(want), key
 
 
+# op3
+
+@pytest.mark.parametrize("letters", ["αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзиклмнопрстуфхц"])
+def test_language_rejects_short_texts_of_unknown_scripts(spark, sf_dir, letters):
+    rng = random.Random(3)
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language.train(table)
+    words = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(n)) for n in (2, 4, 8, 20) * 10]
+    known = [" ".join(r.text.split()[:n]) for r in table.where("text IS NOT NULL AND lang IS NOT NULL").limit(60).collect() for n in (4, 20)]
+    got = language.predict(spark.createDataFrame([(w, True) for w in words] + [(w, False) for w in known], "text string, far boolean"), model)
+    share = {r.far: r.s for r in got.groupBy("far").agg(F.avg(F.col("rejected").cast("int")).alias("s")).collect()}
+    assert share[True] > 0.9 and share[False] < 0.05
+
+
+def test_language_is_the_nearest_centroid(spark, sf_dir):
+    """Predictions and scores as a plain computation by the model gives them."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text IS NOT NULL").limit(40)
+    model = language.train(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    for r in language.predict(table.select("doc_id", "text"), model).collect():
+        x = np.log1p(language.counts([r.text])[0]) * model["idf"]
+        cosines = [float(x @ c / np.linalg.norm(x)) if x.any() else 0.0 for c in model["centres"]]
+        best = int(np.argmax(cosines))
+        assert r.lang_pred == (model["langs"][best] if x.any() else "und") and abs(r.score - max(cosines[best], 0)) < 1e-4
+
+
 # op2
 
 def test_simhash(spark, docs, edge_dir):
@@ -128,9 +157,7 @@ def test_simhash(spark, docs, edge_dir):
 @pytest.mark.parametrize("block", [8, 4096])
 def test_simhash_search_is_exact(spark, monkeypatch, block):
     """Dense clusters and random values, with buckets of more than a block."""
-    import random
 
-    import numpy as np
 
     monkeypatch.setattr(simhash, "BLOCK", block)
     rng = random.Random(3)
@@ -162,7 +189,6 @@ def test_simhash_search_is_exact(spark, monkeypatch, block):
 def test_thresholds_sum_to_the_pigeonhole_bound(spark):
     fps = spark.range(2000).selectExpr("xxhash64(id) AS fp")
     plan = simhash.plan(fps, 4)
-    import numpy as np
 
     values = np.array([r.fp for r in fps.limit(50).collect()], np.int64).view(np.uint64)
     units, _ = plan.allocate([plan.costs(i, plan.shares(i, values)) for i in range(len(plan.groups))])
@@ -192,8 +218,6 @@ def test_language_edges(spark, docs, edge_dir):
 
 
 def test_language_rejects_what_is_far(spark):
-    import random
-
     rng = random.Random(5)
     known = [(i, edge.sentence(rng, 60, "abcdefg" if i % 2 else "hijklmn"), "en" if i % 2 else "de") for i in range(300)]
     model = language.train(spark.createDataFrame(known, "doc_id long, text string, lang string"))
@@ -223,8 +247,6 @@ def test_bpe(spark, docs, edge_dir):
 
 
 def test_bpe_long_pieces():
-    import random
-
     enc, rng = library(), random.Random(1)
     tok = bpe.Tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     texts = ["a" * 30_000, "ab" * 999, " " * 700, *(
@@ -259,8 +281,6 @@ def test_quality_counts(spark, docs, edge_dir):
 
 def test_quality_list(spark, sf_dir):
     """Learned rules drop bad rows and leave nearly all good ones that pass the base rules."""
-    import numpy as np
-
     rng = np.random.default_rng(0)
     n = 3000
     x = {"symbols": rng.random(n) * 0.1, "upper": rng.random(n)}
@@ -408,8 +428,6 @@ def test_token_counts(spark, docs, edge_dir):
 
 
 def test_transducer_on_random_words(monkeypatch):
-    import random
-
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("word_bpe_49k.json")

@@ -12,12 +12,13 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import brute_repair  # noqa: E402
+import edge  # noqa: E402
 
 from ledgermill.llm import kd_shards, lexical, repair  # noqa: E402
 
 # Lexical search
 
-ITEMS = [(1, "Changed a b c abc bad cab word"), (1, "LINE b"), (2, None), (3, " .,! "), (None, "x id no"),
+ITEMS = edge.ITEMS
          (4, "日本語 é ß Σ 12 34"), (5, "word"), (6, "nothing-of-this-kind"), (7, "a")]
 
 
