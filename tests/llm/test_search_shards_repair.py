@@ -19,7 +19,6 @@ from ledgermill.llm import kd_shards, lexical, repair  # noqa: E402
 # Lexical search
 
 ITEMS = edge.ITEMS
-         (4, "日本語 é ß Σ 12 34"), (5, "word"), (6, "nothing-of-this-kind"), (7, "a")]
 
 
 def brute_search(docs, items, k):
