@@ -106,3 +106,68 @@ def lift_note_charges(rows: DataFrame, notes: DataFrame) -> DataFrame:
 def readable_object(text: Column) -> Column:
     """Metadata as a variant, null when it is not valid JSON."""
     return F.try_parse_json(text)
+
+
+# --- metadata as binary variants -------------------------------------------
+_FIELDS = "map<string,variant>"
+
+
+def _fields(value: Column) -> Column:
+    """The fields of a variant that is an object, else null."""
+    return F.try_variant_get(value, "$", _FIELDS)
+
+
+def merge_variants(metadata: Column, patch: Column) -> Column:
+    """Like merge_patch, on VARIANT columns: no value is turned into text or parsed on the way.
+
+    Keys of the patch overwrite, object on object merges one level; anything that is no object counts
+    as an empty one at the top.  Fields come out in the order of their names.
+    """
+    empty = F.create_map().cast(_FIELDS)
+
+    def one(_, a, b):
+        x, y = _fields(a), _fields(b)
+        inner = F.to_variant_object(F.map_zip_with(x, y, lambda _, s, t: F.coalesce(t, s)))
+        return F.when(x.isNotNull() & y.isNotNull(), inner).otherwise(F.coalesce(b, a))
+
+    return F.to_variant_object(F.map_zip_with(
+        F.coalesce(_fields(metadata), empty), F.coalesce(_fields(patch), empty), one))
+
+
+def with_variants(df: DataFrame, *columns: str) -> DataFrame:
+    """JSON text columns as VARIANT; text that is not valid JSON becomes null."""
+    return df.withColumns({c: F.try_parse_json(c) for c in columns})
+
+
+def variant_leaves(df: DataFrame, column: str) -> DataFrame:
+    """(.., path, value): what the top level and the objects on it hold, arrays and deeper objects as JSON text.
+
+    JSON null is the text ``null``; an empty object is a leaf of its own.
+    """
+    keys = [c for c in df.columns if c != column]
+    top = df.select(*keys, F.explode(_fields(F.col(column))).alias("k1", "v1"))
+    inner = F.when(F.size(F.coalesce(_fields(F.col("v1")), F.create_map().cast(_FIELDS))) > 0, _fields(F.col("v1")))
+    leaves = top.select(*keys, "k1", F.explode(F.coalesce(inner, F.create_map(F.lit(""), F.col("v1")))).alias("k2", "v"))
+    path = F.when(F.col("k2") == "", F.col("k1")).otherwise(F.concat_ws(".", "k1", "k2"))
+    return leaves.select(*keys, path.alias("path"), F.to_json("v").alias("value"))
+
+
+def backfill_variant(df: DataFrame) -> DataFrame:
+    """Like backfill, for a VARIANT metadata column."""
+    def stored_value(column: str, path: str) -> Column:
+        found = F.try_variant_get("metadata", path, "string")
+        return F.try_to_date(found, "yyyy-MM-dd") if column in DATE_COLUMNS else found
+
+    return df.withColumns({c: F.coalesce(F.col(c), stored_value(c, p)) for c, p in _present(df).items()})
+
+
+def variant_schema(df: DataFrame, column: str) -> DataFrame:
+    """(path, type, n): the types that occur at each path, and in how many rows."""
+    keys = df.select(F.explode(_fields(F.col(column))).alias("k1", "v1"))
+    inner = keys.where(F.size(F.coalesce(_fields(F.col("v1")), F.create_map().cast(_FIELDS))) > 0).select(
+        "k1", F.explode(_fields(F.col("v1"))).alias("k2", "v"))
+    # the names of an object's fields would make a type of every row
+    kind = F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0).alias("type")
+    both = keys.select(F.col("k1").alias("path"), F.col("v1").alias("v")).unionByName(
+        inner.select(F.concat_ws(".", "k1", "k2").alias("path"), "v"))
+    return both.select("path", kind).groupBy("path", "type").agg(F.count("*").alias("n"))

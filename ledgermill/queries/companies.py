@@ -482,6 +482,64 @@ def h16(spark, d):
         at("$.tags[1]").cast("int").alias("tag_2"))
 
 
+# --- the same on binary variants: whole objects are compared, leaf by leaf ---
+view("meta_top", """
+    SELECT company_number, j.key AS k1, j.value AS v1, j.type AS t1, side FROM (
+      SELECT company_number, 0 AS side, metadata AS m FROM companies WHERE metadata IS NOT NULL
+      UNION ALL SELECT company_number, 1, patch FROM companies WHERE patch IS NOT NULL) x,
+      json_each(x.m::json) j""", "companies")
+view("meta_both", """
+    SELECT company_number, k1, count(*) FILTER (t1 = 'OBJECT') = 2 AS merged, max(side) AS newest
+    FROM meta_top GROUP BY 1, 2""", "meta_top")
+view("meta_leaf", """
+    SELECT company_number, k1, side, NULL AS k2, CASE WHEN v1 IS NULL THEN 'null' ELSE v1::varchar END AS v, t1 AS t
+      FROM meta_top WHERE t1 <> 'OBJECT'
+    UNION ALL SELECT company_number, k1, side, j.key, j.value::varchar, j.type FROM meta_top, json_each(v1) j
+      WHERE t1 = 'OBJECT'""", "meta_top")
+view("meta_merged", """
+    SELECT l.company_number, l.k1, l.k2, l.v, l.t FROM meta_leaf l JOIN meta_both b USING (company_number, k1)
+    WHERE (b.merged OR l.side = b.newest)
+    QUALIFY row_number() OVER (PARTITION BY l.company_number, l.k1, l.k2 ORDER BY l.side DESC) = 1""",
+     "meta_leaf", "meta_both")
+
+
+@query("h16_variant_merge", sql("""
+    SELECT company_number, k1 || coalesce('.' || k2, '') AS path, v AS value FROM meta_merged""", "meta_merged"))
+def h16_variant(spark, d):
+    both = json_ops.with_variants(bridge.companies(spark, d).select("company_number", "metadata", "patch"),
+                                  "metadata", "patch")
+    merged = both.select("company_number", json_ops.merge_variants(F.col("metadata"), F.col("patch")).alias("m"))
+    return json_ops.variant_leaves(merged, "m")
+
+
+@query("h16_variant_schema", sql("""
+    SELECT path, type, count(*) AS n FROM (
+      SELECT k1 || coalesce('.' || k2, '') AS path, CASE WHEN t IN ('UBIGINT', 'BIGINT') THEN 'BIGINT'
+        WHEN t = 'VARCHAR' THEN 'STRING' WHEN t = 'NULL' THEN 'VOID' ELSE t END AS type FROM meta_merged
+      UNION ALL SELECT DISTINCT ON (company_number, k1) k1, 'OBJECT' FROM meta_merged WHERE k2 IS NOT NULL)
+    GROUP BY 1, 2""", "meta_merged"))
+def h16_schema(spark, d):
+    both = json_ops.with_variants(bridge.companies(spark, d), "metadata", "patch")
+    merged = both.select(json_ops.merge_variants(F.col("metadata"), F.col("patch")).alias("m"))
+    return json_ops.variant_schema(merged, "m")
+
+
+@query("b10_variant_paths", sql("""
+    SELECT company_number, metadata ->> '$.pipeline.status' AS status,
+           cast(metadata ->> '$.props.k' AS int) AS k FROM companies""", "companies"))
+def b10_variant(spark, d):
+    m = json_ops.with_variants(bridge.companies(spark, d), "metadata")
+    return m.select("company_number", F.try_variant_get("metadata", "$.pipeline.status", "string").alias("status"),
+                    F.try_variant_get("metadata", "$.props.k", "int").alias("k"))
+
+
+@query("b11_variant_backfill", sql("SELECT * FROM migrated", "migrated"))
+def b11_variant(spark, d):
+    return json_ops.backfill_variant(json_ops.with_variants(bridge.companies(spark, d), "metadata")).select(
+        "company_number", "pipeline_status", "filing_format",
+        F.col("last_accounts_date").cast("string").alias("last_accounts_date"), "sic_code_1")
+
+
 @query("h17_tolerant_json", """
     SELECT event_id, CASE WHEN event_id % 10 = 0 THEN NULL ELSE cast(props ->> '$.k' AS int) END
       AS k FROM events""")

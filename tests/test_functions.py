@@ -134,3 +134,25 @@ def test_tagged_numbers_are_strict(spark):
     got = {r.raw: r.v for r in df.select("raw", numbers.tagged_number(
         F.col("raw"), F.lit(None).cast("string"), F.lit(None).cast("string")).alias("v")).collect()}
     assert got == raws
+
+
+def test_variants_merge_like_text(spark):
+    rows = [('{"a":1,"n":{"x":1,"y":2},"s":"q"}', '{"a":"z","n":{"y":3,"w":null},"b":[1,2],"s":null}',
+             '{"a":"z","b":[1,2],"n":{"w":null,"x":1,"y":3},"s":null}'),
+            (None, '{"k":1}', '{"k":1}'), ('{"k":1}', None, '{"k":1}'), ("[1]", '{"k":2}', '{"k":2}'),
+            ("{broken", '{"k":2}', '{"k":2}'), (None, None, "{}"), ('{"n":{}}', '{"n":{"x":1}}', '{"n":{"x":1}}'),
+            ('{"n":1}', '{"n":{"x":1}}', '{"n":{"x":1}}'), ('{"n":{"x":{"p":1}}}', '{"n":{"x":{"q":2}}}', '{"n":{"x":{"q":2}}}')]
+    df = json_ops.with_variants(spark.createDataFrame(rows, "m string, p string, want string"), "m", "p")
+    got = df.select(F.to_json(json_ops.merge_variants(F.col("m"), F.col("p"))).alias("got"), "want").collect()
+    assert [r.got for r in got] == [r.want for r in got]
+
+
+def test_variant_leaves_and_schema(spark):
+    df = json_ops.with_variants(spark.createDataFrame(
+        [(1, '{"a":null,"n":{"x":1.5,"y":{"z":1}},"e":{},"l":[1]}'), (2, '{"a":2}'), (3, None), (4, "[]")],
+        "id int, m string"), "m")
+    leaves = {(r.id, r.path): r.value for r in json_ops.variant_leaves(df, "m").collect()}
+    assert leaves == {(1, "a"): "null", (1, "n.x"): "1.5", (1, "n.y"): '{"z":1}', (1, "e"): "{}", (1, "l"): "[1]", (2, "a"): "2"}
+    kinds = {(r.path, r.type): r.n for r in json_ops.variant_schema(df, "m").collect()}
+    assert kinds == {("a", "VOID"): 1, ("a", "BIGINT"): 1, ("n", "OBJECT"): 1, ("n.x", "DECIMAL"): 1,
+                     ("n.y", "OBJECT"): 1, ("e", "OBJECT"): 1, ("l", "ARRAY"): 1}
