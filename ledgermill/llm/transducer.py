@@ -10,11 +10,13 @@ of the count.  States and transitions are determinised as they are first met and
 tables; beyond STATES states the tables start anew, which changes no result.
 
 Running.  A batch's words become one string of symbols, cut into chunks behind word ends where one
-is near, else within a word.  All chunks step together through the tables.  A chunk that ends a
-word maps every entry to the start state; for the others the maps are composed from left to right
-in rounds: a chunk runs again while the state its predecessor leaves differs from the one it was
-run with.  Each round settles every run of chunks at least one further, and all that have met the
-same states anyway at once.
+is near, else within a word.  All chunks step together through the tables, from the start state at
+first.  A chunk that begins inside a word gets a map instead of one run: from every state that the
+batch has been in behind the same WINDOW symbols, its possible entries, to the exit it leads to.  The
+maps of a long word compose by a parallel prefix scan: maps over one chunk give those over two, four,
+eight, and with each doubling twice as many chunks know their entry from the word's beginning.  They
+run once more from these entries.  Should an entry have been none of the possible ones, what its
+predecessor leaves is checked and the chunk run again until all agree.
 
 Defined results: a null or empty text has no tokens; special strings inside a text count one each,
 as in the library; any length of text or word is counted whole.
@@ -40,8 +42,10 @@ from ledgermill.llm.common import slices
 STATES = 120_000
 #: Largest number of tokens below a trie node for which those that fit are listed in the state.
 LISTED = 48
-#: Symbols of a chunk.
-CHUNK = 256
+#: Symbols that are run at once (a longer word is run whole), so that tables can start anew in between.
+SEGMENT = 1 << 19
+#: Symbols of a chunk, and those before it that tell its possible entries (a power of two).
+CHUNK, WINDOW = 256, 32
 LAST = 256  # added to a byte that ends a word
 SPACE, LETTER, NUMBER, OTHER = range(4)
 #: Fixed code points with the property White_Space.
@@ -242,8 +246,12 @@ class Transducer:
     # Running
 
     def steps(self, symbols: np.ndarray, columns: np.ndarray, start: np.ndarray, size: np.ndarray,
-              entry: np.ndarray, out: np.ndarray) -> np.ndarray:
-        """Run chunks from their entry states; emissions go to `out` by place; returns exit states."""
+              entry: np.ndarray, out: np.ndarray, seen: np.ndarray | None = None) -> np.ndarray:
+        """Run chunks from their entry states; returns exit states.
+
+        Emissions go to `out` by place, and the states behind the symbols to `seen`.
+        """
+        self.rounds += 1
         order = np.argsort(-size, kind="stable")
         start, size, state = start[order], size[order], entry[order]
         live = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), side="left")
@@ -257,13 +265,66 @@ class Transducer:
                     self.compile(*divmod(pair, 2 * LAST))
                 to = self.next[s, col]
             out[at] = self.emit[s, col]
+            if seen is not None:
+                seen[at] = to
             state[:n] = to
         exits = np.empty_like(state)
         exits[order] = state
         return exits
 
+    def scanned(self, symbols, columns, start, size, inner, seen) -> np.ndarray:
+        """Entry states of all chunks by maps over possible entries and a prefix scan; 0 where one is unknown."""
+        entry = np.zeros(len(start), np.int32)
+        within = inner | np.append(inner[1:], False)  # chunks of words that were cut
+        place = np.arange(size[within].sum()) + np.repeat(
+            start[within] - np.cumsum(size[within]) + size[within], size[within])
+        code = symbols.astype(np.uint64) + np.uint64(1)
+        width = 1
+        while width < WINDOW:  # of the last `width` symbols, then of twice as many
+            code[width:] = code[width:] * np.uint64(0x9E3779B97F4A7C15) ^ (code[:-width] * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(7))
+            width *= 2
+        # the pairs (code, state) that occur, and for each chunk inside a word those of the code before it
+        order = np.lexsort((seen[place], code[place]))
+        codes, states = code[place][order], seen[place][order]
+        new = np.append(True, (codes[1:] != codes[:-1]) | (states[1:] != states[:-1]))
+        codes, states = codes[new], states[new]
+        chunk = np.flatnonzero(within)
+        before = code[np.maximum(start[chunk] - 1, 0)]
+        low, high = np.searchsorted(codes, before, "left"), np.searchsorted(codes, before, "right")
+        head = ~inner[chunk]
+        n = np.where(head, 1, high - low)
+        first = np.cumsum(n) - n
+        owner = np.repeat(np.arange(len(chunk)), n)
+        pick = np.arange(n.sum()) - first[owner]
+        come = np.where(head[owner], 0, states[np.minimum(low[owner] + pick, len(states) - 1)]).astype(np.int32)
+        leave = self.steps(symbols, columns, start[chunk][owner], size[chunk][owner], come, np.zeros(len(symbols), np.int8))
+        # a pair leads to the pair of the next chunk whose entry it leaves; -1 if there is none
+        key = owner.astype(np.int64) << 32 | come
+        goal = (owner.astype(np.int64) + 1) << 32 | leave
+        at = np.minimum(np.searchsorted(key, goal), len(key) - 1)
+        jump = np.where(key[at] == goal, at, -1)
+        step = np.arange(len(chunk)) - np.maximum.accumulate(np.where(head, np.arange(len(chunk)), 0))
+        found = np.where(head, first, -1)
+        width = 1
+        while width <= step.max(initial=0):
+            reach = np.flatnonzero((step >= width) & (step < 2 * width))
+            back = found[reach - width]
+            found[reach] = np.where(back >= 0, jump[back], -1)
+            jump = np.where(jump >= 0, jump[jump], -1)
+            width *= 2
+        known = found >= 0
+        entry[chunk[known]] = come[found[known]]
+        return entry
+
     def emissions(self, symbols: np.ndarray) -> np.ndarray:
-        """Change of the count at each symbol."""
+        """Change of the count at each symbol, by segments that end with a word."""
+        ends = np.flatnonzero(symbols >= LAST) + 1
+        at = np.searchsorted(ends, np.arange(SEGMENT, len(symbols), SEGMENT))
+        cuts = np.unique(np.concatenate([[0], ends[at[at < len(ends)]], [len(symbols)]]))
+        parts = [self._segment(symbols[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int8)
+
+    def _segment(self, symbols: np.ndarray) -> np.ndarray:
         n = len(symbols)
         out = np.zeros(n, np.int8)
         if not n:
@@ -277,7 +338,14 @@ class Transducer:
         cuts = np.unique(np.concatenate([[0], np.where(near < marks + CHUNK, near, marks), [n]]))
         start, size = cuts[:-1], np.diff(cuts)
         entry = np.zeros(len(start), np.int32)
-        exits = self.steps(symbols, columns, start, size, entry, out)
+        inner = np.append(False, symbols[start[1:] - 1] < LAST)
+        seen = np.zeros(n, np.int32) if inner.any() else None
+        self.rounds = 0
+        exits = self.steps(symbols, columns, start, size, entry, out, seen)
+        if seen is not None:
+            entry = self.scanned(symbols, columns, start, size, inner, seen)
+            redo = np.flatnonzero(entry)
+            exits[redo] = self.steps(symbols, columns, start[redo], size[redo], entry[redo], out)
         while True:
             come = np.concatenate([[0], exits[:-1]]).astype(np.int32)
             redo = np.flatnonzero(come != entry)

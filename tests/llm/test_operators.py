@@ -427,6 +427,31 @@ def test_token_counts(spark, docs, edge_dir):
     assert rows_of(got) == sorted(want, key=repr)
 
 
+def test_transducer_composes_chunks_of_long_words():
+    """Words over thousands of chunks take a few rounds, and count as the library counts them."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    lib, machine, rng = Tokenizer.from_file(path), transducer.Transducer(path), random.Random(4)
+    texts = ["a" * 1_000_000, "the" * 100_000 + " x " + "ab" * 5000, "é" * 9000,
+             "".join(rng.choice("etaoin") for _ in range(60_000)), ("".join(rng.choice("abcdef") for _ in range(700))) * 40,
+             " ".join("".join(rng.choice("etaoin") for _ in range(rng.choice([3, 9, 700, 3000]))) for _ in range(50))]
+    for text in texts:
+        assert machine.count([text])[0] == len(lib.encode(text, add_special_tokens=False).ids)
+        assert machine.rounds <= 20
+
+
+def test_transducer_segments(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    lib, machine = Tokenizer.from_file(path), transducer.Transducer(path)
+    monkeypatch.setattr(transducer, "SEGMENT", 7)
+    monkeypatch.setattr(transducer, "STATES", 30)
+    texts = ["some words and averyverylongwordamongthem " * 3, "", "x", "it's 12 done " * 9]
+    assert machine.count(texts).tolist() == [len(lib.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_transducer_on_random_words(monkeypatch):
     from tokenizers import Tokenizer
 
