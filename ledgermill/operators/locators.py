@@ -103,12 +103,3 @@ def evaluation(found: DataFrame, labelled: DataFrame) -> DataFrame:
         F.count("*").alias("labelled"), F.avg(F.col("start").isNotNull().cast("int")).alias(
             "found_rate"),
         F.avg(F.coalesce(exact, F.lit(False)).cast("int")).alias("exact_rate"))
-
-
-def acceptance(sections: DataFrame) -> DataFrame:
-    """(doc, counts per status, complete): every filing must show exactly twelve slots."""
-    key = "doc_id" if "doc_id" in sections.columns else "filing_id"
-    s = sections.groupBy(key).agg(*[
-        F.count_if(F.col("status") == v).alias(v) for v in ("found", "not_present", "not_found")])
-    return s.withColumn("complete", (F.col("found") + F.col("not_present")
-                                     + F.col("not_found")) == len(lookups.SECTION_IDS))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgermill import lookups
 from ledgermill.functions import text
+from ledgermill.operators import agreement
 from ledgermill.operators import evidence as ev
 from ledgermill.operators import facts as fact_ops
 from ledgermill.operators import locators as loc
@@ -226,7 +227,7 @@ _FOUND = {"strategic_report": "ixbrl_text", "going_concern_note": "ixbrl_text",
           "auditor_report": "ixbrl_tag"}
 
 
-@query("s7_s8_resolved_sections", f"""
+view("tagged_slots", f"""
     SELECT filing_id, section_id, CASE WHEN source IS NOT NULL THEN 'found' WHEN due THEN
       'not_found' ELSE 'not_present' END AS status, source FROM (
       SELECT *, CASE section_id {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _FOUND.items())}
@@ -239,16 +240,70 @@ _FOUND = {"strategic_report": "ixbrl_text", "going_concern_note": "ixbrl_text",
       FROM (SELECT o_orderkey::varchar AS filing_id, {_SIZE} AS size, {_FILL} AS filleted,
         o_orderkey % 7 = 0 AS flag,
         unnest([{', '.join(repr(s) for s in lookups.SECTION_IDS)}]) AS section_id FROM orders))""")
+
+
+@query("s7_s8_resolved_sections", sql("SELECT * FROM tagged_slots", "tagged_slots"))
 def s7(spark, d):
     return sec.sections_of(bridge.markup(spark, d)).select(
         "filing_id", "section_id", "status", "source")
 
 
-@query("d38_section_acceptance", "SELECT o_orderkey::varchar AS filing_id, 12 AS slots FROM orders")
+_CATEGORIES = ["SMALL", "MEDIUM", "FULL", "NO ACCOUNTS FILED"]
+_CAT = "[" + ", ".join(f"'{c}'" for c in _CATEGORIES) + "]"
+view("register_history", f"""
+    SELECT c_custkey::varchar AS company_number, unnest([DATE '1996-03-01', DATE '1998-06-01']) AS valid_from,
+      unnest([{_CAT}[c_custkey % 4 + 1], {_CAT}[(c_custkey + 1) % 4 + 1]]) AS category FROM customer""")
+view("verdicts", f"""
+    SELECT filing_id, found, not_present, not_found, (found + not_present + not_found = 12)::int AS complete,
+      filing_size, register_size, (filing_size = register_size)::int AS agrees,
+      CASE WHEN filing_size = 'large' AND mode = 'full' THEN (core = 3)::int END AS core_found
+    FROM (SELECT filing_id, count(*) FILTER (status = 'found') AS found, count(*) FILTER (status = 'not_present')
+        AS not_present, count(*) FILTER (status = 'not_found') AS not_found, count(*) FILTER (status = 'found' AND
+        section_id IN ('strategic_report', 'directors_report', 'auditor_report')) AS core
+      FROM tagged_slots GROUP BY 1)
+    JOIN (SELECT o_orderkey::varchar AS filing_id, CASE WHEN {_SIZE} = 'unknown' THEN 'large' ELSE {_SIZE} END
+        AS filing_size, CASE WHEN {_FILL} THEN 'filleted' ELSE 'full' END AS mode,
+        CASE h.category WHEN 'SMALL' THEN 'small' WHEN 'MEDIUM' THEN 'medium' WHEN 'FULL' THEN 'large' END
+        AS register_size
+      FROM orders o ASOF LEFT JOIN register_history h ON o.o_custkey::varchar = h.company_number
+        AND o.o_orderdate::date >= h.valid_from) USING (filing_id)""", "tagged_slots", "register_history")
+
+
+def _verdicts(spark, d):
+    docs = bridge.markup(spark, d)
+    orders = bridge.table(spark, d, "orders")
+    dated = orders.select(F.col("o_orderkey").cast("string").alias("filing_id"),
+                          F.col("o_custkey").cast("string").alias("company_number"),
+                          F.col("o_orderdate").cast("date").alias("filing_date"))
+    names = F.array(*[F.lit(c) for c in _CATEGORIES])
+    key = F.col("c_custkey").cast("int")
+    history = bridge.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("company_number"), F.inline(F.array(
+        F.struct(F.lit("1996-03-01").cast("date").alias("valid_from"), F.get(names, key % 4).alias("category")),
+        F.struct(F.lit("1998-06-01").cast("date").alias("valid_from"), F.get(names, (key + 1) % 4).alias("category")))))
+    return agreement.verdicts(sec.sections_of(docs), sec.classify_filings(docs), dated, history)
+
+
+@query("d38_section_acceptance", sql("SELECT * FROM verdicts", "verdicts"))
 def d38(spark, d):
-    acc = loc.acceptance(sec.sections_of(bridge.markup(spark, d)).select(
-        "filing_id", "status"))
-    return acc.select("filing_id", F.when(F.col("complete"), 12).alias("slots"))
+    return _verdicts(spark, d).withColumns({c: F.col(c).cast("int") for c in ("complete", "agrees", "core_found")})
+
+
+@query("d38_class_agreement", sql("""
+    SELECT filing_size, register_size, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY filing_size) AS share
+    FROM verdicts WHERE register_size IS NOT NULL GROUP BY 1, 2""", "verdicts"))
+def d38_matrix(spark, d):
+    return agreement.matrix(_verdicts(spark, d), "filing_size", "register_size")
+
+
+@query("d38_class_kappa", sql("""
+    SELECT n, agreed, expected, (agreed - expected) / (1 - expected) AS kappa FROM (
+      SELECT (SELECT count(*) FROM v) AS n, (SELECT avg((filing_size = register_size)::int) FROM v) AS agreed,
+        (SELECT sum(a * b) FROM (SELECT filing_size AS c, count(*)::double / (SELECT count(*) FROM v) AS a FROM v GROUP BY 1)
+          JOIN (SELECT register_size AS c, count(*)::double / (SELECT count(*) FROM v) AS b FROM v GROUP BY 1) USING (c))
+          AS expected)""".replace("FROM v", "FROM (SELECT * FROM verdicts WHERE register_size IS NOT NULL)"), "verdicts"))
+def d38_kappa(spark, d):
+    pairs = agreement.matrix(_verdicts(spark, d), "filing_size", "register_size")
+    return agreement.kappa(pairs, "filing_size", "register_size")
 
 
 # --- body text ------------------------------------------------------------

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgermill import lookups
 from ledgermill.functions import numbers, sic, text
-from ledgermill.operators import evidence, facts, json_ops, tokens
+from ledgermill.operators import agreement, evidence, facts, json_ops, tokens
 
 
 def values(spark, rows, schema, *cols):
@@ -156,3 +156,25 @@ def test_variant_leaves_and_schema(spark):
     kinds = {(r.path, r.type): r.n for r in json_ops.variant_schema(df, "m").collect()}
     assert kinds == {("a", "VOID"): 1, ("a", "BIGINT"): 1, ("n", "OBJECT"): 1, ("n.x", "DECIMAL"): 1,
                      ("n.y", "OBJECT"): 1, ("e", "OBJECT"): 1, ("l", "ARRAY"): 1}
+
+
+def test_as_of_takes_the_last_entry_before(spark):
+    history = spark.createDataFrame([("a", "2020-01-01", "SMALL"), ("a", "2021-01-01", "FULL"), ("a", "2022-01-01", None),
+                                     ("b", "2020-06-01", "MEDIUM")], "k string, valid_from string, category string")
+    events = spark.createDataFrame([(1, "a", "2019-12-31"), (2, "a", "2020-01-01"), (3, "a", "2020-12-31"), (4, "a", "2021-07-01"),
+                                    (5, "a", "2023-01-01"), (6, "b", "2024-01-01"), (7, "c", "2024-01-01"), (7, "c", "2024-01-01")],
+                                   "id int, k string, day string")
+    got = sorted((r.id, r.category) for r in agreement.as_of(events, history, "k", "day", "category").collect() if r.id < 7)
+    assert got == [(1, None), (2, "SMALL"), (3, "SMALL"), (4, "FULL"), (5, None), (6, "MEDIUM")]
+    assert agreement.as_of(events, history, "k", "day", "category").count() == 8
+
+
+def test_agreement_above_chance(spark):
+    pairs = spark.createDataFrame([("small", "small")] * 20 + [("small", "large")] * 5 + [("large", "small")] * 10
+                                  + [("large", "large")] * 15 + [("medium", None)] * 3, "x string, y string")
+    counts = agreement.matrix(pairs, "x", "y")
+    assert {(r.x, r.y): r.n for r in counts.collect()} == {("small", "small"): 20, ("small", "large"): 5, ("large", "small"): 10,
+                                                           ("large", "large"): 15}
+    r = agreement.kappa(counts, "x", "y").collect()[0]
+    assert (r.n, round(r.agreed, 6), round(r.expected, 6), round(r.kappa, 6)) == (50, 0.7, 0.5, 0.4)
+    assert agreement.kappa(counts.limit(0), "x", "y").collect() == []
