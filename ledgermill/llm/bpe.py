@@ -272,7 +272,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
         tok = tokenizer(path, pattern)
         for batch in batches:
             column, rest = batch.column("x4_text"), batch.select(kept)
-            for a, b in slices(pc.fill_null(pc.utf8_length(column), 0).to_numpy()):
+            for a, b in slices(pc.fill_null(pc.utf8_length(column), 0).to_numpy(), 1 << 19):
                 flat, offsets = tok.encode(column.slice(a, b - a).to_pylist())
                 made = [pa.ListArray.from_arrays(offsets.astype(np.int32), flat)]
                 if decoded:

@@ -92,7 +92,8 @@ def cluster(x: np.ndarray, k: int) -> np.ndarray:
     centres = np.array(centres)
     for _ in range(ROUNDS):
         mine = (x @ centres.T).argmax(1)
-        total = np.array([x[mine == i].sum(0) if (mine == i).any() else c for i, c in enumerate(centres)])
+        total = (mine[None, :] == np.arange(len(centres))[:, None]).astype(x.dtype) @ x  # no copies of the rows
+        total = np.where(np.bincount(mine, minlength=len(centres))[:, None] > 0, total, centres)
         size = np.linalg.norm(total, axis=1, keepdims=True)
         centres = total / np.where(size > 0, size, 1)
     return centres
@@ -172,13 +173,16 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str =
         part = part.sort_values(["whole", "key"], ascending=[False, True], kind="stable")
         x, size = dense(part[part["whole"]])
         some = size > 0
-        centres = cluster(x[some], CENTROIDS) if some.any() else np.zeros((1, SIZE))
+        centres = cluster(x if some.all() else x[some], CENTROIDS) if some.any() else np.zeros((1, SIZE))
         near = (x @ centres.T).max(1)
         floors = [float(near[some & (size >= min(i, size.max()))].min(initial=1.0)) for i in range(64)]
         parts = part[~part["whole"]]
-        cut = [dense(parts.iloc[i:i + 256]) for i in range(0, len(parts), 256)]
-        cosines = np.concatenate([(y @ centres.T).max(1) for y, _ in cut] or [near[:0]])
-        levels = np.concatenate([z for _, z in cut] or [size[:0]])
+        cosines, levels = [near[:0]], [size[:0]]
+        for i in range(0, len(parts), 256):
+            y, z = dense(parts.iloc[i:i + 256])
+            cosines.append((y @ centres.T).max(1))
+            levels.append(z)
+        cosines, levels = np.concatenate(cosines), np.concatenate(levels)
         for i in range(64):
             mine = cosines[levels == i]
             if len(mine):
