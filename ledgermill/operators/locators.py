@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgermill import lookups
 from ledgermill.functions import text
 from ledgermill.operators import tokens as tok
 
+# Phrases that tell the class of a printed filing.
 CLASS_PHRASES = {
     "frs_105": "frs 105", "micro_entity": "micro-entity", "micro_entity_2": "micro entity",
     "section_1a": "section 1a", "small_regime": "small companies regime",

@@ -104,6 +104,7 @@ def with_band_flags(pages: DataFrame) -> DataFrame:
 
 
 # --- page roles -----------------------------------------------------------
+# Titles of statement pages.
 INCOME_TITLES = ["INCOME STATEMENT", "PROFIT AND LOSS ACCOUNT",
                  "STATEMENT OF COMPREHENSIVE INCOME",
                  "STATEMENT OF INCOME AND RETAINED EARNINGS", "INCOME AND RETAINED EARNINGS"]

@@ -28,6 +28,7 @@ CASH_FLOW_FIELDS = [
 STATEMENT_FIELDS = INCOME_FIELDS + BALANCE_FIELDS + CASH_FLOW_FIELDS
 ROW_FIELDS = STATEMENT_FIELDS + ["employees"]
 
+# Metrics derived from one year, then those that compare years.
 DERIVED_FIELDS = [
     "gross_margin_pct", "operating_margin_pct", "net_margin_pct", "ebitda", "ebitda_margin",
     "return_on_assets", "return_on_equity", "total_capex", "fcf", "cash_conversion",
@@ -47,9 +48,9 @@ STATEMENT_OF_FIELD = {
     "employees": "employees",
 }
 
-# Columns always written to the result table (null clears a stale value).
+# Columns always written to the result table (null clears a stale value).
 TYPED_COLUMNS = ["revenue", "ebitda", "ebitda_margin", "fcf", "cash_conversion", "employees"]
-# Values that only travel in the free-form metadata object, and only when present.
+# Keys that only travel in the free-form metadata object, and only when present.
 METADATA_COLUMNS = [
     "gross_margin_pct", "operating_margin_pct", "net_margin_pct", "return_on_assets",
     "return_on_equity", "total_capex", "capex_to_revenue", "net_debt", "net_debt_to_ebitda",
