@@ -23,6 +23,7 @@ METADATA_SOURCE = {
     "Accounts.NextDueDate": "accounts_next_due_date",
     "Accounts.LastMadeUpDate": "accounts_last_made_up_date",
 }
+# Columns that hold counts.
 COUNT_COLUMNS = [
     "Mortgages.NumMortCharges", "Mortgages.NumMortOutstanding",
     "Mortgages.NumMortPartSatisfied", "Mortgages.NumMortSatisfied",
