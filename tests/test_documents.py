@@ -462,3 +462,43 @@ def test_bands_of_a_page_without_height(spark):
     rows = [(*r[:9], None) for r in page(1, 1, [(100, [(60, "TOP")]), (200, [(60, "mid")]), (500, [(60, "end")])])]
     got = tokens.page_text(printed(spark, rows)).collect()[0]
     assert (got.top05, got.top25, got.top30, got.n25) == ("TOP", "TOP mid", "TOP mid", 2)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_facts_read_each_attribute_once(spark):
+    plan = _plan(markup.facts(docs(spark)).select("year", "raw"))
+    assert plan.count("contextref") == 1 and "unitref" not in plan and "decimals" not in plan
+    content = DOC.replace("1,234", "a &amp; <b>1</b>&#163;<ix:nonFraction name='core:X' contextRef='c1'/>2")
+    rows = markup.facts(docs(spark, content)).orderBy("ord").collect()
+    assert [(r.ord, r.raw, r.year) for r in rows] == [
+        (0, "a &1£2", 2023), (1, "", 2023), (2, "5", 2023), (3, "7", 2023)]
+
+
+def test_a_value_is_parsed_once(spark):
+    frame = spark.createDataFrame([("1", None, None), ("x", None, None)], "raw string, scale string, sign string")
+    valued = facts.parse_values(frame)
+    assert [r.value for r in valued.collect()] == [1.0]
+    df = spark.range(3).select(F.reverse(F.col("id").cast("string")).alias("raw"), F.lit(None).cast("string").alias(
+        "scale"), F.lit(None).cast("string").alias("sign"))
+    assert _plan(facts.parse_values(df)).count("[+-]?[0-9]*") == 1
+
+
+def test_number_tokens_build_their_text_once(spark):
+    df = spark.range(4).select("id", F.reverse(F.col("id").cast("string")).alias("text"))
+    found = tokens.number_tokens(df)
+    assert _plan(found).count("reverse(") == 1
+    assert sorted(r.text for r in found.collect()) == ["0", "1", "2", "3"]
+    words = spark.createDataFrame([("a",), ("1,000",), (None,), ("-",)], "text string")
+    assert sorted(r.text for r in tokens.number_tokens(words).collect()) == ["-", "1,000"]
+
+
+def test_pool_is_built_once(spark):
+    page = spark.createDataFrame([(1, 1, 0.0, 0.0, 1.0, 1.0, "Strategic report", 1.0, 595.0, 842.0)],
+                                 "doc_id int, page int, x0 double, y0 double, x1 double, y1 double, text string, "
+                                 "conf double, page_width double, page_height double")
+    pool = evidence.candidates(evidence.documents(page))
+    assert _plan(pool).count("running_header") == 1
+    assert {r.signal for r in pool.collect()} == {"hard_anchor"}
