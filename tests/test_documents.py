@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgermill import schemas
+from ledgermill.functions import text
 from ledgermill.operators import evidence, facts, sections, tokens
 from ledgermill.plans import filing_merge
 from ledgermill.sources import filings, markup, register, tables
@@ -502,3 +503,10 @@ def test_pool_is_built_once(spark):
     pool = evidence.candidates(evidence.documents(page))
     assert _plan(pool).count("running_header") == 1
     assert {r.signal for r in pool.collect()} == {"hard_anchor"}
+
+
+def test_fuzzy_words_are_split_once(spark):
+    df = spark.createDataFrame([("A STRATEGIC REPORT B",), ("STRATEGIC",), ("NO SUCH HEADING",), (None,)], "t string")
+    hit = df.where(text.fuzzy_contains(F.split(F.upper("t"), " "), "STRATEGIC REPROT"))
+    assert [r.t for r in hit.collect()] == ["A STRATEGIC REPORT B"]
+    assert _plan(hit).count("upper(") == 1
