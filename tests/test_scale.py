@@ -1,5 +1,8 @@
 """Work that a query does once: scans of tokens and markup, locators that nobody asks for, tasks of a batch."""
 
+from pyspark.sql import functions as F
+
+from ledgermill.operators import sections
 from ledgermill.queries import jobs as job_queries
 from ledgermill.queries.catalog import QUERIES
 
@@ -8,6 +11,11 @@ def plan(spark, sf_dir, name):
     return QUERIES[name].run(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_preference_and_page_choice_read_tokens_once(spark, sf_dir):
+    for name in ("s25_tagged_over_printed",):
+        assert plan(spark, sf_dir, name).count("posexplode(split(") == 1, name
+
+
 def test_batches_of_the_queue_use_all_partitions(spark, sf_dir, tmp_path):
     kept, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
     spark.conf.set("spark.sql.shuffle.partitions", 3 * job_queries.FILES)
@@ -17,3 +25,15 @@ def test_batches_of_the_queue_use_all_partitions(spark, sf_dir, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", kept)
     assert seen and set(seen) == {3 * job_queries.FILES}
+
+
+def test_preference_beside_and_above_agree(spark):
+    slots = spark.createDataFrame([("1", "a", "found", None), ("1", "b", "not_found", None), ("2", "a", "not_found", None),
+                                   (None, "a", "found", None)], "company_number string, section_id string, status string, text string")
+    texts = spark.createDataFrame([("1", "b", "x"), ("2", "a", "y"), ("2", "a", "y"), ("9", "a", "z")],
+                                  "company_number string, section_id string, text string")
+    tagged = slots.drop("status", "text").join(texts, ["company_number", "section_id"], "left").withColumn(
+        "status", F.when(F.col("text").isNotNull(), "found").otherwise("not_found"))
+    want = sections.prefer_tagged(tagged, slots).collect()
+    got = sections.prefer_tagged_slots(slots, texts).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 4
