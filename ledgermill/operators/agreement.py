@@ -61,22 +61,31 @@ def kappa(counts: DataFrame, left: str, right: str) -> DataFrame:
                                        F.try_divide(agreed - expected, 1 - expected).alias("kappa"))
 
 
-def verdicts(sections: DataFrame, classes: DataFrame, dated: DataFrame, history: DataFrame) -> DataFrame:
+def verdicts(filings: DataFrame, dated: DataFrame, history: DataFrame) -> DataFrame:
     """Per filing: slots by status, whether they are complete, both sizes and whether they agree.
 
-    ``dated(filing_id, company_number, filing_date)``; ``history(company_number, valid_from, category)``.
+    ``filings(filing_id, reason, size, mode, slots)`` of ``sections.filings_of``, which carries class and slots
+    in one row, so that documents are read once; ``dated(filing_id, company_number, filing_date)``;
+    ``history(company_number, valid_from, category)``.  Slots are counted over all documents of a filing.
     A class ``unknown`` has no small or medium flag and stands for large.  ``core_found`` says whether a
     full filing of a large company has its strategic, directors' and auditor's reports; null for others.
     """
-    found = F.col("status") == "found"
-    core = F.col("section_id").isin("strategic_report", "directors_report", "auditor_report")
-    counts = sections.groupBy("filing_id").agg(
-        *[F.count_if(F.col("status") == s).alias(s) for s in ("found", "not_present", "not_found")],
-        F.count_if(found & core).alias("_core"))
-    registered = as_of(dated, history, "company_number", "filing_date", "category")
+    def core(s: Column) -> Column:
+        return (s["status"] == "found") & s["section_id"].isin("strategic_report", "directors_report", "auditor_report")
+
+    def of(name: str):
+        return lambda s: s["status"] == name
+
+    tests = {**{s: of(s) for s in ("found", "not_present", "not_found")}, "_core": core}
     size = F.when(F.col("size") == "unknown", "large").otherwise(F.col("size"))
-    rows = counts.join(classes.select("filing_id", size.alias("filing_size"), "mode"), "filing_id").join(
-        registered.select("filing_id", category_size(F.col("category")).alias("register_size")), "filing_id", "left")
+    counted = filings.where("filing_id IS NOT NULL").select(
+        "filing_id", "reason", size.alias("filing_size"), "mode",
+        *[F.size(F.filter("slots", test)).cast("long").alias(n) for n, test in tests.items()])
+    every = W.partitionBy("filing_id")
+    classed = counted.withColumns({n: F.sum(n).over(every) for n in tests}).where("reason IS NULL")
+    registered = as_of(dated, history, "company_number", "filing_date", "category")
+    rows = classed.join(registered.select(
+        "filing_id", category_size(F.col("category")).alias("register_size")), "filing_id", "left")
     return rows.select(
         "filing_id", "found", "not_present", "not_found",
         (F.col("found") + F.col("not_present") + F.col("not_found") == 12).alias("complete"),

@@ -16,6 +16,10 @@ def test_preference_and_page_choice_read_tokens_once(spark, sf_dir):
         assert plan(spark, sf_dir, name).count("posexplode(split(") == 1, name
 
 
+def test_class_agreement_reads_documents_once(spark, sf_dir):
+    assert plan(spark, sf_dir, "d38_class_kappa").count("ArrowEvalPython") == 1
+
+
 def test_batches_of_the_queue_use_all_partitions(spark, sf_dir, tmp_path):
     kept, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
     spark.conf.set("spark.sql.shuffle.partitions", 3 * job_queries.FILES)
