@@ -12,7 +12,7 @@ def plan(spark, sf_dir, name):
 
 
 def test_preference_and_page_choice_read_tokens_once(spark, sf_dir):
-    for name in ("s25_tagged_over_printed",):
+    for name in ("s25_tagged_over_printed", "g6_s22_c14_second_pass_pages"):
         assert plan(spark, sf_dir, name).count("posexplode(split(") == 1, name
 
 
