@@ -510,3 +510,26 @@ def test_fuzzy_words_are_split_once(spark):
     hit = df.where(text.fuzzy_contains(F.split(F.upper("t"), " "), "STRATEGIC REPROT"))
     assert [r.t for r in hit.collect()] == ["A STRATEGIC REPORT B"]
     assert _plan(hit).count("upper(") == 1
+
+
+def test_facts_of_odd_markup(spark):
+    """Each opening tag and text of the one scan reads as the column expressions read it."""
+    tags = ["<ix:nonFraction name='a' contextRef=\"c1\">", "<IX:NONFRACTION contextref = 'c1' NAME='b:c'\n scale='3' sign=\"-\">",
+            "<ix:nonFraction contextRef='c1' name=\"x sign=\" title=\"y\" decimals='2'>", "<ix:nonFraction contextRef='c1' name=''>"]
+    texts = ["1,2", "  7 ", "&#163;<b> 5</b>", "a<!-- <b>9 -->&amp;lt;&nosuch;&pound5&", "&#0;&#129;&#65279;&#1114112;&#x1F600;😀"]
+    head = DOC[:DOC.index("<script>")]
+    rows = [(str(i), t, x, f"{head}</ix:nonfraction>{t}{x}</ix:nonFraction ><ix:nonFractional name='n' contextRef='c1'>")
+            for i, (t, x) in enumerate((t, x) for t in tags for x in texts)]
+    df = spark.createDataFrame([*rows, ("null", "", "", None)], "filing_id string, tag string, piece string, content string")
+    got = {r.filing_id: r for r in markup.facts(df).collect()}
+    assert len(got) == len(rows)
+    wanted = df.select("filing_id", *[markup.attribute(F.col("tag"), n).alias(n) for n in ("name", "scale", "sign", "decimals")],
+                       markup.strip_tags(F.col("piece"), "").alias("raw"))
+    for r in wanted.where("filing_id <> 'null'").collect():
+        assert r.asDict() == {k: got[r.filing_id][k] for k in r.asDict()}
+
+
+def test_facts_come_from_one_scan(spark):
+    """No lambda runs over a document's pieces, and no context travels with each fact."""
+    plan = _plan(markup.facts(docs(spark)))
+    assert plan.count("ArrowEvalPython") == 1 and "lambda" not in plan and "regexp" not in plan
