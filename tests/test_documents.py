@@ -533,3 +533,13 @@ def test_facts_come_from_one_scan(spark):
     """No lambda runs over a document's pieces, and no context travels with each fact."""
     plan = _plan(markup.facts(docs(spark)))
     assert plan.count("ArrowEvalPython") == 1 and "lambda" not in plan and "regexp" not in plan
+
+
+def test_statements_read_documents_once(spark, tmp_path):
+    """Years without facts come out of the reading that gives the facts."""
+    docs(spark, DOC.replace("2023-12-31</xbrli:instant>", "2021-12-31</xbrli:instant>")).write.parquet(str(tmp_path / "docs"))
+    rows = filing_merge.tagged_statements(spark.read.parquet(str(tmp_path / "docs")), {"Equity": "shareholders_funds"})
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("FileScan"), plan.count("ArrowEvalPython")) == (1, 1)
+    assert rows.columns == ["company_number", "year", *schemas.ROW_FIELDS]
+    assert {r.year: (r.revenue, r.tax_expense) for r in rows.collect()} == {2023: (1234000.0, -5.0), 2021: (None, None)}
