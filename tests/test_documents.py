@@ -543,3 +543,31 @@ def test_statements_read_documents_once(spark, tmp_path):
     assert (plan.count("FileScan"), plan.count("ArrowEvalPython")) == (1, 1)
     assert rows.columns == ["company_number", "year", *schemas.ROW_FIELDS]
     assert {r.year: (r.revenue, r.tax_expense) for r in rows.collect()} == {2023: (1234000.0, -5.0), 2021: (None, None)}
+
+
+def test_filings_in_one_scan(spark):
+    """Tags, headings and their texts of the one scan are those of the single layers; no lambda runs over a body."""
+    from ledgermill import lookups
+
+    rnd = random.Random(4)
+    names = [n for n, _, _ in lookups.NARRATIVE_TAGS] + ["core:Other", "bus:EntityDormantTruefalse"]
+    words = ["Strategic report", "of the directors", "report", "Section 172(1)", "\n", "<b>Going concern</b>", "misstatement",
+             "basis of preparation", "critical estimates", "x", "é", "😀", "&amp;", "&nbsp;", "<!-- c -->", "<script>", "</script>",
+             "<body>", "</body>", "<ix:header>", "</ix:header>", "<style>a</style>", "²", "Strategic\u00a0report"]
+    texts = [" ".join(rnd.choice(words) if rnd.random() < 0.7 else f'<ix:nonNumeric name="{rnd.choice(names)}">'
+                      f'{rnd.choice(["true", "", "a <b>b</b> &amp; c"])}</ix:nonNumeric>' for _ in range(rnd.randint(1, 40)))
+             for _ in range(150)]
+    df = spark.createDataFrame([(str(i), "<p>" + t) for i, t in enumerate(texts)], "filing_id string, content string")
+    found = sections.sections_of(df)
+    tagged = found.where("source = 'ixbrl_tag'").select("filing_id", "section_id", "text", "source_tags",
+                                                        F.coalesce("subsections", F.create_map().cast("map<string,string>")))
+    assert sorted(map(repr, map(tuple, tagged.collect()))) == sorted(map(repr, map(tuple, sections.tag_layer(df).collect())))
+    bodies = df.select("filing_id", markup.body_text(F.col("content")).alias("body_text"))
+    got = {r.filing_id: sections.read_hits(r.body_text) for r in bodies.collect()}
+    want: dict = {}
+    for r in sections.anchor_hits(bodies).collect():
+        want.setdefault(r.filing_id, []).append((r.offset, r.section_id))
+    assert {k: sorted(v) for k, v in got.items() if v} == {k: sorted(v) for k, v in want.items()}
+    assert [markup.read_body(r[0]) for r in df.select("content").collect()] == [r.body_text for r in bodies.collect()]
+    plan = _plan(sections.filings_of(df, fields=("section_id", "status")))
+    assert plan.count("ArrowEvalPython") == 1 and "regexp" not in plan
