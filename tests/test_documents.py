@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgermill import schemas
 from ledgermill.functions import text
-from ledgermill.operators import evidence, facts, sections, tokens
+from ledgermill.operators import evidence, facts, locators, sections, tokens
 from ledgermill.plans import filing_merge
 from ledgermill.sources import filings, markup, register, tables
 from ledgermill.streaming import jobs
@@ -571,3 +571,24 @@ def test_filings_in_one_scan(spark):
     assert [markup.read_body(r[0]) for r in df.select("content").collect()] == [r.body_text for r in bodies.collect()]
     plan = _plan(sections.filings_of(df, fields=("section_id", "status")))
     assert plan.count("ArrowEvalPython") == 1 and "regexp" not in plan
+
+
+def test_printed_cells_read_tables_once(spark, tmp_path):
+    """Canonical figures come from one branch, and tokens dealt out by document are not shuffled again for their tables."""
+    printed(spark, report(spark)).write.parquet(str(tmp_path / "tokens"))
+    t = tables.spread(spark.read.parquet(str(tmp_path / "tokens")), "doc_id", 4)
+    plan = filing_merge.printed_cells(t)._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("FileScan"), plan.count("REPARTITION_BY_NUM"), plan.count("SortMergeJoin")) == (2, 2, 0)
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "page#" in x]
+
+
+def test_lifted_notes_and_cash_flow_lines(spark):
+    rows = [(1, "notes", "depreciation", 5, 2, 10), (1, "notes", "amortisation", 7, None, 11), (2, "notes", "depreciation", 3, 4, 9),
+            (1, "cash_flow_statement", "depreciation", 6, None, 4), (1, "notes", "employees", 8, 9, 12)]
+    facts_ = spark.createDataFrame([(d, s, f, "uk_gaap", 2021, 2020, c, p, at) for d, s, f, c, p, at in rows],
+                                   "doc_id long, statement string, printed_field string, dialect string, current_year int, "
+                                   "prior_year int, current long, prior long, place long")
+    got = {(r.doc_id, r.year, r.field): (r.source, r.value) for r in tokens.canonical_facts(facts_).collect()}
+    assert got == {(1, 2021, "depreciation"): ("cash_flow_statement", 6.0), (1, 2020, "depreciation"): ("notes", 2.0),
+                   (1, 2021, "amortisation"): ("notes", 7.0), (2, 2021, "depreciation"): ("notes", 3.0),
+                   (2, 2020, "depreciation"): ("notes", 4.0)}
