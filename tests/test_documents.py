@@ -592,3 +592,14 @@ def test_lifted_notes_and_cash_flow_lines(spark):
     assert got == {(1, 2021, "depreciation"): ("cash_flow_statement", 6.0), (1, 2020, "depreciation"): ("notes", 2.0),
                    (1, 2021, "amortisation"): ("notes", 7.0), (2, 2021, "depreciation"): ("notes", 3.0),
                    (2, 2020, "depreciation"): ("notes", 4.0)}
+
+
+def test_evaluation_shares_one_exchange(spark):
+    """Sides of one origin are worked out once; slots without a document count as not found."""
+    slots = spark.createDataFrame([(1, "a", 1, 2), (2, "a", 3, 3), (None, "a", 1, 1), (3, "b", 1, 1)],
+                                  "doc_id long, section_id string, start int, end int").repartition("doc_id", "section_id")
+    labels = slots.select("doc_id", "section_id", "start", (F.col("end") + F.col("doc_id") % 2).cast("int").alias("end"))
+    out = locators.evaluation(slots, labels)
+    got = {r.section_id: (r.labelled, round(r.found_rate, 3), round(r.exact_rate, 3)) for r in out.collect()}
+    assert got == {"a": (3, 0.667, 0.333), "b": (1, 1.0, 0.0)}
+    assert "isnotnull" not in out._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[-1]
